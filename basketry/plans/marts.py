@@ -25,7 +25,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.money import money, money_out
-from basketry.operators.mode import weighted_mode
 
 GRAIN = ["customer_unique_id", "customer_city"]
 
@@ -48,16 +47,6 @@ def review_stats(reviews: DataFrame) -> DataFrame:
     )
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join on keys where NULL matches NULL (group keys may be NULL)."""
-    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(r[f"__r_{k}"])
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, "left").drop(*[f"__r_{k}" for k in keys])
-
-
 def customer_360(
     orders: DataFrame,
     items: DataFrame,
@@ -66,7 +55,16 @@ def customer_360(
     reviews: DataFrame,
 ) -> DataFrame:
     """Per (customer_unique_id, customer_city): total_orders, total_lifetime_value,
-    last_purchase_date, average_review_score, favorite_category."""
+    last_purchase_date, average_review_score, favorite_category.
+
+    ``base`` has one row per (order row, category). A single GROUPING SETS
+    aggregation reduces it both per (customer, order) -- for the distinct order
+    count and the order measures -- and per (customer, category) -- for the
+    favourite's weights; one more aggregation per customer combines the two kinds of
+    rows. ``base`` is therefore computed once, and every step is a map-side-combined
+    aggregation, so a customer holding a large share of all rows is spread over
+    tasks by order and category before it is reduced to one row.
+    """
     per_oc = _items_with_category(items, products).groupBy(
         "order_id", "product_category_name"
     ).agg(
@@ -81,22 +79,43 @@ def customer_360(
         .join(customers.select("customer_id", *GRAIN), "customer_id")
         .withColumn("fan", F.coalesce(F.col("n_reviews"), F.lit(1)))
     )
-    measures = base.groupBy(*GRAIN).agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        money_out(F.sum(F.col("value") * F.col("fan")), 2).alias("total_lifetime_value"),
-        F.max("order_purchase_timestamp").alias("last_purchase_date"),
+    # grouping_id bits follow (grain..., order_id, category): 1 = (grain, order_id)
+    # rows, 2 = (grain, category) rows
+    stage = base.groupingSets(
+        [GRAIN + ["order_id"], GRAIN + ["product_category_name"]],
+        *GRAIN,
+        "order_id",
+        "product_category_name",
+    ).agg(
+        F.grouping_id().alias("gid"),
+        F.sum(F.col("value") * F.col("fan")).alias("value"),
+        F.max("order_purchase_timestamp").alias("last_ts"),
+        F.sum(F.col("n_rows") * F.col("score_sum")).alias("score_num"),
+        F.sum(F.col("n_rows") * F.col("n_scores")).alias("score_den"),
+        F.sum(F.col("n_rows") * F.col("fan")).alias("weight"),
+    )
+    is_order = F.col("gid") == 1
+    is_cat = (F.col("gid") == 2) & F.col("product_category_name").isNotNull()
+    # favourite: largest weight, ties to the smallest category
+    best = F.min(
+        F.when(
+            is_cat,
+            F.struct((-F.col("weight")).alias("w"), F.col("product_category_name").alias("c")),
+        )
+    )
+    return stage.groupBy(*GRAIN).agg(
+        F.count(F.when(is_order, 1)).alias("total_orders"),
+        money_out(F.sum(F.when(is_order, F.col("value"))), 2).alias("total_lifetime_value"),
+        F.max(F.when(is_order, F.col("last_ts"))).alias("last_purchase_date"),
         F.round(
             F.try_divide(
-                F.sum(F.col("n_rows") * F.col("score_sum")),
-                F.sum(F.col("n_rows") * F.col("n_scores")),
+                F.sum(F.when(is_order, F.col("score_num"))),
+                F.sum(F.when(is_order, F.col("score_den"))),
             ).cast("double"),
             1,
         ).alias("average_review_score"),
+        best["c"].alias("favorite_category"),
     )
-    favorite = weighted_mode(
-        base, GRAIN, "product_category_name", F.col("n_rows") * F.col("fan"), "favorite_category"
-    )
-    return _null_safe_join(measures, favorite, GRAIN)
 
 
 def customer_basic(orders: DataFrame, items: DataFrame, customers: DataFrame) -> DataFrame:

@@ -1,18 +1,34 @@
 """Registered queries over the driver's test tables, each paired with oracle SQL.
 
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` and ``ORACLE[name] -> DuckDB SQL``.
-A query without an oracle entry is checked on row counts only (and against brute
-force in the tests).
+Every query reads the given tables (through the adapters in ``sources.starschema``)
+in full. Queries of the table-version and CSV operators write their inputs under the
+session's checkpoint folder first.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from basketry.functions.casts import to_double, to_int_score, to_timestamp
+from basketry.functions.money import money, money_out
+from basketry.functions.text import fold_accents, normalize_city
+from basketry.operators import profile as prof
+from basketry.operators.ntile import ntile_range
+from basketry.operators.quality import Gates, gate_report
+from basketry.operators.topk import first_n, top_k
 from basketry.oracle import with_ctes
-from basketry.plans import marts, rfm
+from basketry.plans import clean, marts, rfm
+from basketry.plans.clean import CLEANERS
+from basketry.plans.pipeline import run_pipeline
+from basketry.session import scratch_path
+from basketry.sinks.versioned import SchemaMismatchError, VersionedTable
+from basketry.sources import csv as csvsrc
+from basketry.sources import lookup
 from basketry.sources import starschema as star
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -39,8 +55,143 @@ def c360(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.customer_360(t["orders"], t["items"], t["customers"], t["products"], t["reviews"])
 
 
-# --- marts -----------------------------------------------------------------------
+def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = cleaned(spark, sf_dir)
+    return marts.orders_enriched(t["orders"], t["items"], t["reviews"], t["customers"])
+
+
+def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = cleaned(spark, sf_dir)
+    return marts.sales_by_state_category_month(t["items"], t["orders"], t["customers"], t["products"])
+
+
+def segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rfm.segment_rfm(c360(spark, sf_dir))
+
+
+GRAIN_TIES = ("customer_unique_id", "customer_city")
+ASC_GRAIN = "customer_unique_id ASC NULLS FIRST, customer_city ASC NULLS FIRST"
+
+# ======================================================================== marts ==
 
 @query("mart_customer_360", "SELECT * FROM c360")
 def q_mart_customer_360(spark, sf_dir):
     return c360(spark, sf_dir)
+
+
+@query(
+    "mart_customer_basic",
+    """
+SELECT c.customer_unique_id, c.customer_city, count(DISTINCT o.order_id) AS total_orders,
+       CAST(round(sum(CAST(i.price AS DECIMAL(18,2)) + CAST(i.freight_value AS DECIMAL(18,2))), 2)
+            AS DOUBLE) AS total_lifetime_value,
+       max(o.order_purchase_timestamp) AS last_purchase_date
+FROM clean_orders o JOIN clean_items i ON i.order_id = o.order_id
+JOIN clean_customers c ON c.customer_id = o.customer_id
+GROUP BY c.customer_unique_id, c.customer_city""",
+)
+def q_mart_customer_basic(spark, sf_dir):
+    t = cleaned(spark, sf_dir)
+    return marts.customer_basic(t["orders"], t["items"], t["customers"])
+
+
+@query("mart_orders_enriched", "SELECT * FROM fact")
+def q_mart_orders_enriched(spark, sf_dir):
+    return fact(spark, sf_dir)
+
+
+@query("mart_sales_state_category_month", "SELECT * FROM sales")
+def q_mart_sales(spark, sf_dir):
+    return sales(spark, sf_dir)
+
+
+@query("rfm_recency", "SELECT * FROM rfm_base")
+def q_rfm_recency(spark, sf_dir):
+    return rfm.recency(c360(spark, sf_dir))
+
+
+@query("rfm_scores", "SELECT * FROM rfm_scored")
+def q_rfm_scores(spark, sf_dir):
+    return rfm.scores(rfm.recency(c360(spark, sf_dir)))
+
+
+@query("rfm_segments", "SELECT * FROM rfm_segmented")
+def q_rfm_segments(spark, sf_dir):
+    return segmented(spark, sf_dir)
+
+
+@query(
+    "rfm_segment_counts",
+    "SELECT RFM_Segment, count(*) AS count FROM rfm_segmented GROUP BY RFM_Segment",
+)
+def q_rfm_segment_counts(spark, sf_dir):
+    return rfm.segment_counts(segmented(spark, sf_dir))
+
+
+@query(
+    "topk_customers",
+    f"SELECT * FROM c360 ORDER BY total_lifetime_value DESC NULLS LAST, {ASC_GRAIN} LIMIT 10",
+)
+def q_topk_customers(spark, sf_dir):
+    return top_k(c360(spark, sf_dir), "total_lifetime_value", 10, tiebreak=GRAIN_TIES)
+
+
+@query(
+    "topk_orders",
+    "SELECT * FROM fact ORDER BY total_revenue DESC NULLS LAST, order_id ASC NULLS FIRST, "
+    "review_score ASC NULLS FIRST LIMIT 10",
+)
+def q_topk_orders(spark, sf_dir):
+    return top_k(fact(spark, sf_dir), "total_revenue", 10, tiebreak=("order_id", "review_score"))
+
+
+SALES_KEYS = ("order_year", "order_month", "customer_state", "product_category_name")
+
+
+@query(
+    "topk_sales",
+    "SELECT * FROM sales ORDER BY total_sales DESC NULLS LAST, "
+    + ", ".join(f"{k} ASC NULLS FIRST" for k in SALES_KEYS)
+    + " LIMIT 10",
+)
+def q_topk_sales(spark, sf_dir):
+    return top_k(sales(spark, sf_dir), "total_sales", 10, tiebreak=SALES_KEYS)
+
+
+@query(
+    "topk_segments",
+    f"SELECT * FROM rfm_segmented ORDER BY total_lifetime_value DESC NULLS LAST, {ASC_GRAIN} LIMIT 10",
+)
+def q_topk_segments(spark, sf_dir):
+    return top_k(segmented(spark, sf_dir), "total_lifetime_value", 10, tiebreak=GRAIN_TIES)
+
+
+@query("pipeline_end_to_end", "SELECT * FROM rfm_segmented")
+def q_pipeline(spark, sf_dir):
+    tables = run_pipeline(spark, star.raw_tables(spark, sf_dir), scratch_path(spark, "pipeline"))
+    return tables["segment_rfm"].read()
+
+
+# ===================================================================== cleaning ==
+
+for _name in ("customers", "orders", "items", "products", "reviews"):
+
+    def _make(name):
+        def fn(spark, sf_dir):
+            return CLEANERS[name].clean(star.RAW_ADAPTERS[name](spark, sf_dir))
+
+        return fn
+
+    query(f"clean_{_name}", f"SELECT * FROM clean_{_name}")(_make(_name))
+
+
+@query(
+    "clean_products_wide",
+    """
+SELECT p_partkey AS product_id, COALESCE(lower(NULLIF(p_type, 'PROMO')), 'unknown') AS product_category_name,
+       p_name AS product_name, p_brand AS product_brand, p_size AS product_size,
+       p_retailprice AS product_retail_price
+FROM part""",
+)
+def q_clean_products_wide(spark, sf_dir):
+    return clean.clean_products_wide(star.raw_products_wide(spark, sf_dir))

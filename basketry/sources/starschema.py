@@ -97,6 +97,18 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_products_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products with every descriptive column of ``part`` (for the wide cleaning variant)."""
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("product_id"),
+        F.expr("nullif(p_type, 'PROMO')").alias("product_category_name"),
+        F.col("p_name").alias("product_name"),
+        F.col("p_brand").alias("product_brand"),
+        F.col("p_size").alias("product_size"),
+        F.col("p_retailprice").alias("product_retail_price"),
+    )
+
+
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.col("event_id").alias("review_id"),
