@@ -195,3 +195,490 @@ FROM part""",
 )
 def q_clean_products_wide(spark, sf_dir):
     return clean.clean_products_wide(star.raw_products_wide(spark, sf_dir))
+
+
+# ================================================================== projections ==
+
+@query(
+    "prj_select",
+    "SELECT order_id, customer_id, order_purchase_timestamp FROM raw_orders",
+)
+def q_prj_select(spark, sf_dir):
+    return star.raw_orders(spark, sf_dir).select("order_id", "customer_id", "order_purchase_timestamp")
+
+
+@query(
+    "prj_replace",
+    """
+SELECT order_id, product_id,
+       TRY_CAST(CAST(price AS VARCHAR) AS DOUBLE) AS price,
+       TRY_CAST(CAST(freight_value AS VARCHAR) AS DOUBLE) AS freight_value
+FROM raw_items""",
+)
+def q_prj_replace(spark, sf_dir):
+    # amounts arrive as text (as from CSV) and are replaced in place by numbers
+    text = star.raw_items(spark, sf_dir).withColumns(
+        {"price": F.col("price").cast("string"), "freight_value": F.col("freight_value").cast("string")}
+    )
+    return text.withColumns({"price": to_double("price"), "freight_value": to_double("freight_value")})
+
+
+@query("prj_constant", "SELECT *, 500 AS loyalty_points FROM clean_customers")
+def q_prj_constant(spark, sf_dir):
+    return cleaned(spark, sf_dir)["customers"].withColumn("loyalty_points", F.lit(500))
+
+
+# ====================================================================== filters ==
+
+@query("flt_status", "SELECT * FROM raw_orders WHERE order_status = 'delivered'")
+def q_flt_status(spark, sf_dir):
+    return star.raw_orders(spark, sf_dir).filter(F.col("order_status") == clean.DELIVERED)
+
+
+@query(
+    "flt_non_negative",
+    "SELECT * FROM (SELECT order_id, product_id, price - 50000 AS margin FROM raw_items) WHERE margin >= 0",
+)
+def q_flt_non_negative(spark, sf_dir):
+    items = star.raw_items(spark, sf_dir).select(
+        "order_id", "product_id", (F.col("price") - 50000).alias("margin")
+    )
+    return items.filter(F.col("margin") >= 0)
+
+
+@query(
+    "flt_score_range",
+    """
+SELECT * FROM (SELECT review_id, order_id, CAST(trunc(review_score) AS INTEGER) AS review_score FROM raw_reviews)
+WHERE review_score BETWEEN 1 AND 5""",
+)
+def q_flt_score_range(spark, sf_dir):
+    r = star.raw_reviews(spark, sf_dir).withColumn("review_score", to_int_score("review_score"))
+    return r.filter(F.col("review_score").between(1, 5))
+
+
+@query("flt_is_null", "SELECT * FROM raw_products WHERE product_category_name IS NULL")
+def q_flt_is_null(spark, sf_dir):
+    return star.raw_products(spark, sf_dir).filter(F.col("product_category_name").isNull())
+
+
+@query(
+    "flt_any_null",
+    """
+SELECT i.order_id, i.product_id, p.product_category_name
+FROM raw_items i LEFT JOIN raw_products p ON p.product_id = i.product_id
+WHERE i.order_id IS NULL OR i.product_id IS NULL OR p.product_category_name IS NULL""",
+)
+def q_flt_any_null(spark, sf_dir):
+    j = star.raw_items(spark, sf_dir).select("order_id", "product_id").join(
+        star.raw_products(spark, sf_dir), "product_id", "left"
+    )
+    cols = ["order_id", "product_id", "product_category_name"]
+    return j.filter(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])).select(*cols)
+
+
+# ======================================================================== joins ==
+
+@query(
+    "join_inner",
+    """
+SELECT o.order_id, o.customer_id, o.order_status, o.order_purchase_timestamp,
+       i.product_id, i.price, i.freight_value
+FROM clean_orders o JOIN clean_items i ON i.order_id = o.order_id""",
+)
+def q_join_inner(spark, sf_dir):
+    t = cleaned(spark, sf_dir)
+    return t["orders"].join(t["items"], on="order_id", how="inner")
+
+
+@query(
+    "join_left",
+    """
+SELECT i.product_id, i.order_id, i.price, i.freight_value, p.product_category_name
+FROM clean_items i LEFT JOIN clean_products p ON p.product_id = i.product_id""",
+)
+def q_join_left(spark, sf_dir):
+    t = cleaned(spark, sf_dir)
+    return t["items"].join(t["products"], on="product_id", how="left")
+
+
+@query(
+    "join_chain_360",
+    """
+SELECT o.order_id, i.product_id, o.customer_id, o.order_status, o.order_purchase_timestamp,
+       i.price, i.freight_value, c.customer_unique_id, c.customer_city, c.customer_state,
+       p.product_category_name, r.review_id, r.review_score
+FROM clean_orders o
+JOIN clean_items i ON i.order_id = o.order_id
+JOIN clean_customers c ON c.customer_id = o.customer_id
+LEFT JOIN clean_products p ON p.product_id = i.product_id
+LEFT JOIN clean_reviews r ON r.order_id = o.order_id""",
+)
+def q_join_chain_360(spark, sf_dir):
+    t = cleaned(spark, sf_dir)
+    return (
+        t["orders"].join(t["items"], on="order_id", how="inner")
+        .join(t["customers"], on="customer_id", how="inner")
+        .join(t["products"], on="product_id", how="left")
+        .join(t["reviews"], on="order_id", how="left")
+    )
+
+
+@query(
+    "join_preagg",
+    """
+SELECT o.order_id, o.customer_id, o.order_status, o.order_purchase_timestamp,
+       t.total_revenue, t.total_freight, t.total_items
+FROM clean_orders o JOIN item_totals t ON t.order_id = o.order_id""",
+)
+def q_join_preagg(spark, sf_dir):
+    t = cleaned(spark, sf_dir)
+    return t["orders"].join(marts.item_totals(t["items"]), on="order_id", how="inner")
+
+
+@query(
+    "join_pruned",
+    """
+SELECT o.customer_id, o.order_id, o.order_purchase_timestamp, c.customer_state
+FROM clean_orders o JOIN clean_customers c ON c.customer_id = o.customer_id""",
+)
+def q_join_pruned(spark, sf_dir):
+    t = cleaned(spark, sf_dir)
+    return t["orders"].select("order_id", "customer_id", "order_purchase_timestamp").join(
+        t["customers"].select("customer_id", "customer_state"), on="customer_id", how="inner"
+    )
+
+
+# ================================================================= aggregations ==
+
+@query("agg_order_totals", "SELECT * FROM item_totals")
+def q_agg_order_totals(spark, sf_dir):
+    return marts.item_totals(cleaned(spark, sf_dir)["items"])
+
+
+@query(
+    "agg_customer_basic",
+    """
+SELECT customer_unique_id, customer_city, count(*) AS accounts
+FROM clean_customers GROUP BY customer_unique_id, customer_city""",
+)
+def q_agg_customer_basic(spark, sf_dir):
+    return cleaned(spark, sf_dir)["customers"].groupBy("customer_unique_id", "customer_city").agg(
+        F.count(F.lit(1)).alias("accounts")
+    )
+
+
+@query(
+    "agg_sales_state_category_month",
+    """
+SELECT CAST(year(order_purchase_timestamp) AS INTEGER) AS order_year,
+       CAST(month(order_purchase_timestamp) AS INTEGER) AS order_month,
+       order_status, count(*) AS orders
+FROM raw_orders GROUP BY 1, 2, 3""",
+)
+def q_agg_group_exprs(spark, sf_dir):
+    o = star.raw_orders(spark, sf_dir)
+    return o.groupBy(
+        F.year("order_purchase_timestamp").alias("order_year"),
+        F.month("order_purchase_timestamp").alias("order_month"),
+        F.col("order_status"),
+    ).agg(F.count(F.lit(1)).alias("orders"))
+
+
+@query(
+    "agg_sum",
+    """
+SELECT product_id, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total_sales
+FROM clean_items GROUP BY product_id""",
+)
+def q_agg_sum(spark, sf_dir):
+    return cleaned(spark, sf_dir)["items"].groupBy("product_id").agg(
+        money_out(F.sum(money("price"))).alias("total_sales")
+    )
+
+
+@query(
+    "agg_sum_expr",
+    """
+SELECT order_id,
+       CAST(round(sum(CAST(price AS DECIMAL(18,2)) + CAST(freight_value AS DECIMAL(18,2))), 2) AS DOUBLE)
+         AS order_value
+FROM clean_items GROUP BY order_id""",
+)
+def q_agg_sum_expr(spark, sf_dir):
+    return cleaned(spark, sf_dir)["items"].groupBy("order_id").agg(
+        money_out(F.sum(money("price") + money("freight_value")), 2).alias("order_value")
+    )
+
+
+@query(
+    "agg_count",
+    """
+SELECT p.product_category_name, count(i.product_id) AS items
+FROM clean_items i LEFT JOIN raw_products p ON p.product_id = i.product_id
+GROUP BY p.product_category_name""",
+)
+def q_agg_count(spark, sf_dir):
+    items = cleaned(spark, sf_dir)["items"]
+    return items.join(star.raw_products(spark, sf_dir), "product_id", "left").groupBy(
+        "product_category_name"
+    ).agg(F.count("product_id").alias("items"))
+
+
+@query(
+    "agg_count_distinct",
+    """
+SELECT c.customer_unique_id, count(DISTINCT o.order_id) AS orders
+FROM raw_orders o JOIN raw_customers c ON c.customer_id = o.customer_id
+GROUP BY c.customer_unique_id""",
+)
+def q_agg_count_distinct(spark, sf_dir):
+    o = star.raw_orders(spark, sf_dir).join(star.raw_customers(spark, sf_dir), "customer_id")
+    return o.groupBy("customer_unique_id").agg(F.count_distinct("order_id").alias("orders"))
+
+
+@query(
+    "agg_max",
+    """
+SELECT customer_id, max(order_purchase_timestamp) AS last_purchase_date
+FROM raw_orders GROUP BY customer_id""",
+)
+def q_agg_max(spark, sf_dir):
+    return star.raw_orders(spark, sf_dir).groupBy("customer_id").agg(
+        F.max("order_purchase_timestamp").alias("last_purchase_date")
+    )
+
+
+@query(
+    "agg_avg",
+    "SELECT order_id, round(avg(review_score), 1) AS average_review_score "
+    "FROM clean_reviews GROUP BY order_id",
+)
+def q_agg_avg(spark, sf_dir):
+    return cleaned(spark, sf_dir)["reviews"].groupBy("order_id").agg(
+        F.round(F.avg("review_score"), 1).alias("average_review_score")
+    )
+
+
+@query(
+    "agg_mode",
+    """
+WITH cats AS (
+  SELECT i.order_id, p.product_category_name
+  FROM clean_items i LEFT JOIN clean_products p ON p.product_id = i.product_id),
+ranked AS (
+  SELECT order_id, product_category_name,
+         row_number() OVER (PARTITION BY order_id ORDER BY count(*) DESC, product_category_name) AS rk
+  FROM cats WHERE product_category_name IS NOT NULL GROUP BY order_id, product_category_name)
+SELECT k.order_id, r.product_category_name AS favorite_category
+FROM (SELECT DISTINCT order_id FROM cats) k LEFT JOIN ranked r ON r.order_id = k.order_id AND r.rk = 1""",
+)
+def q_agg_mode(spark, sf_dir):
+    t = cleaned(spark, sf_dir)
+    cats = t["items"].join(t["products"], "product_id", "left")
+    return cats.groupBy("order_id").agg(
+        F.mode("product_category_name", deterministic=True).alias("favorite_category")
+    )
+
+
+@query(
+    "agg_row_count",
+    """
+SELECT 'customers' AS table_name, count(*) AS rows FROM raw_customers
+UNION ALL SELECT 'orders', count(*) FROM raw_orders
+UNION ALL SELECT 'items', count(*) FROM raw_items
+UNION ALL SELECT 'products', count(*) FROM raw_products
+UNION ALL SELECT 'reviews', count(*) FROM raw_reviews""",
+)
+def q_agg_row_count(spark, sf_dir):
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
+        for name, df in star.raw_tables(spark, sf_dir).items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "agg_distinct_keys",
+    "SELECT count(*) AS distinct_keys FROM (SELECT DISTINCT customer_unique_id FROM raw_customers)",
+)
+def q_agg_distinct_keys(spark, sf_dir):
+    return star.raw_customers(spark, sf_dir).select("customer_unique_id").distinct().agg(
+        F.count(F.lit(1)).alias("distinct_keys")
+    )
+
+
+# ====================================================================== windows ==
+
+@query(
+    "win_ntile_desc",
+    f"""
+SELECT customer_unique_id, customer_city, recency_days,
+       CAST(ntile(4) OVER (ORDER BY recency_days DESC NULLS LAST, {ASC_GRAIN}) AS INTEGER) AS R_Score
+FROM rfm_base""",
+)
+def q_win_ntile_desc(spark, sf_dir):
+    base = rfm.recency(c360(spark, sf_dir)).select(*GRAIN_TIES, "recency_days")
+    order = [F.col("recency_days").desc_nulls_last()] + [F.col(c).asc_nulls_first() for c in GRAIN_TIES]
+    return ntile_range(base, 4, order, "R_Score")
+
+
+@query(
+    "win_ntile_asc",
+    f"""
+SELECT customer_unique_id, customer_city, total_orders, total_lifetime_value,
+  CAST(ntile(4) OVER (ORDER BY total_orders ASC NULLS FIRST, {ASC_GRAIN}) AS INTEGER) AS F_Score,
+  CAST(ntile(4) OVER (ORDER BY total_lifetime_value ASC NULLS FIRST, {ASC_GRAIN}) AS INTEGER) AS M_Score
+FROM c360""",
+)
+def q_win_ntile_asc(spark, sf_dir):
+    base = c360(spark, sf_dir).select(*GRAIN_TIES, "total_orders", "total_lifetime_value")
+    ties = [F.col(c).asc_nulls_first() for c in GRAIN_TIES]
+    out = ntile_range(base, 4, [F.col("total_orders").asc_nulls_first()] + ties, "F_Score")
+    return ntile_range(out, 4, [F.col("total_lifetime_value").asc_nulls_first()] + ties, "M_Score")
+
+
+# ================================================================ sorts / limits ==
+
+@query(
+    "lim_n",
+    "SELECT * FROM clean_customers ORDER BY customer_id ASC NULLS FIRST LIMIT 5",
+)
+def q_lim_n(spark, sf_dir):
+    return first_n(cleaned(spark, sf_dir)["customers"], 5, ("customer_id",))
+
+
+# ======================================================================== sets ==
+
+@query("set_distinct", "SELECT DISTINCT customer_unique_id FROM raw_customers")
+def q_set_distinct(spark, sf_dir):
+    return star.raw_customers(spark, sf_dir).select("customer_unique_id").distinct()
+
+
+@query(
+    "set_drop_duplicates",
+    "SELECT DISTINCT customer_unique_id, customer_city, customer_state FROM raw_customers",
+)
+def q_set_drop_duplicates(spark, sf_dir):
+    return star.raw_customers(spark, sf_dir).drop("customer_id").dropDuplicates()
+
+
+# ==================================================================== functions ==
+
+@query("fn_lower", "SELECT product_id, lower(product_category_name) AS product_category_name FROM raw_products")
+def q_fn_lower(spark, sf_dir):
+    return star.raw_products(spark, sf_dir).withColumn(
+        "product_category_name", F.lower("product_category_name")
+    )
+
+
+@query(
+    "fn_fold_accents",
+    "SELECT doc_id, translate(text, 'áàâãäéèêëíìîïóòôõöúùûüç', 'aaaaaeeeeiiiiooooouuuuc') AS text FROM documents",
+)
+def q_fn_fold_accents(spark, sf_dir):
+    docs = star.table(spark, sf_dir, "documents")
+    return docs.select("doc_id", fold_accents("text").alias("text"))
+
+
+@query(
+    "fn_fillna",
+    "SELECT product_id, COALESCE(product_category_name, 'unknown') AS product_category_name FROM raw_products",
+)
+def q_fn_fillna(spark, sf_dir):
+    return star.raw_products(spark, sf_dir).fillna("unknown", subset=["product_category_name"])
+
+
+@query(
+    "fn_cast_double",
+    """
+SELECT l_orderkey AS order_id, l_linenumber AS line,
+       TRY_CAST(CAST(l_extendedprice AS VARCHAR) AS DOUBLE) AS price,
+       TRY_CAST(l_returnflag AS DOUBLE) AS flag_as_number
+FROM lineitem""",
+)
+def q_fn_cast_double(spark, sf_dir):
+    li = star.table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line"),
+        to_double(F.col("l_extendedprice").cast("string")).alias("price"),
+        to_double("l_returnflag").alias("flag_as_number"),
+    )
+
+
+@query(
+    "fn_cast_int",
+    """
+SELECT review_id,
+       CAST(trunc(TRY_CAST(CAST(review_score AS VARCHAR) AS DOUBLE)) AS INTEGER) AS review_score
+FROM raw_reviews""",
+)
+def q_fn_cast_int(spark, sf_dir):
+    r = star.raw_reviews(spark, sf_dir)
+    return r.select("review_id", to_int_score(F.col("review_score").cast("string")).alias("review_score"))
+
+
+@query(
+    "fn_to_timestamp",
+    """
+SELECT o_orderkey AS order_id,
+       TRY_CAST(CAST(o_orderdate AS VARCHAR) AS TIMESTAMP) AS order_purchase_timestamp,
+       TRY_CAST(o_orderpriority AS TIMESTAMP) AS junk_timestamp
+FROM orders""",
+)
+def q_fn_to_timestamp(spark, sf_dir):
+    o = star.table(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_orderkey").alias("order_id"),
+        to_timestamp(F.col("o_orderdate").cast("string")).alias("order_purchase_timestamp"),
+        to_timestamp("o_orderpriority").alias("junk_timestamp"),
+    )
+
+
+@query(
+    "fn_year_month",
+    """
+SELECT order_id, CAST(year(order_purchase_timestamp) AS INTEGER) AS order_year,
+       CAST(month(order_purchase_timestamp) AS INTEGER) AS order_month
+FROM raw_orders""",
+)
+def q_fn_year_month(spark, sf_dir):
+    return star.raw_orders(spark, sf_dir).select(
+        "order_id",
+        F.year("order_purchase_timestamp").alias("order_year"),
+        F.month("order_purchase_timestamp").alias("order_month"),
+    )
+
+
+@query(
+    "fn_datediff",
+    """
+SELECT order_id,
+       CAST(date_diff('day', CAST(order_purchase_timestamp AS DATE), DATE '2018-10-01') AS INTEGER) AS recency_days
+FROM raw_orders""",
+)
+def q_fn_datediff(spark, sf_dir):
+    return star.raw_orders(spark, sf_dir).select(
+        "order_id",
+        F.datediff(F.to_date(F.lit(rfm.REFERENCE_DATE)), F.col("order_purchase_timestamp")).alias(
+            "recency_days"
+        ),
+    )
+
+
+@query(
+    "fn_round",
+    """
+SELECT l_orderkey AS order_id, l_linenumber AS line,
+       CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_discount AS DECIMAL(18,2)), 2) AS DOUBLE)
+         AS discount_amount
+FROM lineitem""",
+)
+def q_fn_round(spark, sf_dir):
+    li = star.table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("l_linenumber").alias("line"),
+        money_out(money("l_extendedprice") * money("l_discount"), 2).alias("discount_amount"),
+    )
