@@ -73,7 +73,7 @@ def _null_rows(counts: DataFrame, columns: list[str], table: str | None) -> Data
         ]
     )
     out = counts.select("rows", F.inline(entries)).withColumn(
-        "null_pct", F.try_divide(F.col("nulls") * 100.0, F.col("rows"))
+        "null_pct", F.try_divide(F.col("nulls"), F.col("rows")) * 100
     )
     # keep shares above zero, then round to two digits (as the reference prints them)
     out = out.filter(F.col("null_pct") > 0).withColumn("null_pct", F.round("null_pct", 2))
@@ -98,6 +98,17 @@ def null_shares(df: DataFrame, table: str | None = None) -> DataFrame:
     return _null_rows(counts, df.columns, table)
 
 
+def null_pct_wide(df: DataFrame) -> DataFrame:
+    """One row, one column per input column: percent of NULLs (NULL for an empty table)."""
+    total = F.count(F.lit(1))
+    return df.agg(
+        *[
+            (F.try_divide(F.count(F.when(F.col(f"`{c}`").isNull(), F.lit(c))), total) * 100).alias(c)
+            for c in df.columns
+        ]
+    )
+
+
 def profile(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
     """(summary, nulls) of one table from a single grouping pass.
 

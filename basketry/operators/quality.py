@@ -48,17 +48,17 @@ class Gates:
 
 
 def gate_report(df: DataFrame, gates: Gates, table: str = "") -> DataFrame:
-    """(table, rule, columns, failed, passed): one pass over ``df``."""
+    """(table_name, rule, columns, failed, passed): one pass over ``df``."""
     rules = gates.rules()
     if not rules:
         return df.sparkSession.createDataFrame(
-            [], "table string, rule string, columns string, failed long, passed boolean"
+            [], "table_name string, rule string, columns string, failed long, passed boolean"
         )
     one = df.agg(*[expr.alias(f"_r{i}") for i, (_, _, expr) in enumerate(rules)])
     rows = F.array(
         *[
             F.struct(
-                F.lit(table).alias("table"),
+                F.lit(table).alias("table_name"),
                 F.lit(rule).alias("rule"),
                 F.lit(cols).alias("columns"),
                 F.col(f"_r{i}").cast("long").alias("failed"),
@@ -75,7 +75,7 @@ def enforce(report: DataFrame) -> list:
     failed = [r for r in rows if r["failed"] > 0]
     if failed:
         detail = "; ".join(
-            f"{r['table']}.{r['columns']} {r['rule']}: {r['failed']} rows" for r in failed
+            f"{r['table_name']}.{r['columns']} {r['rule']}: {r['failed']} rows" for r in failed
         )
         raise DataQualityError(f"DQ FAIL: {detail}. Pipeline halted.")
     return rows

@@ -682,3 +682,367 @@ def q_fn_round(spark, sf_dir):
         F.col("l_linenumber").alias("line"),
         money_out(money("l_extendedprice") * money("l_discount"), 2).alias("discount_amount"),
     )
+
+
+# ================================================================ quality gates ==
+
+def _gate_sql(table: str, rule: str, columns: str, failed_expr: str, source: str) -> str:
+    return (
+        f"SELECT '{table}' AS table_name, '{rule}' AS rule, '{columns}' AS columns, "
+        f"CAST({failed_expr} AS BIGINT) AS failed, CAST({failed_expr} AS BIGINT) = 0 AS passed "
+        f"FROM {source}"
+    )
+
+
+def _distinct_fail(col: str, source: str) -> str:
+    return f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT {col} FROM {source}))"
+
+
+@query(
+    "dq_not_null",
+    _gate_sql("products", "not_null", "product_id", "count(*) FILTER (WHERE product_id IS NULL)", "raw_products")
+    + "\nUNION ALL\n"
+    + _gate_sql(
+        "products",
+        "not_null",
+        "product_category_name",
+        "count(*) FILTER (WHERE product_category_name IS NULL)",
+        "raw_products",
+    ),
+)
+def q_dq_not_null(spark, sf_dir):
+    gates = Gates(not_null=("product_id", "product_category_name"))
+    return gate_report(star.raw_products(spark, sf_dir), gates, "products")
+
+
+@query(
+    "dq_unique",
+    _gate_sql("customers", "unique", "customer_id", _distinct_fail("customer_id", "raw_customers"), "raw_customers")
+    + "\nUNION ALL\n"
+    + _gate_sql(
+        "customers",
+        "unique",
+        "customer_unique_id",
+        _distinct_fail("customer_unique_id", "raw_customers"),
+        "raw_customers",
+    ),
+)
+def q_dq_unique(spark, sf_dir):
+    gates = Gates(unique=(("customer_id",), ("customer_unique_id",)))
+    return gate_report(star.raw_customers(spark, sf_dir), gates, "customers")
+
+
+_ITEM_CATS = "(SELECT i.order_id, i.product_id, p.product_category_name FROM raw_items i LEFT JOIN raw_products p ON p.product_id = i.product_id)"
+
+
+@query(
+    "dq_any_null",
+    _gate_sql(
+        "items",
+        "any_null",
+        "order_id,product_id",
+        "count(*) FILTER (WHERE order_id IS NULL OR product_id IS NULL)",
+        _ITEM_CATS,
+    )
+    + "\nUNION ALL\n"
+    + _gate_sql(
+        "items",
+        "any_null",
+        "product_id,product_category_name",
+        "count(*) FILTER (WHERE product_id IS NULL OR product_category_name IS NULL)",
+        _ITEM_CATS,
+    ),
+)
+def q_dq_any_null(spark, sf_dir):
+    j = star.raw_items(spark, sf_dir).select("order_id", "product_id").join(
+        star.raw_products(spark, sf_dir), "product_id", "left"
+    )
+    gates = Gates(any_null=(("order_id", "product_id"), ("product_id", "product_category_name")))
+    return gate_report(j, gates, "items")
+
+
+@query(
+    "dq_report",
+    "\nUNION ALL\n".join(
+        [
+            _gate_sql("customers", "not_null", "customer_id", "count(*) FILTER (WHERE customer_id IS NULL)", "clean_customers"),
+            _gate_sql("customers", "unique", "customer_id", _distinct_fail("customer_id", "clean_customers"), "clean_customers"),
+            _gate_sql("orders", "not_null", "order_id", "count(*) FILTER (WHERE order_id IS NULL)", "clean_orders"),
+            _gate_sql("items", "any_null", "order_id,product_id", "count(*) FILTER (WHERE order_id IS NULL OR product_id IS NULL)", "clean_items"),
+            _gate_sql("products", "not_null", "product_id", "count(*) FILTER (WHERE product_id IS NULL)", "clean_products"),
+            _gate_sql("reviews", "any_null", "review_id,order_id", "count(*) FILTER (WHERE review_id IS NULL OR order_id IS NULL)", "clean_reviews"),
+        ]
+    ),
+)
+def q_dq_report(spark, sf_dir):
+    t = cleaned(spark, sf_dir)
+    reports = [gate_report(t[name], CLEANERS[name].gates, name) for name in t]
+    return reduce(DataFrame.unionByName, reports)
+
+
+# ==================================================================== profiling ==
+
+RAW_COLUMNS = {"customers": 4, "orders": 4, "items": 4, "products": 2, "reviews": 3}
+
+
+def _per_raw_sql(template: str) -> str:
+    return "\nUNION ALL\n".join(
+        template.format(name=name, ncols=n) for name, n in RAW_COLUMNS.items()
+    )
+
+
+@query(
+    "prof_shape",
+    _per_raw_sql("SELECT '{name}' AS table_name, count(*) AS rows, {ncols} AS columns FROM raw_{name}"),
+)
+def q_prof_shape(spark, sf_dir):
+    parts = [
+        prof.shape(df).select(F.lit(name).alias("table_name"), "rows", "columns")
+        for name, df in star.raw_tables(spark, sf_dir).items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+_DUP_SQL = (
+    "SELECT '{name}' AS table_name, count(*) AS rows, "
+    "count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {src})) AS duplicate_rows, "
+    "round(COALESCE((count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {src}))) * 100 / "
+    "NULLIF(count(*), 0), 0), 2) AS duplicate_pct FROM {src}"
+)
+
+
+@query(
+    "prof_duplicates",
+    _DUP_SQL.format(
+        name="customer_people",
+        src="(SELECT customer_unique_id, customer_city, customer_state FROM raw_customers)",
+    )
+    + "\nUNION ALL\n"
+    + "\nUNION ALL\n".join(_DUP_SQL.format(name=n, src=f"raw_{n}") for n in RAW_COLUMNS),
+)
+def q_prof_duplicates(spark, sf_dir):
+    raw = star.raw_tables(spark, sf_dir)
+    inputs = {"customer_people": raw["customers"].drop("customer_id"), **raw}
+    parts = [
+        prof.duplicates(df).select(F.lit(name).alias("table_name"), "*")
+        for name, df in inputs.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "prof_null_pct",
+    """
+SELECT count(*) FILTER (WHERE product_id IS NULL) / count(*) * 100 AS product_id,
+       count(*) FILTER (WHERE product_category_name IS NULL) / count(*) * 100 AS product_category_name
+FROM raw_products""",
+)
+def q_prof_null_pct(spark, sf_dir):
+    return prof.null_pct_wide(star.raw_products(spark, sf_dir))
+
+
+@query(
+    "prof_null_report",
+    """
+SELECT * FROM (
+  SELECT 'products' AS table_name, 'product_category_name' AS column_name, 1 AS position,
+         round(count(*) FILTER (WHERE product_category_name IS NULL) / count(*) * 100, 2) AS null_pct
+  FROM raw_products
+  UNION ALL
+  SELECT 'items_with_category', 'product_category_name', 2,
+         round(count(*) FILTER (WHERE product_category_name IS NULL) / count(*) * 100, 2)
+  FROM (SELECT i.order_id, i.product_id, p.product_category_name
+        FROM raw_items i LEFT JOIN raw_products p ON p.product_id = i.product_id))
+WHERE null_pct > 0""",
+)
+def q_prof_null_report(spark, sf_dir):
+    raw = star.raw_tables(spark, sf_dir)
+    items_cat = raw["items"].select("order_id", "product_id").join(raw["products"], "product_id", "left")
+    inputs = {**raw, "items_with_category": items_cat.select("order_id", "product_id", "product_category_name")}
+    return reduce(DataFrame.unionByName, [prof.null_shares(df, name) for name, df in inputs.items()])
+
+
+@query(
+    "prof_all",
+    _per_raw_sql(
+        "SELECT '{name}' AS table_name, count(*) AS rows, {ncols} AS columns, "
+        "count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_{name})) AS duplicate_rows, "
+        "round(COALESCE((count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_{name}))) * 100 / "
+        "NULLIF(count(*), 0), 0), 2) AS duplicate_pct FROM raw_{name}"
+    ),
+)
+def q_prof_all(spark, sf_dir):
+    summary, _nulls = prof.profile_all(star.raw_tables(spark, sf_dir))
+    return summary
+
+
+# ====================================================================== sources ==
+
+DOC_SCHEMA = "doc_id long, text string, lang string, source string"
+
+
+@query("src_csv_roundtrip", "SELECT doc_id, text, lang, source FROM documents")
+def q_src_csv_roundtrip(spark, sf_dir):
+    from pyspark.sql.types import _parse_datatype_string
+
+    path = scratch_path(spark, "documents-csv")
+    docs = star.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    csvsrc.write_csv(docs, path)
+    return csvsrc.read_raw(spark, path, multiline=True, schema=_parse_datatype_string(DOC_SCHEMA))
+
+
+@query("src_csv_inferred", "SELECT order_id, product_id, price, freight_value FROM raw_items")
+def q_src_csv_inferred(spark, sf_dir):
+    path = scratch_path(spark, "items-csv")
+    csvsrc.write_csv(star.raw_items(spark, sf_dir), path)
+    inferred = csvsrc.read_csv_inferred(spark, path)
+    return inferred.select(
+        F.col("order_id").cast("long"),
+        F.col("product_id").cast("long"),
+        F.col("price").cast("double"),
+        F.col("freight_value").cast("double"),
+    )
+
+
+@query(
+    "src_registry",
+    _per_raw_sql("SELECT '{name}' AS source, count(*) AS rows, {ncols} AS columns FROM raw_{name}"),
+)
+def q_src_registry(spark, sf_dir):
+    base = scratch_path(spark, "raw-csv")
+    raw = star.raw_tables(spark, sf_dir)
+    for name, df in raw.items():
+        csvsrc.write_csv(df, csvsrc.source_path(base, name))
+    loaded = csvsrc.load_raw_sources(spark, base, names=list(raw))
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("source"), "rows", F.lit(len(df.columns)).alias("columns")
+        )
+        for name, df in loaded.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "src_lookup_csv",
+    "SELECT DISTINCT lower(p_type) AS product_category_name, p_type AS product_category_name_english FROM part",
+)
+def q_src_lookup_csv(spark, sf_dir):
+    path = scratch_path(spark, "translation-csv")
+    pairs = star.table(spark, sf_dir, "part").select(
+        F.lower("p_type").alias("product_category_name"),
+        F.col("p_type").alias("product_category_name_english"),
+    ).distinct()
+    csvsrc.write_csv(pairs, path)
+    table = lookup.read_translation(spark, path)
+    from basketry.operators.quality import enforce
+
+    enforce(gate_report(table, lookup.TRANSLATION_GATES, "translation"))
+    return table
+
+
+@query(
+    "src_schema",
+    """
+SELECT CAST(ordinal_position - 1 AS INTEGER) AS position, column_name,
+       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+                      WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+                      ELSE lower(data_type) END AS data_type,
+       is_nullable = 'YES' AS nullable
+FROM information_schema.columns WHERE table_name = 'orders'""",
+)
+def q_src_schema(spark, sf_dir):
+    return csvsrc.schema_table(spark, star.table(spark, sf_dir, "orders"))
+
+
+# =============================================================== table versions ==
+
+def _new_table(spark, name) -> VersionedTable:
+    return VersionedTable(spark, scratch_path(spark, name))
+
+
+@query("tbl_latest", "SELECT * FROM clean_customers")
+def q_tbl_latest(spark, sf_dir):
+    t = _new_table(spark, "tbl-latest")
+    t.overwrite(cleaned(spark, sf_dir)["customers"])
+    return t.read()
+
+
+@query("tbl_overwrite", "SELECT * FROM clean_customers")
+def q_tbl_overwrite(spark, sf_dir):
+    t = _new_table(spark, "tbl-overwrite")
+    t.overwrite(star.raw_customers(spark, sf_dir))
+    t.overwrite(cleaned(spark, sf_dir)["customers"])
+    return t.read()
+
+
+@query("tbl_overwrite_schema", "SELECT customer_id, customer_state FROM clean_customers")
+def q_tbl_overwrite_schema(spark, sf_dir):
+    t = _new_table(spark, "tbl-overwrite-schema")
+    customers = cleaned(spark, sf_dir)["customers"]
+    t.overwrite(customers)
+    t.overwrite(customers.select("customer_id", "customer_state"), overwrite_schema=True)
+    return t.read()
+
+
+def _with_points(df: DataFrame) -> DataFrame:
+    return df.withColumn("loyalty_points", F.lit(500))
+
+
+@query("tbl_append_rejected", "SELECT * FROM clean_customers")
+def q_tbl_append_rejected(spark, sf_dir):
+    t = _new_table(spark, "tbl-append-rejected")
+    t.overwrite(cleaned(spark, sf_dir)["customers"])
+    try:
+        t.append(_with_points(star.raw_customers(spark, sf_dir)))
+    except SchemaMismatchError:
+        pass
+    else:
+        raise AssertionError("append with an unknown column was not rejected")
+    return t.read()
+
+
+def _demo_table(spark, sf_dir, name) -> VersionedTable:
+    """v0 = cleaned customers; v1 = append of raw customers with a new column (merged)."""
+    t = _new_table(spark, name)
+    t.overwrite(cleaned(spark, sf_dir)["customers"])
+    t.append(_with_points(star.raw_customers(spark, sf_dir)), merge_schema=True)
+    return t
+
+
+@query(
+    "tbl_append_merged",
+    "SELECT *, CAST(NULL AS INTEGER) AS loyalty_points FROM clean_customers "
+    "UNION ALL SELECT *, 500 AS loyalty_points FROM raw_customers",
+)
+def q_tbl_append_merged(spark, sf_dir):
+    return _demo_table(spark, sf_dir, "tbl-append-merged").read()
+
+
+@query("tbl_as_of", "SELECT * FROM clean_customers")
+def q_tbl_as_of(spark, sf_dir):
+    return _demo_table(spark, sf_dir, "tbl-as-of").read(version=0)
+
+
+@query("tbl_rollback", "SELECT * FROM clean_customers")
+def q_tbl_rollback(spark, sf_dir):
+    t = _demo_table(spark, sf_dir, "tbl-rollback")
+    t.rollback(0)
+    return t.read()
+
+
+@query(
+    "tbl_history",
+    """
+SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, 'Overwrite' AS mode,
+       (SELECT count(*) FROM clean_customers) AS num_output_rows
+UNION ALL SELECT 1, 'WRITE', 'Append', (SELECT count(*) FROM raw_customers)
+UNION ALL SELECT 2, 'RESTORE', NULL, (SELECT count(*) FROM clean_customers)""",
+)
+def q_tbl_history(spark, sf_dir):
+    t = _demo_table(spark, sf_dir, "tbl-history")
+    t.rollback(0)
+    h = t.history()
+    return h.select(
+        "version", "operation", F.col("operationParameters")["mode"].alias("mode"), "num_output_rows"
+    )
