@@ -3,11 +3,15 @@
 Order of the reference's daily schedule: the five cleaning jobs, then customer 360
 and the order fact, then segments (reads customer 360) and sales. Each step writes a
 versioned table and the next step reads it back, so a lost executor only recomputes
-from the last written table, never from the raw files.
+from the last written table, never from the raw files. Jobs without a dependency
+between them are submitted together (Spark runs concurrent jobs of one session side
+by side), as the reference's schedule runs its cleaning jobs in parallel.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.operators.quality import enforce, gate_report
@@ -37,26 +41,46 @@ def run_pipeline(
     root: str,
     reference_date: str = rfm.REFERENCE_DATE,
 ) -> dict[str, VersionedTable]:
-    tables = {name: clean_job(spark, name, raw[name], root) for name in SILVER}
+    with ThreadPoolExecutor(max_workers=len(SILVER)) as pool:
+        futures = {name: pool.submit(clean_job, spark, name, raw[name], root) for name in SILVER}
+        # result() re-raises a failed gate: no mart is built from a failed table
+        tables: dict[str, VersionedTable] = {name: f.result() for name, f in futures.items()}
     s = {name: t.read() for name, t in tables.items()}
 
-    def gold(name: str, df: DataFrame) -> VersionedTable:
+    def gold(name: str, build) -> VersionedTable:
         t = VersionedTable(spark, f"{root}/gold/{name}")
-        t.overwrite(df, overwrite_schema=True)
-        tables[name] = t
+        t.overwrite(build(), overwrite_schema=True)
         return t
 
-    c360 = gold(
-        "customer_360",
-        marts.customer_360(s["orders"], s["items"], s["customers"], s["products"], s["reviews"]),
-    )
-    gold(
-        "fact_orders_enriched",
-        marts.orders_enriched(s["orders"], s["items"], s["reviews"], s["customers"]),
-    )
-    gold("segment_rfm", rfm.segment_rfm(c360.read(), reference_date))
-    gold(
-        "agg_sales_by_state_category_month",
-        marts.sales_by_state_category_month(s["items"], s["orders"], s["customers"], s["products"]),
-    )
+    def c360_then_segments() -> tuple[VersionedTable, VersionedTable]:
+        c360 = gold(
+            "customer_360",
+            lambda: marts.customer_360(
+                s["orders"], s["items"], s["customers"], s["products"], s["reviews"]
+            ),
+        )
+        seg = gold(
+            "segment_rfm",
+            lambda: rfm.segment_rfm(c360.read(), reference_date, materialized=True),
+        )
+        return c360, seg
+
+    def fact_then_sales() -> tuple[VersionedTable, VersionedTable]:
+        fact = gold(
+            "fact_orders_enriched",
+            lambda: marts.orders_enriched(s["orders"], s["items"], s["reviews"], s["customers"]),
+        )
+        sales = gold(
+            "agg_sales_by_state_category_month",
+            lambda: marts.sales_by_state_category_month(
+                s["items"], s["orders"], s["customers"], s["products"]
+            ),
+        )
+        return fact, sales
+
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        a = pool.submit(c360_then_segments)
+        b = pool.submit(fact_then_sales)
+        tables["customer_360"], tables["segment_rfm"] = a.result()
+        tables["fact_orders_enriched"], tables["agg_sales_by_state_category_month"] = b.result()
     return tables

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators.ntile import ntile
+from basketry.session import checkpoint_root
 
 # Default reference date for recency, score count, segment labels.
 REFERENCE_DATE = "2018-10-01"
@@ -16,6 +17,10 @@ AT_RISK = "3. At Risk"
 HIBERNATING = "4. Hibernating / Lost"
 POTENTIAL = "5. Potential / Others"
 
+# Up to this many rows the three scores use one global window each (a single task
+# sorts at most this many rows); above it the distributed range form is used.
+WINDOW_MAX_ROWS = 1_000_000
+
 # Rows tied on a score key are ordered by the customer grain, so scores are repeatable.
 TIEBREAK = ("customer_unique_id", "customer_city")
 
@@ -33,7 +38,15 @@ def _order(key: Column) -> list[Column]:
 
 
 def scores(base: DataFrame, method: str = "range") -> DataFrame:
-    """R (recency descending: oldest = 1), F (order count), M (value), each 1..4."""
+    """R (recency descending: oldest = 1), F (order count), M (value), each 1..4.
+
+    method: "range" (distributed, any size), "window" (one task per score), or
+    "auto" (count ``base``, window up to WINDOW_MAX_ROWS rows, else range). With
+    "auto", ``base`` should be materialised (a table or a checkpoint), since it is
+    read once for the count and again for the scores.
+    """
+    if method == "auto":
+        method = "window" if base.count() <= WINDOW_MAX_ROWS else "range"
     out = ntile(base, BUCKETS, _order(F.col("recency_days").desc_nulls_last()), "R_Score", method)
     out = ntile(out, BUCKETS, _order(F.col("total_orders").asc_nulls_first()), "F_Score", method)
     out = ntile(
@@ -60,9 +73,23 @@ def segments(scored: DataFrame) -> DataFrame:
 
 
 def segment_rfm(
-    c360: DataFrame, reference_date: str = REFERENCE_DATE, method: str = "range"
+    c360: DataFrame,
+    reference_date: str = REFERENCE_DATE,
+    method: str = "auto",
+    materialized: bool = False,
 ) -> DataFrame:
-    return segments(scores(recency(c360, reference_date), method))
+    """Segments over a customer-360 table.
+
+    Unless ``materialized`` (e.g. the mart was just read from its table), the scoring
+    base is checkpointed to the session's checkpoint folder first: the scores read it
+    up to four times (row count, three orders), and a lost executor then recomputes
+    from the checkpoint, not from the raw tables.
+    """
+    base = recency(c360, reference_date)
+    if method in ("auto", "range") and not materialized:
+        checkpoint_root(base.sparkSession)
+        base = base.checkpoint(eager=True)
+    return segments(scores(base, method))
 
 
 def segment_counts(segmented: DataFrame) -> DataFrame:

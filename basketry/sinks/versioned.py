@@ -72,6 +72,9 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        # the record this instance last committed; as the single writer it is the
+        # latest version, so later reads and writes skip reading the commit log
+        self._latest: dict | None = None
 
     # -- paths ----------------------------------------------------------------------
     @property
@@ -101,6 +104,8 @@ class VersionedTable:
             raise
 
     def _record(self, version: int | None = None):
+        if self._latest is not None and version in (None, self._latest["version"]):
+            return self._latest
         recs = self._records()
         if version is None:
             rows = recs.orderBy(F.col("version").desc()).limit(1).collect()
@@ -110,7 +115,7 @@ class VersionedTable:
             if version is None:
                 return None
             raise VersionNotFoundError(f"{self.root} has no version {version}")
-        return rows[0]
+        return rows[0].asDict()
 
     def latest_version(self) -> int | None:
         rec = self._record()
@@ -140,26 +145,24 @@ class VersionedTable:
         n = self.spark.read.parquet(self._batch_path(batch)).count()
         return batch, n
 
-    def _commit(self, operation, params, schema: StructType, batches, n_rows) -> int:
-        prev = self.latest_version()
-        version = 0 if prev is None else prev + 1
-        record = [
-            (
-                version,
-                datetime.now(timezone.utc).isoformat(timespec="milliseconds"),
-                operation,
-                {k: str(v) for k, v in params.items()},
-                schema.json(),
-                list(batches),
-                int(n_rows),
-            )
-        ]
+    def _commit(self, prev, operation, params, schema: StructType, batches, n_rows) -> int:
+        version = 0 if prev is None else prev["version"] + 1
+        record = {
+            "version": version,
+            "timestamp": datetime.now(timezone.utc).isoformat(timespec="milliseconds"),
+            "operation": operation,
+            "operationParameters": {k: str(v) for k, v in params.items()},
+            "table_schema": schema.json(),
+            "batches": list(batches),
+            "num_output_rows": int(n_rows),
+        }
         (
-            self.spark.createDataFrame(record, COMMIT_SCHEMA)
+            self.spark.createDataFrame([record], COMMIT_SCHEMA)
             .coalesce(1)
             .write.mode("errorifexists")
             .json(self._record_path(version))
         )
+        self._latest = record
         return version
 
     def write(
@@ -196,7 +199,7 @@ class VersionedTable:
             params["mergeSchema"] = "true"
         if overwrite_schema:
             params["overwriteSchema"] = "true"
-        return self._commit("WRITE", params, schema, batches, n)
+        return self._commit(rec, "WRITE", params, schema, batches, n)
 
     def overwrite(self, df: DataFrame, **kw) -> int:
         return self.write(df, "overwrite", **kw)
@@ -209,4 +212,4 @@ class VersionedTable:
         rec = self._record(version)
         schema = StructType.fromJson(json.loads(rec["table_schema"]))
         n = self.read(version).count()  # footer row counts only
-        return self._commit("RESTORE", {"version": version}, schema, rec["batches"], n)
+        return self._commit(self._record(), "RESTORE", {"version": version}, schema, rec["batches"], n)
