@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.money import money, money_out
+from basketry.operators.joins import fanout_left_join
 
 GRAIN = ["customer_unique_id", "customer_city"]
 
@@ -147,9 +148,9 @@ def orders_enriched(
 ) -> DataFrame:
     """Order fact: order columns + item totals + review score (one row per review) +
     city/state. Orders without items are dropped; orders without reviews keep NULL."""
+    with_totals = orders.join(item_totals(items), "order_id", "inner")
     return (
-        orders.join(item_totals(items), "order_id", "inner")
-        .join(reviews.select("order_id", "review_score"), "order_id", "left")
+        fanout_left_join(with_totals, reviews.select("order_id", "review_score"), "order_id")
         .join(
             customers.select("customer_id", "customer_city", "customer_state"),
             "customer_id",
