@@ -1046,3 +1046,13 @@ def q_tbl_history(spark, sf_dir):
     return h.select(
         "version", "operation", F.col("operationParameters")["mode"].alias("mode"), "num_output_rows"
     )
+
+
+@query(
+    "fn_normalize_city",
+    "SELECT doc_id, translate(lower(text), 'áàâãäéèêëíìîïóòôõöúùûüç', 'aaaaaeeeeiiiiooooouuuuc') AS text "
+    "FROM documents",
+)
+def q_fn_normalize_city(spark, sf_dir):
+    docs = star.table(spark, sf_dir, "documents")
+    return docs.select("doc_id", normalize_city("text").alias("text"))

@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The analytics this package rebuilds are daily batch jobs: every read and write is a
+batch operation, and no stream, watermark, window over event time or stateful
+operator occurs in them. Incremental arrival of rows is covered by the versioned
+table's append (with schema enforcement or merge) in ``basketry.sinks.versioned``.
+"""
