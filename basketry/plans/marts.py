@@ -11,11 +11,12 @@ Semantics follow the reference exactly, including its quirks:
 * ``price + freight_value`` is added per row before the sum, so a NULL freight drops
   the whole row from the lifetime value.
 
-The plans differ from the reference in HOW: the reference joins every item row to
-orders, customers, products and reviews (four shuffles of item-sized data, and the
-review fan-out materialised), then aggregates. Here items are first reduced to one
-row per (order, category) and reviews to one row per order; the fan-out becomes a
-multiplier, and only order-sized data meets the customer join. Money is summed as
+The plans differ from the original jobs in HOW: those join every item row to
+orders, customers, products and reviews (up to four shuffles of item-sized data, and
+the review fan-out materialised), then aggregate. Here items meet their order once
+and are reduced to one row per (order, category) inside that partitioning; reviews
+are reduced to one row per order and the fan-out becomes a multiplier, so only
+order-sized data meets the customer join. Money is summed as
 DECIMAL(18,2) (exact, order-independent) and returned as double.
 """
 
@@ -58,7 +59,7 @@ def customer_360(
     """Per (customer_unique_id, customer_city): total_orders, total_lifetime_value,
     last_purchase_date, average_review_score, favorite_category.
 
-    ``base`` has one row per (order row, category). A single GROUPING SETS
+    ``base`` has one row per (order, category). A single GROUPING SETS
     aggregation reduces it both per (customer, order) -- for the distinct order
     count and the order measures -- and per (customer, category) -- for the
     favourite's weights; one more aggregation per customer combines the two kinds of
@@ -66,17 +67,20 @@ def customer_360(
     aggregation, so a customer holding a large share of all rows is spread over
     tasks by order and category before it is reduced to one row.
     """
-    per_oc = _items_with_category(items, products).groupBy(
-        "order_id", "product_category_name"
+    # Items meet their order once (one exchange by order_id); the per-(order, category)
+    # reduction and the join with the per-order review statistics then run inside that
+    # partitioning without another exchange.
+    lines = _items_with_category(items, products).join(
+        orders.select("order_id", "customer_id", "order_purchase_timestamp"), "order_id"
+    )
+    per_oc = lines.groupBy(
+        "order_id", "customer_id", "order_purchase_timestamp", "product_category_name"
     ).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum(money("price") + money("freight_value")).alias("value"),
     )
     base = (
-        per_oc.join(
-            orders.select("order_id", "customer_id", "order_purchase_timestamp"), "order_id"
-        )
-        .join(review_stats(reviews), "order_id", "left")
+        per_oc.join(review_stats(reviews), "order_id", "left")
         .join(customers.select("customer_id", *GRAIN), "customer_id")
         .withColumn("fan", F.coalesce(F.col("n_reviews"), F.lit(1)))
     )
@@ -162,21 +166,27 @@ def orders_enriched(
 def sales_by_state_category_month(
     items: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame
 ) -> DataFrame:
-    """Plain group-by (no subtotals) of item sales by year, month, state, category."""
-    per_oc = _items_with_category(items, products).groupBy(
-        "order_id", "product_category_name"
+    """Plain group-by (no subtotals) of item sales by year, month, state, category.
+
+    Items meet their order once; sales are then reduced per (customer, month,
+    category) with map-side combining, so only that small grain meets the customer
+    join, and a customer holding many items is reduced before it is shuffled.
+    """
+    lines = _items_with_category(items, products).join(
+        orders.select("order_id", "customer_id", "order_purchase_timestamp"), "order_id"
+    )
+    per_cmc = lines.groupBy(
+        "customer_id",
+        F.year("order_purchase_timestamp").alias("order_year"),
+        F.month("order_purchase_timestamp").alias("order_month"),
+        "product_category_name",
     ).agg(
         F.sum(money("price")).alias("sales"),
         F.count("product_id").alias("n_items"),
     )
-    base = per_oc.join(
-        orders.select("order_id", "customer_id", "order_purchase_timestamp"), "order_id"
-    ).join(customers.select("customer_id", "customer_state"), "customer_id")
+    base = per_cmc.join(customers.select("customer_id", "customer_state"), "customer_id")
     return base.groupBy(
-        F.year("order_purchase_timestamp").alias("order_year"),
-        F.month("order_purchase_timestamp").alias("order_month"),
-        F.col("customer_state"),
-        F.col("product_category_name"),
+        "order_year", "order_month", "customer_state", "product_category_name"
     ).agg(
         money_out(F.sum("sales"), 2).alias("total_sales"),
         F.sum("n_items").cast("long").alias("total_items_sold"),
