@@ -11,8 +11,12 @@
 4. global row number rn = offset + position + 1; with N rows, q = N div k and
    r = N mod k, the first r buckets hold q + 1 rows and the rest q rows.
 
-The sort keys must make the order total (add unique tiebreak columns): then every
-recomputation after a lost executor yields the same positions.
+Steps 1-2 are checkpointed (a reliable checkpoint in the session's checkpoint
+folder) before the counts are taken: the range bounds come from a sample whose seed
+depends on the plan instance, so counts and positions must be read from one
+materialisation, never from two evaluations of the range shuffle. The checkpoint also
+means a lost executor re-reads positions instead of recomputing them. The sort keys
+must make the order total (add unique tiebreak columns).
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.session import checkpoint_root
+
 _POS_MASK = (1 << 33) - 1
 
 
@@ -44,6 +50,7 @@ def ntile_range(
     """Distributed ``ntile(k)`` over ``order`` (sort-order Columns, total order)."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    checkpoint_root(spark)
     ranged = (
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
@@ -51,6 +58,7 @@ def ntile_range(
         .withColumn(
             "__pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK))
         )
+        .checkpoint(eager=True)
     )
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
     # one row per partition: a single-task window here is bounded by the partition count
