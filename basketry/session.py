@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # delete reliable-checkpoint files once the DataFrames using them are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

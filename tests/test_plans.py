@@ -25,3 +25,58 @@ def test_profile_is_one_grouping_pass(spark):
     summary, _ = profile(df, "orders")
     text = plan_text(summary)
     assert text.count("orders.parquet") == 1
+
+
+SKEW_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+def test_hot_customer_is_split_and_exact(spark):
+    """One customer places a third of all orders: the customer join is split by AQE
+    (thresholds lowered so the small test data counts as skewed) and totals stay exact."""
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    from basketry.plans import marts
+    from tests.fixtures import CUSTOMERS, PRODUCTS, REVIEWS
+
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        n = 30_000
+        customers = spark.createDataFrame([(f"c{i}", f"u{i}", "x", "S") for i in range(300)], CUSTOMERS)
+        orders = spark.range(n).select(
+            F.concat(F.lit("o"), F.col("id")).alias("order_id"),
+            F.when(F.col("id") % 3 == 0, F.lit("c0"))
+            .otherwise(F.concat(F.lit("c"), F.col("id") % 300))
+            .alias("customer_id"),
+            F.lit("delivered").alias("order_status"),
+            F.lit(datetime(2018, 1, 1)).cast("timestamp_ntz").alias("order_purchase_timestamp"),
+        )
+        items = spark.range(n).select(
+            F.concat(F.lit("o"), F.col("id")).alias("order_id"),
+            F.lit("p1").alias("product_id"),
+            F.lit(1.0).alias("price"),
+            F.lit(0.5).alias("freight_value"),
+        )
+        products = spark.createDataFrame([("p1", "toys")], PRODUCTS)
+        reviews = spark.createDataFrame([], REVIEWS)
+        df = marts.customer_360(orders, items, customers, products, reviews)
+        rows = {r.customer_unique_id: r for r in df.collect()}
+        assert (rows["u0"].total_orders, rows["u0"].total_lifetime_value) == (10_000, 15_000.0)
+        assert sum(r.total_orders for r in rows.values()) == n
+        assert "SortMergeJoin(skew=true)" in plan_text(df, "simple")
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
