@@ -69,7 +69,10 @@ def customer_360(
     """
     # Items meet their order once (one exchange by order_id); the per-(order, category)
     # reduction and the join with the per-order review statistics then run inside that
-    # partitioning without another exchange.
+    # partitioning without another exchange. An order holding a large share of all
+    # items is split by AQE's skew join (spark.sql.adaptive.forceOptimizeSkewedJoin,
+    # on in basketry.session): the split tasks pre-aggregate their share and AQE adds
+    # the one exchange the aggregation then needs.
     lines = _items_with_category(items, products).join(
         orders.select("order_id", "customer_id", "order_purchase_timestamp"), "order_id"
     )
@@ -168,21 +171,27 @@ def sales_by_state_category_month(
 ) -> DataFrame:
     """Plain group-by (no subtotals) of item sales by year, month, state, category.
 
-    Items meet their order once; sales are then reduced per (customer, month,
-    category) with map-side combining, so only that small grain meets the customer
-    join, and a customer holding many items is reduced before it is shuffled.
+    Items are reduced per (order, category) with map-side combining before any
+    shuffle, so an order holding a large share of all items is already a handful of
+    rows when it meets its order. Sales are then reduced per (customer, month,
+    category) before the customer join, and finally per output group.
     """
-    lines = _items_with_category(items, products).join(
-        orders.select("order_id", "customer_id", "order_purchase_timestamp"), "order_id"
+    per_oc = _items_with_category(items, products).groupBy(
+        "order_id", "product_category_name"
+    ).agg(
+        F.sum(money("price")).alias("sales"),
+        F.count("product_id").alias("n_items"),
     )
-    per_cmc = lines.groupBy(
+    per_cmc = per_oc.join(
+        orders.select("order_id", "customer_id", "order_purchase_timestamp"), "order_id"
+    ).groupBy(
         "customer_id",
         F.year("order_purchase_timestamp").alias("order_year"),
         F.month("order_purchase_timestamp").alias("order_month"),
         "product_category_name",
     ).agg(
-        F.sum(money("price")).alias("sales"),
-        F.count("product_id").alias("n_items"),
+        F.sum("sales").alias("sales"),
+        F.sum("n_items").alias("n_items"),
     )
     base = per_cmc.join(customers.select("customer_id", "customer_state"), "customer_id")
     return base.groupBy(

@@ -14,6 +14,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a skewed join even where that costs an extra exchange afterwards (the
+    # items-to-orders join feeds an aggregation on the join key)
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Broadcast joins happen only under this estimated size; beyond it the join
     # stays a shuffle join (statically and when AQE re-plans with real sizes).

@@ -80,3 +80,71 @@ def test_hot_customer_is_split_and_exact(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def _hot_order_tables(spark):
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    from tests.fixtures import CUSTOMERS, PRODUCTS, REVIEWS
+
+    n = 30_000
+    customers = spark.createDataFrame([(f"c{i}", f"u{i}", "x", "S") for i in range(300)], CUSTOMERS)
+    orders = spark.range(n).select(
+        F.concat(F.lit("o"), F.col("id")).alias("order_id"),
+        F.concat(F.lit("c"), F.col("id") % 300).alias("customer_id"),
+        F.lit("delivered").alias("order_status"),
+        F.lit(datetime(2018, 1, 1)).cast("timestamp_ntz").alias("order_purchase_timestamp"),
+    )
+    # one order holds a third of all items
+    items = spark.range(3 * n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("o0")).otherwise(F.concat(F.lit("o"), F.col("id") % n)).alias("order_id"),
+        F.concat(F.lit("p"), F.col("id") % 4).alias("product_id"),
+        F.lit(1.0).alias("price"),
+        F.lit(0.5).alias("freight_value"),
+    )
+    products = spark.createDataFrame([("p0", "toys"), ("p1", "auto"), ("p2", "toys"), ("p3", "home")], PRODUCTS)
+    return orders, items, customers, products, spark.createDataFrame([], REVIEWS)
+
+
+def test_hot_order(spark):
+    from basketry.plans import marts
+
+    conf = {
+        **SKEW_CONF,
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+        # enough partitions for the size statistics to single out the hot one
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        orders, items, customers, products, reviews = _hot_order_tables(spark)
+        c360 = marts.customer_360(orders, items, customers, products, reviews)
+        rows = {r.customer_unique_id: r for r in c360.collect()}
+        # items of orders k, k+n, k+2n share k % 3: o0 gets 30,000 items, orders with
+        # k % 3 != 0 get three each, the rest none; u0's only order with items is o0
+        assert (rows["u0"].total_orders, rows["u0"].total_lifetime_value) == (1, 45_000.0)
+        assert sum(r.total_orders for r in rows.values()) == 20_001
+        assert "SortMergeJoin(skew=true)" in plan_text(c360, "simple")
+
+        sales = marts.sales_by_state_category_month(items, orders, customers, products)
+        got = {r.product_category_name: r.total_items_sold for r in sales.collect()}
+        assert sum(got.values()) == 90_000
+        # items are combined per (order, category) map-side before the shuffle by order
+        import re
+
+        text = plan_text(sales, "simple")
+        assert re.search(
+            r"Exchange hashpartitioning\(order_id#\d+, product_category_name#\d+.*\n.*"
+            r"HashAggregate\(keys=\[order_id#\d+, product_category_name#\d+\], functions=\[partial_sum",
+            text,
+        )
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
