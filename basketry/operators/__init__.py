@@ -1,2 +1,2 @@
 """Reusable DataFrame operators: quality gates, profiling, quantile scoring, top-k,
-weighted mode."""
+skew-safe joins."""
