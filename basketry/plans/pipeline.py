@@ -6,6 +6,8 @@ versioned table and the next step reads it back, so a lost executor only recompu
 from the last written table, never from the raw files. Jobs without a dependency
 between them are submitted together (Spark runs concurrent jobs of one session side
 by side), as the reference's schedule runs its cleaning jobs in parallel.
+
+Tables live under one root: ``<root>/silver/<name>`` and ``<root>/gold/<name>``.
 """
 
 from __future__ import annotations
@@ -23,10 +25,18 @@ SILVER = ("customers", "orders", "items", "reviews", "products")
 GOLD = ("customer_360", "fact_orders_enriched", "segment_rfm", "agg_sales_by_state_category_month")
 
 
+def silver_table(spark: SparkSession, root: str, name: str) -> VersionedTable:
+    return VersionedTable(spark, f"{root.rstrip('/')}/silver/{name}")
+
+
+def gold_table(spark: SparkSession, root: str, name: str) -> VersionedTable:
+    return VersionedTable(spark, f"{root.rstrip('/')}/gold/{name}")
+
+
 def clean_job(spark: SparkSession, name: str, raw: DataFrame, root: str) -> VersionedTable:
     """Clean one raw table, write it, run its gates on the written data, then commit."""
     cleaner = CLEANERS[name]
-    table = VersionedTable(spark, f"{root}/silver/{name}")
+    table = silver_table(spark, root, name)
 
     def check(written: DataFrame) -> None:
         enforce(gate_report(written, cleaner.gates, name))
@@ -35,6 +45,32 @@ def clean_job(spark: SparkSession, name: str, raw: DataFrame, root: str) -> Vers
     return table
 
 
+def gold_job(
+    spark: SparkSession,
+    name: str,
+    root: str,
+    silver: dict[str, DataFrame] | None = None,
+    reference_date: str = rfm.REFERENCE_DATE,
+) -> VersionedTable:
+    """Build one mart from the latest cleaned tables (or ``silver``) and commit it with
+    its new schema. ``segment_rfm`` reads the committed customer 360."""
+    s = silver or {n: silver_table(spark, root, n).read() for n in SILVER}
+    if name == "customer_360":
+        df = marts.customer_360(s["orders"], s["items"], s["customers"], s["products"], s["reviews"])
+    elif name == "fact_orders_enriched":
+        df = marts.orders_enriched(s["orders"], s["items"], s["reviews"], s["customers"])
+    elif name == "agg_sales_by_state_category_month":
+        df = marts.sales_by_state_category_month(s["items"], s["orders"], s["customers"], s["products"])
+    elif name == "segment_rfm":
+        c360 = gold_table(spark, root, "customer_360").read()
+        df = rfm.segment_rfm(c360, reference_date, materialized=True)
+    else:
+        raise ValueError(f"unknown mart {name!r}; one of {GOLD}")
+    table = gold_table(spark, root, name)
+    table.overwrite(df, overwrite_schema=True)
+    return table
+
+
 def run_pipeline(
     spark: SparkSession,
     raw: dict[str, DataFrame],
@@ -47,40 +83,14 @@ def run_pipeline(
         tables: dict[str, VersionedTable] = {name: f.result() for name, f in futures.items()}
     s = {name: t.read() for name, t in tables.items()}
 
-    def gold(name: str, build) -> VersionedTable:
-        t = VersionedTable(spark, f"{root}/gold/{name}")
-        t.overwrite(build(), overwrite_schema=True)
-        return t
-
-    def c360_then_segments() -> tuple[VersionedTable, VersionedTable]:
-        c360 = gold(
-            "customer_360",
-            lambda: marts.customer_360(
-                s["orders"], s["items"], s["customers"], s["products"], s["reviews"]
-            ),
-        )
-        seg = gold(
-            "segment_rfm",
-            lambda: rfm.segment_rfm(c360.read(), reference_date, materialized=True),
-        )
-        return c360, seg
-
-    def fact_then_sales() -> tuple[VersionedTable, VersionedTable]:
-        fact = gold(
-            "fact_orders_enriched",
-            lambda: marts.orders_enriched(s["orders"], s["items"], s["reviews"], s["customers"]),
-        )
-        sales = gold(
-            "agg_sales_by_state_category_month",
-            lambda: marts.sales_by_state_category_month(
-                s["items"], s["orders"], s["customers"], s["products"]
-            ),
-        )
-        return fact, sales
+    def chain(first: str, second: str) -> tuple[VersionedTable, VersionedTable]:
+        a = gold_job(spark, first, root, s, reference_date)
+        b = gold_job(spark, second, root, s, reference_date)
+        return a, b
 
     with ThreadPoolExecutor(max_workers=2) as pool:
-        a = pool.submit(c360_then_segments)
-        b = pool.submit(fact_then_sales)
-        tables["customer_360"], tables["segment_rfm"] = a.result()
-        tables["fact_orders_enriched"], tables["agg_sales_by_state_category_month"] = b.result()
+        left = pool.submit(chain, "customer_360", "segment_rfm")
+        right = pool.submit(chain, "fact_orders_enriched", "agg_sales_by_state_category_month")
+        tables["customer_360"], tables["segment_rfm"] = left.result()
+        tables["fact_orders_enriched"], tables["agg_sales_by_state_category_month"] = right.result()
     return tables
