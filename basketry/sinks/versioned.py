@@ -18,6 +18,7 @@ assumed (a second writer racing for the same version fails on the existing path)
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from datetime import datetime, timezone
 from typing import Callable
@@ -103,18 +104,29 @@ class VersionedTable:
                 return self.spark.createDataFrame([], COMMIT_SCHEMA)
             raise
 
+    def versions(self) -> list[int]:
+        """Committed versions, from a listing of the record folders (no job runs)."""
+        try:
+            files = self.spark.read.text(f"{self._commits}/v*").inputFiles()
+        except Exception as e:  # noqa: BLE001 - missing folder = no versions
+            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+                return []
+            raise
+        found = (re.search(r"/v(\d{20})/[^/]+$", f) for f in files)
+        return sorted({int(m.group(1)) for m in found if m})
+
     def _record(self, version: int | None = None):
         if self._latest is not None and version in (None, self._latest["version"]):
             return self._latest
-        recs = self._records()
+        known = self.versions()
         if version is None:
-            rows = recs.orderBy(F.col("version").desc()).limit(1).collect()
-        else:
-            rows = recs.filter(F.col("version") == version).collect()
-        if not rows:
-            if version is None:
+            if not known:
                 return None
+            version = known[-1]
+        elif version not in known:
             raise VersionNotFoundError(f"{self.root} has no version {version}")
+        # one small record file is read, however long the history is
+        rows = self.spark.read.schema(COMMIT_SCHEMA).json(self._record_path(version)).collect()
         return rows[0].asDict()
 
     def latest_version(self) -> int | None:
