@@ -72,3 +72,52 @@ def test_empty_table_version(spark, tmp_root):
     assert t.latest_version() is None
     t.overwrite(spark.createDataFrame([], SCHEMA))
     assert t.read().count() == 0
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+OPS = st.lists(
+    st.tuples(st.sampled_from(["overwrite", "append", "merge", "rollback"]), st.integers(0, 3)),
+    min_size=1,
+    max_size=4,
+)
+
+
+@settings(max_examples=4, deadline=None)
+@given(ops=OPS)
+def test_versions_match_a_model(spark, tmp_path_factory, ops):
+    """Random operation sequences: every version reads back exactly as modelled."""
+    root = str(tmp_path_factory.mktemp("vt"))
+    t = VersionedTable(spark, f"{root}/t")
+    base = "k int, v string"
+    model: list[tuple[list[str], list[tuple]]] = []  # per version: (columns, rows)
+    t.overwrite(spark.createDataFrame([(0, "a")], base))
+    model.append((["k", "v"], [(0, "a")]))
+    for i, (op, arg) in enumerate(ops, start=1):
+        cols, rows = model[-1]
+        if op == "overwrite":
+            new = [(i, f"o{j}") for j in range(arg)]
+            t.overwrite(spark.createDataFrame(new, base).select(*[c for c in ["k", "v"]]))
+            model.append((["k", "v"] + [c for c in cols if c not in ("k", "v")], [r[:2] + (None,) * (len(cols) - 2) for r in new]))
+        elif op == "append":
+            new = [(i, f"a{j}") for j in range(arg)]
+            t.append(spark.createDataFrame(new, base))
+            model.append((cols, rows + [r + (None,) * (len(cols) - 2) for r in new]))
+        elif op == "merge":
+            new = [(i, f"m{j}", i * 10) for j in range(arg)]
+            df = spark.createDataFrame(new, "k int, v string, extra int")
+            t.append(df, merge_schema=True)
+            if "extra" in cols:
+                model.append((cols, rows + new))
+            else:
+                model.append((cols + ["extra"], [r + (None,) for r in rows] + new))
+        else:
+            target = arg % len(model)
+            t.rollback(target)
+            model.append(model[target])
+    assert t.versions() == list(range(len(model)))
+    for version, (cols, rows) in enumerate(model):
+        got = t.read(version=version)
+        assert got.columns == cols, (version, ops)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(rows, key=repr), (version, ops)
