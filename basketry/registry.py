@@ -13,13 +13,14 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from basketry.functions.casts import to_double, to_int_score, to_timestamp
 from basketry.functions.money import money, money_out
 from basketry.functions.text import fold_accents, normalize_city
 from basketry.operators import profile as prof
 from basketry.operators.ntile import ntile_range
-from basketry.operators.quality import Gates, gate_report
+from basketry.operators.quality import Gates, enforce, gate_report
 from basketry.operators.topk import first_n, top_k
 from basketry.oracle import with_ctes
 from basketry.plans import clean, marts, rfm
@@ -878,17 +879,22 @@ def q_prof_all(spark, sf_dir):
 
 # ====================================================================== sources ==
 
-DOC_SCHEMA = "doc_id long, text string, lang string, source string"
+DOC_SCHEMA = StructType(
+    [
+        StructField("doc_id", LongType()),
+        StructField("text", StringType()),
+        StructField("lang", StringType()),
+        StructField("source", StringType()),
+    ]
+)
 
 
 @query("src_csv_roundtrip", "SELECT doc_id, text, lang, source FROM documents")
 def q_src_csv_roundtrip(spark, sf_dir):
-    from pyspark.sql.types import _parse_datatype_string
-
     path = scratch_path(spark, "documents-csv")
     docs = star.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     csvsrc.write_csv(docs, path)
-    return csvsrc.read_raw(spark, path, multiline=True, schema=_parse_datatype_string(DOC_SCHEMA))
+    return csvsrc.read_raw(spark, path, multiline=True, schema=DOC_SCHEMA)
 
 
 @query("src_csv_inferred", "SELECT order_id, product_id, price, freight_value FROM raw_items")
@@ -935,8 +941,6 @@ def q_src_lookup_csv(spark, sf_dir):
     ).distinct()
     csvsrc.write_csv(pairs, path)
     table = lookup.read_translation(spark, path)
-    from basketry.operators.quality import enforce
-
     enforce(gate_report(table, lookup.TRANSLATION_GATES, "translation"))
     return table
 
