@@ -52,12 +52,19 @@ def get_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and points at shared storage. Only
-    when it is unset (local runs, tests) a local folder is created and registered.
+    On a cluster this is set by the deployment and points at shared storage; if it is
+    unset there, this raises. Only in local mode (tests, one machine) an unset
+    setting gets a local temporary folder.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
     if not root:
+        if not sc.master.startswith("local"):
+            # executors on other machines cannot see a folder local to the driver
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: set it to a folder on shared storage "
+                "(e.g. hdfs:// or s3a://) for checkpoints and intermediate tables"
+            )
         root = tempfile.mkdtemp(prefix="basketry-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

@@ -36,3 +36,10 @@ def test_timestamp_junk_is_null(spark):
     out = _one(spark, ["2017-10-02 10:56:33", "zzz"], to_timestamp)
     assert out[0].isoformat() == "2017-10-02T10:56:33"
     assert out[1] is None
+
+
+def test_checkpoint_root_is_shared_setting_or_local_fallback(spark):
+    from basketry.session import checkpoint_root
+
+    root = checkpoint_root(spark)
+    assert root and spark.sparkContext.getCheckpointDir()
