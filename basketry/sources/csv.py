@@ -52,6 +52,8 @@ def read_raw(
 
 
 def _typed(name: str, data_type) -> "F.Column":
+    """Tolerant cast by target type: junk -> NULL; int goes through double, so '5.7'
+    reads as 5 (the review-score rule); timestamps are wall-clock (no time zone)."""
     c = F.col(name)
     if isinstance(data_type, DoubleType):
         out = to_double(c)
