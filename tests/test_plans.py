@@ -148,3 +148,49 @@ def test_hot_order(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_hot_product(spark):
+    """One product is on a third of all items: the items-to-products left join is split
+    on its preserved (items) side and every mart total stays exact."""
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    from basketry.plans import marts
+    from tests.fixtures import CUSTOMERS, REVIEWS
+
+    conf = {**SKEW_CONF, "spark.sql.shuffle.partitions": "8"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 30_000
+        customers = spark.createDataFrame([(f"c{i}", f"u{i}", "x", "S") for i in range(300)], CUSTOMERS)
+        orders = spark.range(n).select(
+            F.concat(F.lit("o"), F.col("id")).alias("order_id"),
+            F.concat(F.lit("c"), F.col("id") % 300).alias("customer_id"),
+            F.lit("delivered").alias("order_status"),
+            F.lit(datetime(2018, 1, 1)).cast("timestamp_ntz").alias("order_purchase_timestamp"),
+        )
+        items = spark.range(3 * n).select(
+            F.concat(F.lit("o"), F.col("id") % n).alias("order_id"),
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("p"), F.col("id") % 500)).alias("product_id"),
+            F.lit(2.0).alias("price"),
+            F.lit(0.0).alias("freight_value"),
+        )
+        products = spark.range(500).select(
+            F.concat(F.lit("p"), F.col("id")).alias("product_id"), F.lit("misc").alias("product_category_name")
+        ).unionByName(spark.createDataFrame([("hot", "toys")], "product_id string, product_category_name string"))
+        sales = marts.sales_by_state_category_month(items, orders, customers, products)
+        got = {r.product_category_name: (r.total_sales, r.total_items_sold) for r in sales.collect()}
+        assert got == {"toys": (60_000.0, 30_000), "misc": (120_000.0, 60_000)}
+        assert "SortMergeJoin(skew=true)" in plan_text(sales, "simple")
+        c360 = marts.customer_360(orders, items, customers, products, spark.createDataFrame([], REVIEWS))
+        assert sum(r.total_lifetime_value for r in c360.collect()) == 180_000.0
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
