@@ -42,6 +42,10 @@ class VersionNotFoundError(Exception):
     pass
 
 
+class ConcurrentCommitError(Exception):
+    """Another writer committed the version this write was going to create."""
+
+
 def _fields(schema: StructType) -> dict[str, object]:
     return {f.name: f.dataType for f in schema.fields}
 
@@ -168,12 +172,18 @@ class VersionedTable:
             "batches": list(batches),
             "num_output_rows": int(n_rows),
         }
-        (
-            self.spark.createDataFrame([record], COMMIT_SCHEMA)
-            .coalesce(1)
-            .write.mode("errorifexists")
-            .json(self._record_path(version))
-        )
+        rec_df = self.spark.createDataFrame([record], COMMIT_SCHEMA).coalesce(1)
+        try:
+            rec_df.write.mode("errorifexists").json(self._record_path(version))
+        except Exception as e:  # noqa: BLE001
+            if "PATH_ALREADY_EXISTS" not in str(e) and "already exists" not in str(e):
+                raise
+            if version in self.versions():
+                raise ConcurrentCommitError(
+                    f"{self.root}: version {version} was committed by another writer"
+                ) from e
+            # debris of a commit that died before its record was committed: replace it
+            rec_df.write.mode("overwrite").json(self._record_path(version))
         self._latest = record
         return version
 

@@ -121,3 +121,21 @@ def test_versions_match_a_model(spark, tmp_path_factory, ops):
         got = t.read(version=version)
         assert got.columns == cols, (version, ops)
         assert sorted(map(tuple, got.collect()), key=repr) == sorted(rows, key=repr), (version, ops)
+
+
+def test_commit_recovers_from_crashed_record_and_detects_races(spark, tmp_root):
+    import os
+
+    from basketry.sinks.versioned import ConcurrentCommitError
+
+    t, v0 = _v0(spark, tmp_root)
+    # a crashed commit of version 1: folder with uncommitted debris only
+    os.makedirs(f"{tmp_root}/demo/_commits/v{1:020d}/_temporary/0")
+    assert t.latest_version() == 0
+    assert t.append(v0) == 1 and t.read().count() == 10
+    # a second writer that still believes version 0 is the latest
+    stale = VersionedTable(spark, f"{tmp_root}/demo")
+    stale._latest = dict(t._record(0))
+    with pytest.raises(ConcurrentCommitError):
+        stale.append(v0)
+    assert t.read().count() == 10
