@@ -6,6 +6,7 @@
     spark-submit basketry/jobs.py run --raw-dir RAW --lake LAKE
     spark-submit basketry/jobs.py profile --raw-dir RAW
     spark-submit basketry/jobs.py history --table LAKE/silver/customers
+    spark-submit basketry/jobs.py top --table LAKE/gold/customer_360 --by total_lifetime_value
 
 Raw files are found through the source registry (``--raw-dir`` plus the registered
 file name, or ``--path name=uri`` per source). The session comes from the submitting
@@ -22,6 +23,7 @@ if __package__ in (None, ""):  # run as a file by spark-submit
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from basketry.operators.profile import profile_all  # noqa: E402
+from basketry.operators.topk import top_k  # noqa: E402
 from basketry.plans import pipeline, rfm  # noqa: E402
 from basketry.session import get_session  # noqa: E402
 from basketry.sinks.versioned import VersionedTable  # noqa: E402
@@ -66,6 +68,12 @@ def build_parser() -> argparse.ArgumentParser:
 
     h = sub.add_parser("history", help="version history of a table")
     h.add_argument("--table", required=True)
+
+    t = sub.add_parser("top", help="largest rows of a table by one column")
+    t.add_argument("--table", required=True)
+    t.add_argument("--by", required=True)
+    t.add_argument("--n", type=int, default=10)
+    t.add_argument("--tiebreak", default="", help="comma-separated columns for ties")
     return p
 
 
@@ -91,6 +99,11 @@ def main(argv: list[str] | None = None) -> int:
         nulls.show(1000, truncate=False)
     elif args.command == "history":
         VersionedTable(spark, args.table).history().show(truncate=False)
+    elif args.command == "top":
+        ties = tuple(c for c in args.tiebreak.split(",") if c)
+        top_k(VersionedTable(spark, args.table).read(), args.by, args.n, tiebreak=ties).show(
+            args.n, truncate=False
+        )
     return 0
 
 

@@ -29,6 +29,8 @@ def test_cli_jobs_from_csv(spark, tmp_path, capsys):
     assert seg.count() == 2 and "RFM_Segment" in seg.columns
     assert jobs.main(["history", "--table", f"{lake}/silver/customers"]) == 0
     assert "WRITE" in capsys.readouterr().out
+    assert jobs.main(["top", "--table", f"{lake}/gold/customer_360", "--by", "total_lifetime_value", "--n", "1"]) == 0
+    assert "66.0" in capsys.readouterr().out
 
 
 def test_cli_run_and_profile(spark, tmp_path, capsys):
