@@ -30,12 +30,18 @@ _POS_MASK = (1 << 33) - 1
 
 
 def bucket_of(rn: Column, n_rows: Column, k: int) -> Column:
-    """ntile bucket of 1-based row number ``rn`` among ``n_rows`` rows."""
-    q = F.floor(n_rows / k).cast("long")
-    r = (n_rows % k).cast("long")
+    """ntile bucket of 1-based row number ``rn`` among ``n_rows`` rows (exact integer
+    arithmetic: the first N mod k buckets hold N div k + 1 rows, the rest N div k)."""
+    n_rows = n_rows.cast("long")
+    rn = rn.cast("long")
+    kk = F.lit(k).cast("long")
+    q = ((n_rows - n_rows % kk) / kk).cast("long")
+    r = n_rows % kk
     big = r * (q + 1)
-    head = F.floor((rn - 1) / (q + 1)) + 1
-    tail = r + F.floor((rn - 1 - big) / F.greatest(q, F.lit(1))) + 1
+    head = (((rn - 1) - (rn - 1) % (q + 1)) / (q + 1)).cast("long") + 1
+    q1 = F.greatest(q, F.lit(1).cast("long"))
+    off = rn - 1 - big
+    tail = r + ((off - off % q1) / q1).cast("long") + 1
     return F.when(rn <= big, head).otherwise(tail).cast("int")
 
 

@@ -102,3 +102,14 @@ def test_segment_rfm_both_methods_agree(spark):
     b = {r.customer_unique_id: tuple(r)[-4:] for r in rfm.segment_rfm(df, method="window").collect()}
     assert a == b
     assert a["u0"][0] == 4  # NULL recency sorts last in descending order -> bucket 4
+
+
+def test_bucket_formula_at_huge_row_counts(spark):
+    from basketry.operators.ntile import bucket_of
+
+    n, k = 10**15 + 3, 4  # buckets of q+1, q+1, q+1, q rows with q = n div 4
+    q = n // k
+    cases = {1: 1, q + 1: 1, q + 2: 2, 2 * (q + 1): 2, 2 * (q + 1) + 1: 3, 3 * (q + 1): 3, 3 * (q + 1) + 1: 4, n: 4}
+    df = spark.createDataFrame([(rn,) for rn in cases], "rn long")
+    got = {r.rn: r.b for r in df.select("rn", bucket_of(F.col("rn"), F.lit(n), k).alias("b")).collect()}
+    assert got == cases
