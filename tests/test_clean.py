@@ -40,3 +40,15 @@ def test_orders_whitelist_and_bad_timestamp(spark):
 def test_customers_city(spark):
     raw = spark.createDataFrame([("c1", "u1", "SÃO PAULO", "SP")], "customer_id string, customer_unique_id string, customer_city string, customer_state string")
     assert clean.clean_customers(raw).collect()[0].customer_city == "sao paulo"
+
+
+def test_orders_parse_both_timestamps(spark):
+    raw = spark.createDataFrame(
+        [("o1", "c", "delivered", "2017-10-02 10:56:33", "2017-10-10 21:25:13"), ("o2", "c", "delivered", "x", None)],
+        "order_id string, customer_id string, order_status string, "
+        "order_purchase_timestamp string, order_delivered_customer_date string",
+    )
+    rows = {r.order_id: r for r in clean.clean_orders(raw).collect()}
+    assert rows["o1"].order_delivered_customer_date.day == 10
+    assert rows["o2"].order_purchase_timestamp is None and rows["o2"].order_delivered_customer_date is None
+    assert dict(clean.clean_orders(raw).dtypes)["order_delivered_customer_date"] == "timestamp_ntz"
