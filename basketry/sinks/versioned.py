@@ -97,7 +97,11 @@ class VersionedTable:
         """One row per version: version, timestamp, operation, operationParameters,
         num_output_rows (newest first, as DESCRIBE HISTORY lists them)."""
         return self._records().select(
-            "version", "timestamp", "operation", "operationParameters", "num_output_rows"
+            "version",
+            F.col("timestamp").cast("timestamp").alias("timestamp"),
+            "operation",
+            "operationParameters",
+            "num_output_rows",
         ).orderBy(F.col("version").desc())
 
     def _records(self) -> DataFrame:

@@ -139,3 +139,11 @@ def test_commit_recovers_from_crashed_record_and_detects_races(spark, tmp_root):
     with pytest.raises(ConcurrentCommitError):
         stale.append(v0)
     assert t.read().count() == 10
+
+
+def test_history_columns(spark, tmp_root):
+    t, _ = _v0(spark, tmp_root)
+    h = t.history()
+    assert h.columns[:4] == ["version", "timestamp", "operation", "operationParameters"]
+    row = h.collect()[0]
+    assert row.timestamp is not None and row.operationParameters == {"mode": "Overwrite"}
