@@ -229,6 +229,14 @@ def q_prj_constant(spark, sf_dir):
     return cleaned(spark, sf_dir)["customers"].withColumn("loyalty_points", F.lit(500))
 
 
+@query("prj_sql_expr", "SELECT * FROM rfm_base")
+def q_prj_sql_expr(spark, sf_dir):
+    # a derived column written as a SQL string (the same rule as rfm.recency)
+    return c360(spark, sf_dir).withColumn(
+        "recency_days", F.expr(f"datediff(DATE'{rfm.REFERENCE_DATE}', last_purchase_date)")
+    )
+
+
 # ====================================================================== filters ==
 
 @query("flt_status", "SELECT * FROM raw_orders WHERE order_status = 'delivered'")
