@@ -48,19 +48,25 @@ class Gates:
 
 
 def gate_report(df: DataFrame, gates: Gates, table: str = "") -> DataFrame:
-    """(table_name, rule, columns, failed, passed): one pass over ``df``."""
+    """(table_name, rule, columns, rows, failed, passed): one pass over ``df``; ``rows``
+    is the table's row count (the same on every line)."""
     rules = gates.rules()
     if not rules:
         return df.sparkSession.createDataFrame(
-            [], "table_name string, rule string, columns string, failed long, passed boolean"
+            [],
+            "table_name string, rule string, columns string, rows long, failed long, passed boolean",
         )
-    one = df.agg(*[expr.alias(f"_r{i}") for i, (_, _, expr) in enumerate(rules)])
+    one = df.agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[expr.alias(f"_r{i}") for i, (_, _, expr) in enumerate(rules)],
+    )
     rows = F.array(
         *[
             F.struct(
                 F.lit(table).alias("table_name"),
                 F.lit(rule).alias("rule"),
                 F.lit(cols).alias("columns"),
+                F.col("_rows").cast("long").alias("rows"),
                 F.col(f"_r{i}").cast("long").alias("failed"),
             )
             for i, (rule, cols, _) in enumerate(rules)

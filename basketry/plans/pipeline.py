@@ -38,8 +38,10 @@ def clean_job(spark: SparkSession, name: str, raw: DataFrame, root: str) -> Vers
     cleaner = CLEANERS[name]
     table = silver_table(spark, root, name)
 
-    def check(written: DataFrame) -> None:
-        enforce(gate_report(written, cleaner.gates, name))
+    def check(written: DataFrame) -> int | None:
+        # one aggregation gives the gate results and the row count for the commit record
+        rows = enforce(gate_report(written, cleaner.gates, name))
+        return rows[0]["rows"] if rows else None
 
     table.overwrite(cleaner.clean(raw), check=check)
     return table

@@ -698,6 +698,7 @@ def q_fn_round(spark, sf_dir):
 def _gate_sql(table: str, rule: str, columns: str, failed_expr: str, source: str) -> str:
     return (
         f"SELECT '{table}' AS table_name, '{rule}' AS rule, '{columns}' AS columns, "
+        f"count(*) AS rows, "
         f"CAST({failed_expr} AS BIGINT) AS failed, CAST({failed_expr} AS BIGINT) = 0 AS passed "
         f"FROM {source}"
     )

@@ -158,12 +158,10 @@ class VersionedTable:
         return self.spark.read.schema(schema).parquet(*paths)
 
     # -- writes ---------------------------------------------------------------------
-    def _write_batch(self, df: DataFrame) -> tuple[str, int]:
+    def _write_batch(self, df: DataFrame) -> str:
         batch = uuid.uuid4().hex
         df.write.mode("errorifexists").parquet(self._batch_path(batch))
-        # parquet footers hold row counts, so this count reads no data pages
-        n = self.spark.read.parquet(self._batch_path(batch)).count()
-        return batch, n
+        return batch
 
     def _commit(self, prev, operation, params, schema: StructType, batches, n_rows) -> int:
         version = 0 if prev is None else prev["version"] + 1
@@ -198,7 +196,7 @@ class VersionedTable:
         *,
         overwrite_schema: bool = False,
         merge_schema: bool = False,
-        check: Callable[[DataFrame], None] | None = None,
+        check: Callable[[DataFrame], int | None] | None = None,
     ) -> int:
         """Write ``df`` as a new version and return it.
 
@@ -207,6 +205,7 @@ class VersionedTable:
         append: adds a batch; an unknown column is rejected unless ``merge_schema``;
         columns the batch lacks read as NULL.
         check: runs on the written data before the commit; raising aborts the commit.
+        It may return the row count of the written data (saves a separate count).
         """
         if mode not in ("overwrite", "append"):
             raise ValueError(f"mode must be overwrite or append, not {mode!r}")
@@ -216,9 +215,11 @@ class VersionedTable:
             schema = StructType([f for f in df.schema.fields])
         else:
             schema = merged_schema(current, df.schema, allow_new=merge_schema)
-        batch, n = self._write_batch(df)
-        if check is not None:
-            check(self.spark.read.schema(df.schema).parquet(self._batch_path(batch)))
+        batch = self._write_batch(df)
+        written = self.spark.read.schema(df.schema).parquet(self._batch_path(batch))
+        n = check(written) if check is not None else None
+        if n is None:
+            n = written.count()  # parquet footers hold row counts: no data pages read
         batches = [batch] if (mode == "overwrite" or rec is None) else list(rec["batches"]) + [batch]
         params = {"mode": "Overwrite" if mode == "overwrite" else "Append"}
         if merge_schema:
