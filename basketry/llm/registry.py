@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from basketry.llm import langid
+from basketry.llm import langid, sharding, warc
 
 QUERIES = {
+    "op4_warc_revisits": warc.op4_warc_revisits,
+    "op6_kd_sharding": sharding.op6_kd_sharding,
     "op7_language_id": langid.op7_language_id,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_warc_revisits": warc.ORACLE_SQL,
+}
