@@ -1,11 +1,12 @@
 """Shared helpers of the corpus operators: table access, materialisation, splits.
 
-Python code of this subpackage runs inside Spark tasks (Arrow batches, numpy), so on a
-cluster the package is shipped to the executors with ``--py-files`` as usual.
+Python code of this subpackage runs inside Spark tasks (Arrow batches, numpy).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,3 +44,15 @@ def text_bytes(df: DataFrame, text: str = "text") -> int:
     """UTF-8 bytes of a text column over all rows (one narrow pass)."""
     row = df.agg(F.sum(F.octet_length(text)).alias("b")).first()
     return int(row["b"] or 0)
+
+
+def blocks(sizes: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
+    """Consecutive row ranges of at most ``most`` in total (a larger row stands alone)."""
+    start = total = 0
+    for i, n in enumerate(sizes):
+        if i > start and total + n > most:
+            yield start, i
+            start, total = i, 0
+        total += n
+    if start < len(sizes):
+        yield start, len(sizes)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import id_remainder, table
+from basketry.llm.common import blocks, id_remainder, table
 
 DIM = 1024
 SEED = 20_011
@@ -36,9 +36,10 @@ UNKNOWN = "und"
 # a label set larger than this is no list of languages; prototypes must stay small
 MAX_LABELS = 4096
 _BLOCK_CELLS = 4_000_000
+_BLOCK_CHARS = 1 << 20  # characters whose n-grams are held in memory at once
 
 _letters: dict[int, np.ndarray] = {}
-_fold = np.full(0x110000, -1, dtype=np.int32)
+_folds: list[np.ndarray] = []
 
 
 def letter_vector(code: int) -> np.ndarray:
@@ -51,12 +52,15 @@ def letter_vector(code: int) -> np.ndarray:
 
 def _folded(codes: np.ndarray) -> np.ndarray:
     """Lower-case letter code of each code point, 0 for anything but a letter."""
-    out = _fold[codes]
+    if not _folds:
+        _folds.append(np.full(0x110000, -1, dtype=np.int32))
+    fold = _folds[0]
+    out = fold[codes]
     if (out < 0).any():
         for c in np.unique(codes[out < 0]).tolist():
             ch = chr(c)
-            _fold[c] = ord(ch.lower()[0]) if ch.isalpha() else 0
-        out = _fold[codes]
+            fold[c] = ord(ch.lower()[0]) if ch.isalpha() else 0
+        out = fold[codes]
     return out
 
 
@@ -87,8 +91,31 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, gram, alphabet[np.stack([grams // (k * k), grams // k % k, grams % k], 1)]
 
 
+def _cut(text: str) -> Iterator[str]:
+    """A long text in pieces that end with a space, where no trigram is lost."""
+    start = 0
+    while len(text) - start > _BLOCK_CHARS:
+        end = text.find(" ", start + _BLOCK_CHARS) + 1
+        if not end:
+            break
+        yield text[start:end]
+        start = end
+    yield text[start:]
+
+
 def bundle(texts: list[str]) -> np.ndarray:
     """Bundled trigram vectors, one row per text (zero for texts without letters)."""
+    out = np.zeros((len(texts), DIM), np.float64)
+    for i, j in blocks([len(t) for t in texts], _BLOCK_CHARS):
+        if j == i + 1:
+            for piece in _cut(texts[i]):
+                out[i] += _bundle([piece])[0]
+        else:
+            out[i:j] = _bundle(texts[i:j])
+    return out
+
+
+def _bundle(texts: list[str]) -> np.ndarray:
     out = np.zeros((len(texts), DIM), np.float64)
     row, gram, letters = trigrams(texts)
     if not len(row):
