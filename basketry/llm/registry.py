@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from basketry.llm import langid, sharding, warc
+from basketry.llm import langid, pii, sharding, warc
 
 QUERIES = {
+    "op2_pii_weak_supervision": pii.op2_pii_weak_supervision,
     "op4_warc_revisits": warc.op4_warc_revisits,
     "op6_kd_sharding": sharding.op6_kd_sharding,
     "op7_language_id": langid.op7_language_id,
