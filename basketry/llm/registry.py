@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from basketry.llm import langid, pii, sharding, warc
+from basketry.llm import decontaminate, langid, pii, sharding, warc
 
 QUERIES = {
+    "op1_decontamination": decontaminate.op1_decontamination,
     "op2_pii_weak_supervision": pii.op2_pii_weak_supervision,
     "op4_warc_revisits": warc.op4_warc_revisits,
     "op6_kd_sharding": sharding.op6_kd_sharding,
