@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketry.llm import decontaminate, langid, lm, pii, sharding, spm, warc
+from basketry.llm import decontaminate, fingerprint, langid, lm, pii, sharding, spm, warc
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_warc_revisits": warc.op4_warc_revisits,
     "op6_kd_sharding": sharding.op6_kd_sharding,
     "op7_language_id": langid.op7_language_id,
+    "op8_fingerprint": fingerprint.op8_fingerprint,
     "op9_sentencepiece": spm.op9_sentencepiece,
     "op10_lm_score": lm.op10_lm_score,
 }
