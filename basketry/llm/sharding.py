@@ -56,7 +56,7 @@ class Cut:
 
 
 def points(docs: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32 and the coordinates of every row."""
+    """doc_id, size, text_crc32, the coordinates and the root node of every row."""
     raw = F.encode(F.col("text"), "UTF-8")
 
     def code(column: str) -> Column:
@@ -73,6 +73,7 @@ def points(docs: DataFrame) -> DataFrame:
         code("source").alias("d_source"),
         code("lang").alias("d_lang"),
         F.shiftright(crc, 8).alias("d_text"),
+        F.lit(0).alias("node"),
     )
 
 
@@ -126,7 +127,7 @@ def kd_split(pts: DataFrame, shards: int) -> DataFrame:
     spark = pts.sparkSession
     whole = pts.agg(*_spans()).first()
     width = [max(1, whole[d] or 0) for d in DIMS]
-    here = pts.withColumn("node", F.lit(0))
+    here = pts
     nodes = {0: shards}  # first shard -> shards below the node
     while opened := {f: n for f, n in nodes.items() if n > 1}:
         stats = here.groupBy("node").agg(F.sum("size").alias("bytes"), *_spans()).collect()
@@ -141,7 +142,7 @@ def kd_split(pts: DataFrame, shards: int) -> DataFrame:
         here = here.join(F.broadcast(moves), "node", "left").withColumn(
             "node", F.when(_key() > F.col("last"), F.col("right")).otherwise(F.col("node"))
         )
-        here = materialize(here.select(*pts.columns, "node"), "level")
+        here = materialize(here.select(pts.columns), "level")
         for f, n in opened.items():
             half = (n + 1) // 2
             nodes[f], nodes[f + half] = half, n - half
