@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm.common import blocks, materialize, table, text_bytes
+from basketry.llm.exchange import PACKED, only_ids, packed, signed, unpacked
 from basketry.llm.graph import components
 
 WORDS = 5
@@ -50,7 +51,6 @@ PERCENT = 75
 BUCKET_VALUES = 4_000_000  # shingles or signatures of a bucket
 TASK_VALUES = 3_000_000  # values a task holds before it sends them
 BLOCK_CHARS = 4_000_000
-FILTER_BITS = 1 << 23
 _UPPER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -121,56 +121,6 @@ def set_ids(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
-# ---- packed exchange of hashed values
-
-PACKED = "bucket bigint, low binary, owner binary, owners binary"
-
-
-def packed(values: np.ndarray, owner: np.ndarray, names: np.ndarray, bits: int) -> pa.RecordBatch:
-    """Values as one row per bucket: the ``bits`` leading bits name the bucket, the next
-    32 are kept (a chance agreement beyond them only adds a candidate)."""
-    order = np.argsort(values)
-    values, owner = values[order], owner[order]
-    bucket = (values >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(
-        len(values), np.int64
-    )
-    cut = np.flatnonzero(np.diff(bucket, prepend=-1))
-    low = (values >> np.uint64(32 - bits)).astype("<u4")
-    rows: list[list] = [[], [], [], []]
-    for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(values)], strict=True):
-        used, place = np.unique(owner[a:b], return_inverse=True)
-        rows[0].append(int(bucket[a]))
-        rows[1].append(low[a:b].tobytes())
-        rows[2].append(place.astype("<u4" if len(used) > 65536 else "<u2").tobytes())
-        rows[3].append(names[used].astype("<u8").tobytes())
-    types = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(r, t) for r, t in zip(rows, types, strict=True)],
-        ["bucket", "low", "owner", "owners"],
-    )
-
-
-def unpacked(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(low, owner number, owner names) of a bucket, sorted by low."""
-    low, names, lens = [], [], []
-    for r in rows.select(["low", "owner", "owners"]).to_pylist():
-        v = np.frombuffer(r["low"], "<u4")
-        wide = len(r["owner"]) == 4 * len(v)
-        place = np.frombuffer(r["owner"], "<u4" if wide else "<u2")
-        low.append(v)
-        names.append(np.frombuffer(r["owners"], "<u8")[place])
-        lens.append(len(v))
-    value, every = np.concatenate(low), np.concatenate(names)
-    known, owner = np.unique(every, return_inverse=True)
-    # by value, then owner; an owner counts once under a value
-    both = np.unique((value.astype(np.uint64) << np.uint64(32)) | owner.astype(np.uint64))
-    return (both >> np.uint64(32)), (both & np.uint64(0xFFFFFFFF)).astype(np.int64), known
-
-
-def signed(x: np.ndarray) -> np.ndarray:
-    return x.astype(np.uint64).view(np.int64)
-
-
 def _shared_counts(rows: pa.Table) -> pa.Table:
     """Per set, how many of a bucket's shingles some other set has too."""
     value, owner, names = unpacked(rows)
@@ -430,34 +380,15 @@ def _across_pairs(sets: DataFrame, labels: DataFrame, bits: int) -> DataFrame:
     return left.join(right, "g").where(fits).select("a", "b").distinct()
 
 
-def _id_filter(ids: DataFrame, column: str) -> bytes:
-    """A bitmap of FILTER_BITS bits over ids; its size does not grow with their number."""
-    at = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)) + 1  # positions count from 1
-    out = bytearray(FILTER_BITS // 8)
-    rows = (
-        ids.select(at.alias("p"))
-        .groupBy(F.bitmap_bucket_number("p").alias("k"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("m"))
-    )
-    for r in rows.collect():  # at most FILTER_BITS / 32768 rows of 4 KB
-        at0 = (r["k"] - 1) * 4096
-        out[at0 : at0 + 4096] = r["m"]
-    return bytes(out)
-
-
 def _sets_of(docs: DataFrame, reps: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(rep, n, shingles) of the sets in ``reps`` (rep, a)."""
-    bitmap = _id_filter(reps, "rep")
     rows = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("t")).where(
         "rep IS NOT NULL"
     )
-    rows = rows.withColumn("p", F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS)))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little").astype(bool)
         shingler = Shingler()
         for b in batches:
-            b = b.filter(pa.array(bits[b.column("p").to_numpy()]))
             texts = b.column("t").to_pylist()
             for i, j in blocks([len(t or "") for t in texts], BLOCK_CHARS):
                 value, size = shingler.sets(texts[i:j])
@@ -471,7 +402,7 @@ def _sets_of(docs: DataFrame, reps: DataFrame, doc_id: str, text: str) -> DataFr
                     ["rep", "a", "n", "shingles"],
                 )
 
-    made = rows.mapInArrow(read, "rep bigint, a bigint, n bigint, shingles binary")
+    made = only_ids(rows, "rep", reps, "rep").mapInArrow(read, "rep bigint, a bigint, n bigint, shingles binary")
     # an id may be repeated with other texts: its sets are then one node with all links
     return made.join(reps, ["rep", "a"], "left_semi").dropDuplicates(["rep", "a"])
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from basketry.llm import decontaminate, fingerprint, jaccard, langid, lm, pii, sharding, spm, warc
+from basketry.llm import decontaminate, fingerprint, jaccard, langid, lm, pii, repeats, sharding, spm, warc
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
     "op2_pii_weak_supervision": pii.op2_pii_weak_supervision,
     "op3_jaccard_join": jaccard.op3_jaccard_join,
     "op4_warc_revisits": warc.op4_warc_revisits,
+    "op5_repeats": repeats.op5_repeats,
     "op6_kd_sharding": sharding.op6_kd_sharding,
     "op7_language_id": langid.op7_language_id,
     "op8_fingerprint": fingerprint.op8_fingerprint,
