@@ -373,7 +373,8 @@ def encode_digest(docs: DataFrame, vocabulary: Vocabulary, keep_ids: bool = Fals
             **({"token_ids": F.array().cast("array<int>")} if keep_ids else {}),
         }
     )
-    shape = result.drop("text") if "text" in docs.columns else result
+    shape = result.drop("text")
+    columns_out = shape.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = TextEncoder(vocabulary), Decoder(vocabulary)
@@ -400,9 +401,9 @@ def encode_digest(docs: DataFrame, vocabulary: Vocabulary, keep_ids: bool = Fals
                 part = b.slice(i, j - i)
                 arrays = [
                     columns[f] if f in columns else part.column(part.schema.get_field_index(f))
-                    for f in shape.columns
+                    for f in columns_out
                 ]
-                yield pa.RecordBatch.from_arrays(arrays, shape.columns)
+                yield pa.RecordBatch.from_arrays(arrays, columns_out)
 
     return result.mapInArrow(run, shape.schema)
 
