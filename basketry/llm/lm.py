@@ -339,7 +339,8 @@ def score(
         return pa.concat_tables(out)
 
     return (
-        packed.groupBy("chunk")
+        packed.drop("words", "trained")
+        .groupBy("chunk")
         .cogroup(answers.groupBy("chunk"))
         .applyInArrow(
             finish,
