@@ -56,3 +56,11 @@ def blocks(sizes: Sequence[int], most: int) -> Iterator[tuple[int, int]]:
         total += n
     if start < len(sizes):
         yield start, len(sizes)
+
+
+def free_name(df: DataFrame, base: str) -> str:
+    """``base``, with underscores added until no column of ``df`` has that name."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base

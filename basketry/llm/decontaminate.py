@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import table, text_bytes
+from basketry.llm.common import free_name, table, text_bytes
 
 ERROR_RATE = 0.06
 SHORT = 20
@@ -191,6 +191,12 @@ def mark(
     return marked
 
 
+def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``docs`` without the documents that hold a benchmark item."""
+    hits = free_name(docs, "__hits")
+    return mark(docs, items, out=hits).where(F.size(hits) == 0).drop(hits)
+
+
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

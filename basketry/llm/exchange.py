@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm.common import free_name
+
 FILTER_BITS = 1 << 23
 PACKED = "bucket bigint, low binary, owner binary, owners binary"
 
@@ -78,17 +80,35 @@ def id_filter(ids: DataFrame, column: str) -> bytes:
     return bytes(out)
 
 
-def only_ids(rows: DataFrame, column: str, ids: DataFrame, id_column: str) -> DataFrame:
-    """``rows`` without most of those whose id is not among ``ids`` (none of them is
-    lost); a join has to follow. The bitmap has a fixed size, so with very many ids it
-    just filters less."""
-    bitmap = id_filter(ids, id_column)
-    marked = rows.withColumn("__p", F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)))
+def _by_filter(rows: DataFrame, column: str, bitmap: bytes, inside: bool) -> DataFrame:
+    """The rows whose id is (not) in the bitmap, all columns unchanged."""
+    spot = free_name(rows, "__spot")
+    marked = rows.withColumn(
+        spot, F.coalesce(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)), F.lit(0))
+    )
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little").astype(bool)
         for b in batches:
             last = b.num_columns - 1
-            yield b.filter(pa.array(bits[b.column(last).to_numpy()])).select(range(last))
+            mine = bits[b.column(last).to_numpy()] == inside
+            yield b.filter(pa.array(mine)).select(range(last))
 
     return marked.mapInArrow(keep, rows.schema)
+
+
+def only_ids(rows: DataFrame, column: str, ids: DataFrame, id_column: str) -> DataFrame:
+    """``rows`` without most of those whose id is not among ``ids`` (none of them is
+    lost); a join has to follow. The bitmap has a fixed size, so with very many ids it
+    just filters less."""
+    return _by_filter(rows, column, id_filter(ids, id_column), True)
+
+
+def without_ids(rows: DataFrame, column: str, ids: DataFrame, id_column: str) -> DataFrame:
+    """``rows`` whose id is not among ``ids``. Rows outside the bitmap stay where they
+    are; only the others are shuffled for the exact anti join."""
+    bitmap = id_filter(ids, id_column)
+    unsure = _by_filter(rows, column, bitmap, True)
+    gone = ids.select(F.col(id_column).alias(column)).distinct()
+    sure = _by_filter(rows, column, bitmap, False)
+    return sure.unionByName(unsure.join(gone, column, "left_anti").select(rows.columns))

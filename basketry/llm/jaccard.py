@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm.common import blocks, materialize, table, text_bytes
-from basketry.llm.exchange import PACKED, only_ids, packed, signed, unpacked
+from basketry.llm.exchange import PACKED, only_ids, packed, signed, unpacked, without_ids
 from basketry.llm.graph import components
 
 WORDS = 5
@@ -465,6 +465,23 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
 
 
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest id (of rows
+    that repeat that id, one). Empty texts and null ids have no component and stay."""
+    found = materialize(near_duplicates(docs, doc_id, text), "components")
+    gone = found.where("component_id <> doc_id").select("doc_id")
+    again = (
+        found.where("n_shingles > 0 AND doc_id IS NOT NULL")
+        .groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id")
+    )
+    kept = without_ids(docs, doc_id, materialize(gone.union(again), "gone"), "doc_id")
+    single = docs.join(again.withColumnRenamed("doc_id", doc_id), doc_id, "left_semi")
+    if again.limit(1).count():
+        first = single.join(gone.withColumnRenamed("doc_id", doc_id), doc_id, "left_anti")
+        kept = kept.unionByName(first.dropDuplicates([doc_id]).select(docs.columns))
+    return kept
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -33,6 +33,7 @@ from basketry.llm.common import blocks, id_remainder, table
 DIM = 1024
 SEED = 20_011
 UNKNOWN = "und"
+LEAST_SCORE = 0.05  # of a document that ``keep_languages`` keeps
 # a label set larger than this is no list of languages; prototypes must stay small
 MAX_LABELS = 4096
 _BLOCK_CELLS = 4_000_000
@@ -202,6 +203,29 @@ def predict(
     return rows.mapInArrow(label, f"doc_id {kind}, lang_pred string, score double")
 
 
+def keep_languages(
+    docs: DataFrame,
+    prototypes: dict[str, np.ndarray],
+    least: float = LEAST_SCORE,
+    text: str = "text",
+) -> DataFrame:
+    """``docs`` without the documents in no language: no letter, or a cosine under
+    ``least`` with every prototype. Columns are unchanged."""
+    names = sorted(prototypes)
+    matrix = np.stack([prototypes[n] / max(1e-12, float(np.linalg.norm(prototypes[n]))) for n in names]
+                      or [np.zeros(DIM)]).T
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = b.schema.get_field_index(text)
+            vectors = bundle([t or "" for t in b.column(at).to_pylist()])
+            size = np.sqrt((vectors * vectors).sum(1))
+            cosine = (vectors @ matrix) / np.maximum(size, 1e-12)[:, None]
+            yield b.filter(pa.array((size > 0) & (cosine.max(1) >= least)))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
