@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,3 +66,11 @@ def free_name(df: DataFrame, base: str) -> str:
     while base.lower() in taken:
         base += "_"
     return base
+
+
+def text_blocks(column: pa.Array, most: int) -> Iterator[tuple[int, int, list[str | None]]]:
+    """(first row, end row, texts) of consecutive rows with at most ``most`` UTF-8 bytes, so
+    that a task holds Python strings of one block only."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    for i, j in blocks(sizes, most):
+        yield i, j, column.slice(i, j - i).to_pylist()

@@ -42,15 +42,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import blocks, materialize, table, text_bytes
+from basketry.llm.common import materialize, table, text_blocks, text_bytes
 from basketry.llm.exchange import PACKED, only_ids, packed, signed, unpacked, without_ids
 from basketry.llm.graph import components
 
 WORDS = 5
 PERCENT = 75
-BUCKET_VALUES = 4_000_000  # shingles or signatures of a bucket
-TASK_VALUES = 3_000_000  # values a task holds before it sends them
-BLOCK_CHARS = 4_000_000
+BUCKET_VALUES = 2_000_000  # shingles or signatures of a bucket
+TASK_VALUES = 1_500_000  # values a task holds before it sends them
+BLOCK_BYTES = 1_000_000
+KNOWN_WORDS = 300_000  # word hashes a task remembers
 _UPPER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -75,7 +76,7 @@ class Shingler:
         """(sorted distinct shingle hashes of every text, one after the other; sizes)."""
         import xxhash
 
-        if len(self.known) > 1_000_000:
+        if len(self.known) > KNOWN_WORDS:
             self.known = {}
         known, hashed = self.known, xxhash.xxh3_64_intdigest
         words = [(t or "").encode().translate(_UPPER).split() for t in texts]
@@ -165,9 +166,8 @@ def survey(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             )
 
         for b in batches:
-            texts = b.column("t").to_pylist()
-            for i, j in blocks([len(t or "") for t in texts], BLOCK_CHARS):
-                value, size = shingler.sets(texts[i:j])
+            for i, j, texts in text_blocks(b.column("t"), BLOCK_BYTES):
+                value, size = shingler.sets(texts)
                 name = set_ids(value, size)
                 ids = b.column("i").slice(i, j - i)
                 null = np.array(ids.is_null())
@@ -389,9 +389,8 @@ def _sets_of(docs: DataFrame, reps: DataFrame, doc_id: str, text: str) -> DataFr
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for b in batches:
-            texts = b.column("t").to_pylist()
-            for i, j in blocks([len(t or "") for t in texts], BLOCK_CHARS):
-                value, size = shingler.sets(texts[i:j])
+            for i, j, texts in text_blocks(b.column("t"), BLOCK_BYTES):
+                value, size = shingler.sets(texts)
                 raw, at, out = value.astype("<u8").tobytes(), 0, []
                 for n in size.tolist():
                     out.append(raw[8 * at : 8 * (at + n)])
