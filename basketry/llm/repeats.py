@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import blocks, materialize, table, text_bytes
+from basketry.llm.common import blocks, materialize, table, text_blocks, text_bytes
 from basketry.llm.exchange import PACKED, only_ids, packed, signed, unpacked
 
 WINDOW = 50
@@ -51,8 +51,10 @@ SPAN = WINDOW - K  # an anchor lies 0..SPAN bytes after its window's start
 COLUMNS = SPAN + WINDOW
 BLOCK_BYTES = 1 << 17
 PART_BYTES = 1 << 22
-BUCKET_VALUES = 4_000_000
-TASK_VALUES = 3_000_000
+TEXT_BYTES = 1 << 20  # texts that a task holds as strings at once
+BUCKET_VALUES = 1_500_000
+TASK_VALUES = 1_500_000
+TASK_PHRASES = 100_000
 BUCKET_PHRASES = 20_000
 MANY_PHRASES = 50_000  # of one anchor
 SHARD_PHRASES = 4_096
@@ -147,37 +149,36 @@ def survey(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             )
 
         for b in batches:
-            texts = [(t or "").encode() for t in b.column("t").to_pylist()]
-            if not texts:
-                continue
-            digests = [hashlib.sha256(t).digest() for t in texts]
-            ids = b.column("i")
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([-1 - (_text_id(digests[0]) & 0x7FFFFFFF)], pa.int64()),
-                    pa.array([ids.fill_null(0).to_numpy().astype("<i8").tobytes()], pa.binary()),
-                    pa.array([np.array(ids.is_null()).tobytes()], pa.binary()),
-                    pa.array([b"".join(digests) + np.array(list(map(len, texts)), "<i8").tobytes()],
-                             pa.binary()),
-                ],
-                ["bucket", "low", "owner", "owners"],
-            )
-            usable = ~np.array(ids.is_null())
-            fresh = []
-            for t, d, u in zip(texts, digests, usable.tolist(), strict=True):
-                if u and d not in seen:  # equal texts of a task are sent once
-                    seen.add(d)
-                    fresh.append((t, _text_id(d)))
-            base = len(names)
-            names += [d for _, d in fresh]
-            for raw, first, size, number, _ in _batches([t for t, _ in fresh]):
-                hash_, part, _, _, _ = anchors(raw, first, size)
-                values.append(hash_)
-                owners.append(base + number[part])
-                held += len(hash_)
-            if held >= TASK_VALUES:
-                yield flush()
-                values, owners, names, seen, held = [], [], [], set(), 0
+            for i, j, texts in text_blocks(b.column("t"), TEXT_BYTES):
+                raws = [(t or "").encode() for t in texts]
+                digests = [hashlib.sha256(t).digest() for t in raws]
+                ids = b.column("i").slice(i, j - i)
+                null = np.array(ids.is_null())
+                sizes = np.array([len(t) for t in raws], "<i8")
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([-1 - (_text_id(digests[0]) & 0x7FFFFFFF)], pa.int64()),
+                        pa.array([ids.fill_null(0).to_numpy().astype("<i8").tobytes()], pa.binary()),
+                        pa.array([null.tobytes()], pa.binary()),
+                        pa.array([b"".join(digests) + sizes.tobytes()], pa.binary()),
+                    ],
+                    ["bucket", "low", "owner", "owners"],
+                )
+                fresh = []
+                for t, d, u in zip(raws, digests, (~null).tolist(), strict=True):
+                    if u and d not in seen:  # equal texts of a task are sent once
+                        seen.add(d)
+                        fresh.append((t, _text_id(d)))
+                base = len(names)
+                names += [d for _, d in fresh]
+                for raw, first, size, number, _ in _batches([t for t, _ in fresh]):
+                    hash_, part, _, _, _ = anchors(raw, first, size)
+                    values.append(hash_)
+                    owners.append(base + number[part])
+                    held += len(hash_)
+                if held >= TASK_VALUES:
+                    yield flush()
+                    values, owners, names, seen, held = [], [], [], set(), 0
         if held:
             yield flush()
 
@@ -220,6 +221,34 @@ def survey(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return found.withColumn("bits", F.lit(bits))
 
 
+# ---- arrays in binary columns
+
+
+def _column(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """A binary column whose rows hold ``counts`` 8-byte whole numbers each."""
+    offsets = np.concatenate([[0], np.cumsum(counts) * 8]).astype("<i4")
+    data = np.ascontiguousarray(values, "<i8")
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(data)]
+    return pa.Array.from_buffers(pa.binary(), len(counts), buffers)
+
+
+def _values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all numbers, numbers per row) of such a column."""
+    if not len(column):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, "<i4")[column.offset : column.offset + len(column) + 1]
+    flat = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data else np.zeros(0, np.uint8)
+    return flat.view("<i8") if len(flat) % 8 == 0 and flat.ctypes.data % 8 == 0 else (
+        np.frombuffer(flat.tobytes(), "<i8")
+    ), np.diff(at) // 8
+
+
+def _spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... (count[0] numbers), and so on."""
+    return np.arange(int(count.sum())) + np.repeat(start - (np.cumsum(count) - count), count)
+
+
 # ---- phrases
 
 PHRASE = (
@@ -240,52 +269,58 @@ def phrases(texts: DataFrame) -> DataFrame:
             rows = list(found.items())
             for i in range(0, len(rows), 20_000):
                 some = rows[i : i + 20_000]
+                counts = np.array([len(v[1]) for _, v in some])
+                docs = np.array([d for _, v in some for d in v[1]], np.int64)
+                places = np.array([p for _, v in some for p in v[2]], np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([k[0] for k, _ in some], pa.int64()),
                         pa.array([_sid(xxhash, k[1]) for k, _ in some], pa.int64()),
                         pa.array([v[0] for _, v in some], pa.int32()),
                         pa.array([k[1] for k, _ in some], pa.binary()),
-                        pa.array([min(v[1]) for _, v in some], pa.int64()),
-                        pa.array([np.array(v[1], "<i8").tobytes() for _, v in some], pa.binary()),
-                        pa.array([np.array(v[2], "<i8").tobytes() for _, v in some], pa.binary()),
+                        pa.array(np.minimum.reduceat(docs, np.cumsum(counts) - counts)),
+                        _column(docs, counts),
+                        _column(places, counts),
                     ],
                     [c.split()[0] for c in PHRASE.split(", ")],
                 )
             found.clear()
 
         for b in batches:
-            raws = [(t or "").encode() for t in b.column("t").to_pylist()]
-            ids = b.column("doc_id").to_pylist()
-            wanted = np.unique(np.concatenate([
-                np.frombuffer(x, "<u8") for xs in b.column("anchors").to_pylist() for x in xs
-            ] or [np.zeros(0, np.uint64)]))
             shift = np.uint64(32 - b.column("bits")[0].as_py()) if b.num_rows else np.uint64(0)
-            for raw, first, size, number, offset in _batches(raws):
-                hash_, part, place, at, end = anchors(raw, first, size)
-                name = hash_ >> shift
-                i = np.searchsorted(wanted, name)
-                hit = wanted[np.minimum(i, len(wanted) - 1)] == name if len(wanted) else []
-                hit = np.flatnonzero(hit)
-                h = signed(hash_[hit]).tolist()
-                start, stop = at[hit], end[hit] + WINDOW
-                rel = (start - place[hit]).tolist()
-                own = part[hit]
-                where = (start - first[own] + offset[own]).tolist()
-                which = number[own].tolist()
-                data = raw.tobytes()
-                for x, s, e, r, w, k in zip(
-                    h, start.tolist(), stop.tolist(), rel, where, which, strict=True
-                ):
-                    key = (x, data[s:e])
-                    row = found.get(key)
-                    if row is None:
-                        found[key] = [r, [ids[k]], [w]]
-                    else:
-                        row[1].append(ids[k])
-                        row[2].append(w)
-            if len(found) >= 400_000:
-                yield from flush()
+            for i, j, texts in text_blocks(b.column("t"), TEXT_BYTES):
+                raws = [(t or "").encode() for t in texts]
+                ids = b.column("doc_id").slice(i, j - i).to_pylist()
+                wanted = np.unique(np.concatenate([
+                    np.frombuffer(x, "<u8")
+                    for xs in b.column("anchors").slice(i, j - i).to_pylist()
+                    for x in xs
+                ]))
+                for raw, first, size, number, offset in _batches(raws):
+                    hash_, part, place, at, end = anchors(raw, first, size)
+                    name = hash_ >> shift
+                    k = np.searchsorted(wanted, name)
+                    hit = np.flatnonzero(wanted[np.minimum(k, len(wanted) - 1)] == name)
+                    start, stop, own = at[hit], end[hit] + WINDOW, part[hit]
+                    data = raw.tobytes()
+                    for x, s, e, r, w, d in zip(
+                        signed(hash_[hit]).tolist(),
+                        start.tolist(),
+                        stop.tolist(),
+                        (start - place[hit]).tolist(),
+                        (start - first[own] + offset[own]).tolist(),
+                        number[own].tolist(),
+                        strict=True,
+                    ):
+                        key = (x, data[s:e])
+                        row = found.get(key)
+                        if row is None:
+                            found[key] = [r, [ids[d]], [w]]
+                        else:
+                            row[1].append(ids[d])
+                            row[2].append(w)
+                if len(found) >= TASK_PHRASES:
+                    yield from flush()
         yield from flush()
 
     return texts.mapInArrow(cut, PHRASE)
@@ -416,14 +451,17 @@ def _resolve(rows: pa.Table) -> pa.Table:
     chars.ravel()[first + inside] = np.frombuffer(b"".join(texts), np.uint8)
     _, block = np.unique(h, return_inverse=True)
     source = sources(chars, block, doc, SHARD_PHRASES)
-    runs = []
-    for i in range(n):
-        lo = rel[i] + SPAN
-        line = source[i, lo : lo + size[i] - WINDOW + 1]
-        cut = np.flatnonzero(np.diff(line, prepend=-1 if line[0] != -1 else 0))
-        last = np.append(cut[1:], len(line)) - 1
-        runs.append(np.stack([cut, last, line[cut]]).astype("<i8").tobytes())
-    return pa.table({"h": h, "sid": rows.column("sid"), "runs": pa.array(runs, pa.binary())})
+    windows = size - WINDOW + 1
+    row = np.repeat(np.arange(n), windows)
+    place = _spread(np.zeros(n, np.int64), windows)
+    line = source[row, place + np.repeat(rel + SPAN, windows)]
+    cut = np.ones(len(line), bool)
+    cut[1:] = (line[1:] != line[:-1]) | (row[1:] != row[:-1])
+    cut = np.flatnonzero(cut)
+    last = place[np.append(cut[1:], len(line)) - 1]
+    runs = np.stack([place[cut], last, line[cut]], 1).ravel()
+    column = _column(runs, 3 * np.bincount(row[cut], minlength=n))
+    return pa.table({"h": h, "sid": rows.column("sid"), "runs": column})
 
 
 def _ranges_of(rows: DataFrame) -> DataFrame:
@@ -431,22 +469,25 @@ def _ranges_of(rows: DataFrame) -> DataFrame:
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[list] = [[], [], []]
-            for docs, places, runs in zip(
-                b.column("docs"), b.column("places"), b.column("runs"), strict=True
-            ):
-                d = np.frombuffer(docs.as_py(), "<i8")
-                p = np.frombuffer(places.as_py(), "<i8")
-                for lo, hi, source in np.frombuffer(runs.as_py(), "<i8").reshape(3, -1).T.tolist():
-                    later = d > source
-                    if later.any():
-                        out[0].append(d[later])
-                        out[1].append(p[later] + lo)
-                        out[2].append(p[later] + hi + WINDOW)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(x)) for x in out], ["doc_id", "start", "stop"]
-                )
+            doc, n_docs = _values(b.column("docs"))
+            place, _ = _values(b.column("places"))
+            run, n_runs = _values(b.column("runs"))
+            run = run.reshape(-1, 3)
+            # every run with every occurrence of its phrase
+            row = np.repeat(np.arange(b.num_rows), n_runs // 3)
+            first = (np.cumsum(n_docs) - n_docs)[row]
+            which = np.repeat(np.arange(len(row)), n_docs[row])
+            at = _spread(first, n_docs[row])
+            later = doc[at] > run[which, 2]
+            at, which = at[later], which[later]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(doc[at]),
+                    pa.array(place[at] + run[which, 0]),
+                    pa.array(place[at] + run[which, 1] + WINDOW),
+                ],
+                ["doc_id", "start", "stop"],
+            )
 
     return rows.select("docs", "places", "runs").mapInArrow(
         spread, "doc_id bigint, start bigint, stop bigint"
