@@ -25,5 +25,6 @@ def to_int_score(c: Column | str) -> Column:
 
 
 def to_timestamp(c: Column | str) -> Column:
-    """String -> wall-clock timestamp without time zone; junk -> NULL."""
-    return _col(c).try_cast("timestamp_ntz")
+    """String -> timestamp without time zone; junk -> NULL. A UTC offset in the text is
+    kept: the result is then the wall clock of the session's time zone (UTC by default)."""
+    return _col(c).try_cast("timestamp").cast("timestamp_ntz")

@@ -30,9 +30,13 @@ def clean_customers(raw: DataFrame) -> DataFrame:
 
 
 def clean_orders(raw: DataFrame, status: str = DELIVERED) -> DataFrame:
-    """Keep one status (delivered); parse the timestamp columns (junk -> NULL, row kept)."""
+    """Keep one status (delivered); parse the timestamp columns (junk -> NULL, row kept).
+    Both timestamps are required."""
+    missing = [c for c in ORDER_TIMESTAMPS if c not in raw.columns]
+    if missing:
+        raise ValueError(f"orders lack the columns {missing}")
     df = raw.filter(F.col("order_status") == status)
-    return df.withColumns({c: to_timestamp(c) for c in ORDER_TIMESTAMPS if c in df.columns})
+    return df.withColumns({c: to_timestamp(c) for c in ORDER_TIMESTAMPS})
 
 
 def clean_items(raw: DataFrame) -> DataFrame:

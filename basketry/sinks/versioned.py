@@ -47,18 +47,22 @@ class ConcurrentCommitError(Exception):
 
 
 def _fields(schema: StructType) -> dict[str, object]:
-    return {f.name: f.dataType for f in schema.fields}
+    """Types by lower-case name: Spark resolves column names without regard to case."""
+    return {f.name.lower(): f.dataType for f in schema.fields}
 
 
 def merged_schema(table: StructType, incoming: StructType, allow_new: bool) -> StructType:
     """Table schema after writing ``incoming``; raise on a type change or, unless
-    ``allow_new``, on a column the table does not have."""
+    ``allow_new``, on a column the table does not have. Names that differ in case only
+    are one column, which keeps the table's spelling."""
     have = _fields(table)
-    extra = [f for f in incoming.fields if f.name not in have]
+    if len(_fields(incoming)) < len(incoming.fields):
+        raise SchemaMismatchError(f"column names differ in case only: {incoming.names}")
+    extra = [f for f in incoming.fields if f.name.lower() not in have]
     changed = [
-        f"{f.name}: {have[f.name].simpleString()} -> {f.dataType.simpleString()}"
+        f"{f.name}: {have[f.name.lower()].simpleString()} -> {f.dataType.simpleString()}"
         for f in incoming.fields
-        if f.name in have and have[f.name] != f.dataType
+        if f.name.lower() in have and have[f.name.lower()] != f.dataType
     ]
     if changed:
         raise SchemaMismatchError(f"column types differ: {', '.join(changed)}")
@@ -77,9 +81,6 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        # the record this instance last committed; as the single writer it is the
-        # latest version, so later reads and writes skip reading the commit log
-        self._latest: dict | None = None
 
     # -- paths ----------------------------------------------------------------------
     @property
@@ -124,8 +125,6 @@ class VersionedTable:
         return sorted({int(m.group(1)) for m in found if m})
 
     def _record(self, version: int | None = None):
-        if self._latest is not None and version in (None, self._latest["version"]):
-            return self._latest
         known = self.versions()
         if version is None:
             if not known:
@@ -186,7 +185,6 @@ class VersionedTable:
                 ) from e
             # debris of a commit that died before its record was committed: replace it
             rec_df.write.mode("overwrite").json(self._record_path(version))
-        self._latest = record
         return version
 
     def write(
@@ -212,7 +210,7 @@ class VersionedTable:
         rec = self._record()
         current = None if rec is None else StructType.fromJson(json.loads(rec["table_schema"]))
         if current is None or (mode == "overwrite" and overwrite_schema):
-            schema = StructType([f for f in df.schema.fields])
+            schema = merged_schema(StructType([]), df.schema, allow_new=True)
         else:
             schema = merged_schema(current, df.schema, allow_new=merge_schema)
         batch = self._write_batch(df)

@@ -38,6 +38,8 @@ def read_raw(
     df = (
         spark.read.option("header", True)
         .option("inferSchema", False)
+        # the files of a folder must have the same header; one that differs fails
+        .option("enforceSchema", False)
         .option("escape", '"')
         .option("multiLine", multiline)
         .option("mode", "PERMISSIVE")

@@ -78,6 +78,8 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("customer_id"),
         _status("o_orderstatus").alias("order_status"),
         F.col("o_orderdate").alias("order_purchase_timestamp"),
+        # the test data has no delivery time: a week after the purchase
+        (F.col("o_orderdate") + F.expr("INTERVAL 7 DAYS")).alias("order_delivered_customer_date"),
     )
 
 
@@ -97,6 +99,33 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("payment_value")
+    )
+
+
+def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("seller_id"), F.col("s_name").alias("seller_name")
+    )
+
+
+def raw_geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """City and state of every customer (many repeated rows, like the real file)."""
+    return raw_customers(spark, sf_dir).select(
+        F.col("customer_city").alias("geolocation_city"),
+        F.col("customer_state").alias("geolocation_state"),
+    )
+
+
+def raw_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(
+        F.lower("p_type").alias("product_category_name"),
+        F.col("p_type").alias("product_category_name_english"),
+    ).distinct()
+
+
 def raw_products_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products with every descriptive column of ``part`` (for the wide cleaning variant)."""
     return table(spark, sf_dir, "part").select(
@@ -123,6 +152,10 @@ RAW_ADAPTERS = {
     "items": raw_items,
     "products": raw_products,
     "reviews": raw_reviews,
+    "payments": raw_payments,
+    "sellers": raw_sellers,
+    "geolocation": raw_geolocation,
+    "translation": raw_translation,
 }
 
 
@@ -135,4 +168,4 @@ def cleaned_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     from basketry.plans.clean import CLEANERS
 
     raw = raw_tables(spark, sf_dir)
-    return {name: CLEANERS[name].clean(df) for name, df in raw.items()}
+    return {name: cleaner.clean(raw[name]) for name, cleaner in CLEANERS.items()}

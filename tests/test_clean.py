@@ -1,5 +1,7 @@
 """Cleaning jobs row by row (FIXTURES B)."""
 
+import pytest
+
 from basketry.plans import clean
 
 
@@ -30,11 +32,26 @@ def test_products_lower_and_fill(spark):
 
 def test_orders_whitelist_and_bad_timestamp(spark):
     raw = spark.createDataFrame(
-        [("o1", "c", "delivered", "zzz"), ("o2", "c", "shipped", "2018-01-01"), ("o3", "c", None, "2018-01-01")],
-        "order_id string, customer_id string, order_status string, order_purchase_timestamp string",
+        [("o1", "c", "delivered", "zzz", None), ("o2", "c", "shipped", "2018-01-01", None),
+         ("o3", "c", None, "2018-01-01", None)],
+        "order_id string, customer_id string, order_status string, "
+        "order_purchase_timestamp string, order_delivered_customer_date string",
     )
     rows = clean.clean_orders(raw).collect()
     assert [(r.order_id, r.order_purchase_timestamp) for r in rows] == [("o1", None)]
+    with pytest.raises(ValueError, match="order_delivered_customer_date"):
+        clean.clean_orders(raw.drop("order_delivered_customer_date"))
+
+
+def test_timestamps_keep_a_utc_offset(spark):
+    raw = spark.createDataFrame(
+        [("o1", "c", "delivered", "2018-01-01T00:00:00+05:00", "2018-01-01 00:00:00")],
+        "order_id string, customer_id string, order_status string, "
+        "order_purchase_timestamp string, order_delivered_customer_date string",
+    )
+    row = clean.clean_orders(raw).first()
+    assert str(row.order_purchase_timestamp) == "2017-12-31 19:00:00"
+    assert str(row.order_delivered_customer_date) == "2018-01-01 00:00:00"
 
 
 def test_customers_city(spark):

@@ -69,3 +69,14 @@ def test_registry_round_trip(spark, tmp_path):
     loaded = csvsrc.load_raw_sources(spark, base, names=["orders"])
     assert loaded["orders"].columns == df.columns
     assert len(csvsrc.RAW_SOURCES) == 9
+
+
+def test_a_folder_with_differing_headers_fails(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("y,x\n20,10\n")
+    with pytest.raises(Exception, match="(?is)header|enforce"):
+        csvsrc.read_raw(spark, str(tmp_path)).collect()
+    (tmp_path / "b.csv").write_text("x,y\n10,20\n")
+    assert sorted(map(tuple, csvsrc.read_raw(spark, str(tmp_path)).collect())) == [("1", "2"), ("10", "20")]

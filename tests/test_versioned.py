@@ -135,7 +135,8 @@ def test_commit_recovers_from_crashed_record_and_detects_races(spark, tmp_root):
     assert t.append(v0) == 1 and t.read().count() == 10
     # a second writer that still believes version 0 is the latest
     stale = VersionedTable(spark, f"{tmp_root}/demo")
-    stale._latest = dict(t._record(0))
+    old = t._record(0)
+    stale._record = lambda version=None: old
     with pytest.raises(ConcurrentCommitError):
         stale.append(v0)
     assert t.read().count() == 10
@@ -147,3 +148,24 @@ def test_history_columns(spark, tmp_root):
     assert h.columns[:4] == ["version", "timestamp", "operation", "operationParameters"]
     row = h.collect()[0]
     assert row.timestamp is not None and row.operationParameters == {"mode": "Overwrite"}
+
+
+def test_names_that_differ_in_case_are_one_column(spark, tmp_root):
+    t = VersionedTable(spark, f"{tmp_root}/case")
+    t.overwrite(spark.createDataFrame([(1, "a")], "id int, v string"))
+    t.append(spark.createDataFrame([(2, "b")], "ID int, v string"), merge_schema=True)
+    t.append(spark.createDataFrame([(3, "c", 9)], "Id int, V string, w int"), merge_schema=True)
+    got = t.read()
+    assert got.columns == ["id", "v", "w"]
+    assert sorted(map(tuple, got.collect())) == [(1, "a", None), (2, "b", None), (3, "c", 9)]
+    t.overwrite(spark.createDataFrame([(4, "d")], "ID int, V string"))
+    assert t.read().first().id == 4
+    with pytest.raises(SchemaMismatchError):
+        t.append(spark.createDataFrame([("x",)], "ID string"))
+
+
+def test_two_instances_see_each_others_versions(spark, tmp_root):
+    a, b = (VersionedTable(spark, f"{tmp_root}/two") for _ in range(2))
+    df = spark.range(5)
+    assert a.overwrite(df.limit(1)) == 0 and b.overwrite(df) == 1
+    assert a.latest_version() == 1 and a.read().count() == 5
