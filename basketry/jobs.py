@@ -22,6 +22,8 @@ import sys
 if __package__ in (None, ""):  # run as a file by spark-submit
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from pyspark.sql import DataFrame  # noqa: E402
+
 from basketry.operators.profile import profile_all  # noqa: E402
 from basketry.operators.topk import top_k  # noqa: E402
 from basketry.plans import pipeline, rfm  # noqa: E402
@@ -77,6 +79,13 @@ def build_parser() -> argparse.ArgumentParser:
     return p
 
 
+def show_all(df: DataFrame) -> None:
+    """Print every row, fetched partition by partition."""
+    print(" | ".join(df.columns))
+    for row in df.toLocalIterator():
+        print(" | ".join(str(v) for v in row))
+
+
 def main(argv: list[str] | None = None) -> int:
     args = build_parser().parse_args(argv)
     spark = get_session("basketry")
@@ -95,10 +104,10 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "profile":
         names = [n for n in args.sources.split(",") if n]
         summary, nulls = profile_all(load_raw_sources(spark, args.raw_dir, names, _paths(args.path)))
-        summary.show(len(names), truncate=False)
-        nulls.show(1000, truncate=False)
+        show_all(summary)
+        show_all(nulls)
     elif args.command == "history":
-        VersionedTable(spark, args.table).history().show(truncate=False)
+        show_all(VersionedTable(spark, args.table).history())
     elif args.command == "top":
         ties = tuple(c for c in args.tiebreak.split(",") if c)
         top_k(VersionedTable(spark, args.table).read(), args.by, args.n, tiebreak=ties).show(

@@ -21,6 +21,8 @@ must make the order total (add unique tiebreak columns).
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,19 +31,23 @@ from basketry.session import checkpoint_root
 _POS_MASK = (1 << 33) - 1
 
 
+def _div(a: Column, b: Column) -> Column:
+    """Integer division of whole numbers (``div`` never passes through a double)."""
+    return F.call_function("div", a, b)
+
+
 def bucket_of(rn: Column, n_rows: Column, k: int) -> Column:
     """ntile bucket of 1-based row number ``rn`` among ``n_rows`` rows (exact integer
     arithmetic: the first N mod k buckets hold N div k + 1 rows, the rest N div k)."""
     n_rows = n_rows.cast("long")
     rn = rn.cast("long")
     kk = F.lit(k).cast("long")
-    q = ((n_rows - n_rows % kk) / kk).cast("long")
+    q = _div(n_rows, kk)
     r = n_rows % kk
     big = r * (q + 1)
-    head = (((rn - 1) - (rn - 1) % (q + 1)) / (q + 1)).cast("long") + 1
+    head = _div(rn - 1, q + 1) + 1
     q1 = F.greatest(q, F.lit(1).cast("long"))
-    off = rn - 1 - big
-    tail = r + ((off - off % q1) / q1).cast("long") + 1
+    tail = r + _div(rn - 1 - big, q1) + 1
     return F.when(rn <= big, head).otherwise(tail).cast("int")
 
 
@@ -54,6 +60,14 @@ def ntile_range(
     df: DataFrame, k: int, order: list[Column], out: str, partitions: int | None = None
 ) -> DataFrame:
     """Distributed ``ntile(k)`` over ``order`` (sort-order Columns, total order)."""
+    numbered = _numbered(df, order, partitions)
+    return numbered.withColumn(out, bucket_of(F.col("__rn"), F.col("__total"), k)).drop(
+        "__rn", "__total"
+    )
+
+
+def _numbered(df: DataFrame, order: list[Column], partitions: int | None) -> DataFrame:
+    """``df`` with its global row number (from 1) and the row count."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     checkpoint_root(spark)
@@ -75,14 +89,65 @@ def ntile_range(
         F.coalesce(F.sum("__cnt").over(w_before), F.lit(0)).alias("__off"),
         F.sum("__cnt").over(w_all).alias("__total"),
     )
-    rn = F.col("__off") + F.col("__pos") + 1
     return (
         ranged.join(F.broadcast(offsets), "__pid")
-        .withColumn(out, bucket_of(rn, F.col("__total"), k))
-        .drop("__pid", "__pos", "__off", "__total")
+        .withColumn("__rn", F.col("__off") + F.col("__pos") + 1)
+        .drop("__pid", "__pos", "__off")
     )
 
 
+@dataclass(frozen=True)
+class Key:
+    """A sort key of ``ntile_labels``: ascending with NULLs first, or descending with
+    NULLs last."""
+
+    name: str
+    descending: bool = False
+
+    def order(self) -> Column:
+        c = F.col(self.name)
+        return c.desc_nulls_last() if self.descending else c.asc_nulls_first()
+
+    def after(self, value: object) -> Column:
+        """Does the row come after ``value`` in this key's order?"""
+        c = F.col(self.name)
+        if self.descending:
+            return F.lit(False) if value is None else (c < F.lit(value)) | c.isNull()
+        return c.isNotNull() if value is None else F.coalesce(c > F.lit(value), F.lit(False))
+
+    def equal(self, value: object) -> Column:
+        return F.col(self.name).eqNullSafe(F.lit(value))
+
+
+def boundaries(
+    df: DataFrame, k: int, keys: list[Key], partitions: int | None = None
+) -> list[tuple[int, list]]:
+    """(bucket, key values) of the first row of each bucket but the first: at most k - 1
+    rows. Only the key columns are sorted, numbered and written."""
+    order = [key.order() for key in keys]
+    numbered = _numbered(df.select(*[key.name for key in keys]), order, partitions)
+    here = bucket_of(F.col("__rn"), F.col("__total"), k)
+    before = bucket_of(F.col("__rn") - 1, F.col("__total"), k)
+    first = numbered.where((F.col("__rn") > 1) & (here != before)).withColumn("__b", here)
+    rows = first.select("__b", *[key.name for key in keys]).collect()
+    return sorted(((r["__b"], [r[key.name] for key in keys]) for r in rows), key=lambda x: x[0])
+
+
+def ntile_labels(
+    df: DataFrame, k: int, keys: list[Key], out: str, partitions: int | None = None
+) -> DataFrame:
+    """Distributed ``ntile(k)``: find the boundary rows on the key columns, then label
+    every row by comparing it with them - no join and no shuffle of the wide rows. ``df``
+    is read twice, so it should be a table; the keys must make the order total."""
+    label = F.lit(1)
+    for bucket, values in boundaries(df, k, keys, partitions):
+        reached = F.lit(True)  # equal in all keys: the boundary row itself
+        for key, value in reversed(list(zip(keys, values, strict=True))):
+            reached = key.after(value) | (key.equal(value) & reached)
+        label = F.when(reached, F.lit(bucket)).otherwise(label)
+    return df.withColumn(out, label.cast("int"))
+
+
 def ntile(
     df: DataFrame, k: int, order: list[Column], out: str, method: str = "range"
 ) -> DataFrame:

@@ -155,14 +155,20 @@ def orders_enriched(
 ) -> DataFrame:
     """Order fact: order columns + item totals + review score (one row per review) +
     city/state. Orders without items are dropped; orders without reviews keep NULL."""
-    with_totals = orders.join(item_totals(items), "order_id", "inner")
+    # orders meet their reviews first: both sides are then plain shuffles, so an order
+    # with very many reviews is split; the item totals are one row per order
+    reviewed = fanout_left_join(orders, reviews.select("order_id", "review_score"), "order_id")
     return (
-        fanout_left_join(with_totals, reviews.select("order_id", "review_score"), "order_id")
+        reviewed.join(item_totals(items), "order_id")
         .join(
             customers.select("customer_id", "customer_city", "customer_state"),
             "customer_id",
             "left",
         )
+        .select(
+            *orders.columns, "total_revenue", "total_freight", "total_items", "review_score",
+            "customer_city", "customer_state",
+        )
     )
 
 
@@ -171,27 +177,26 @@ def sales_by_state_category_month(
 ) -> DataFrame:
     """Plain group-by (no subtotals) of item sales by year, month, state, category.
 
-    Items are reduced per (order, category) with map-side combining before any
-    shuffle, so an order holding a large share of all items is already a handful of
-    rows when it meets its order. Sales are then reduced per (customer, month,
-    category) before the customer join, and finally per output group.
+    Items meet their order once and are reduced per (order, customer, month, category)
+    inside that partitioning, so one exchange by order serves the join and the
+    reduction; an order holding a large share of all items is split by AQE's skew join
+    (its parts are combined again after it). What is left, at most a row per order and
+    category, meets the customers and is reduced per output group.
     """
-    per_oc = _items_with_category(items, products).groupBy(
-        "order_id", "product_category_name"
-    ).agg(
-        F.sum(money("price")).alias("sales"),
-        F.count("product_id").alias("n_items"),
-    )
-    per_cmc = per_oc.join(
-        orders.select("order_id", "customer_id", "order_purchase_timestamp"), "order_id"
-    ).groupBy(
-        "customer_id",
-        F.year("order_purchase_timestamp").alias("order_year"),
-        F.month("order_purchase_timestamp").alias("order_month"),
-        "product_category_name",
-    ).agg(
-        F.sum("sales").alias("sales"),
-        F.sum("n_items").alias("n_items"),
+    per_cmc = (
+        _items_with_category(items, products)
+        .join(orders.select("order_id", "customer_id", "order_purchase_timestamp"), "order_id")
+        .groupBy(
+            "order_id",
+            "customer_id",
+            F.year("order_purchase_timestamp").alias("order_year"),
+            F.month("order_purchase_timestamp").alias("order_month"),
+            "product_category_name",
+        )
+        .agg(
+            F.sum(money("price")).alias("sales"),
+            F.count("product_id").alias("n_items"),
+        )
     )
     base = per_cmc.join(customers.select("customer_id", "customer_state"), "customer_id")
     return base.groupBy(

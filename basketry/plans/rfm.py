@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.operators.ntile import ntile
+from basketry.operators.ntile import Key, ntile_labels, ntile_window
 from basketry.session import checkpoint_root
 
 # Default reference date for recency, score count, segment labels.
@@ -17,10 +17,6 @@ AT_RISK = "3. At Risk"
 HIBERNATING = "4. Hibernating / Lost"
 POTENTIAL = "5. Potential / Others"
 
-# Up to this many rows the three scores use one global window each (a single task
-# sorts at most this many rows); above it the distributed range form is used.
-WINDOW_MAX_ROWS = 1_000_000
-
 # Rows tied on a score key are ordered by the customer grain, so scores are repeatable.
 TIEBREAK = ("customer_unique_id", "customer_city")
 
@@ -33,28 +29,39 @@ def recency(c360: DataFrame, reference_date: str = REFERENCE_DATE) -> DataFrame:
     )
 
 
-def _order(key: Column) -> list[Column]:
-    return [key] + [F.col(c).asc_nulls_first() for c in TIEBREAK]
+# score column -> its first sort key
+SCORE_KEYS = {
+    "R_Score": Key("recency_days", descending=True),
+    "F_Score": Key("total_orders"),
+    "M_Score": Key("total_lifetime_value"),
+}
 
 
-def scores(base: DataFrame, method: str = "range") -> DataFrame:
+def scores(base: DataFrame, method: str = "range", materialized: bool = False) -> DataFrame:
     """R (recency descending: oldest = 1), F (order count), M (value), each 1..4.
 
-    method: "range" (distributed, any size), "window" (one task per score), or
-    "auto" (count ``base``, window up to WINDOW_MAX_ROWS rows, else range). With
-    "auto", ``base`` should be materialised (a table or a checkpoint), since it is
-    read once for the count and again for the scores.
+    One plan at every size: per score the key columns alone are ranked, and the wide rows
+    are labelled by comparing them with the three boundary rows, without a shuffle.
+    Unless ``materialized`` (a table that was just read), ``base`` is checkpointed first,
+    since it is read once per score and once for the labels. ``method="window"`` is the
+    plain one-task form that tests compare with.
     """
-    if method == "auto":
-        method = "window" if base.count() <= WINDOW_MAX_ROWS else "range"
-    out = ntile(base, BUCKETS, _order(F.col("recency_days").desc_nulls_last()), "R_Score", method)
-    out = ntile(out, BUCKETS, _order(F.col("total_orders").asc_nulls_first()), "F_Score", method)
-    out = ntile(
-        out, BUCKETS, _order(F.col("total_lifetime_value").asc_nulls_first()), "M_Score", method
-    )
-    return out
+    ties = [Key(c) for c in TIEBREAK]
+    if method == "window":
+        for out, key in SCORE_KEYS.items():
+            base = ntile_window(base, BUCKETS, [x.order() for x in (key, *ties)], out)
+        return base
+    if method != "range":
+        raise ValueError(f"unknown scoring method {method!r}")
+    if not materialized:
+        checkpoint_root(base.sparkSession)
+        base = base.checkpoint(eager=True)
+    for out, key in SCORE_KEYS.items():
+        base = ntile_labels(base, BUCKETS, [key, *ties], out)
+    return base
 
 
+# Fixed rule: the thresholds and their order decide the segment.
 def segment_label(r: Column, f: Column, m: Column) -> Column:
     """First matching rule wins."""
     return (
@@ -75,21 +82,11 @@ def segments(scored: DataFrame) -> DataFrame:
 def segment_rfm(
     c360: DataFrame,
     reference_date: str = REFERENCE_DATE,
-    method: str = "auto",
+    method: str = "range",
     materialized: bool = False,
 ) -> DataFrame:
-    """Segments over a customer-360 table.
-
-    Unless ``materialized`` (e.g. the mart was just read from its table), the scoring
-    base is checkpointed to the session's checkpoint folder first: the scores read it
-    up to four times (row count, three orders), and a lost executor then recomputes
-    from the checkpoint, not from the raw tables.
-    """
-    base = recency(c360, reference_date)
-    if method in ("auto", "range") and not materialized:
-        checkpoint_root(base.sparkSession)
-        base = base.checkpoint(eager=True)
-    return segments(scores(base, method))
+    """Segments over a customer-360 table (``materialized``: it was read from a table)."""
+    return segments(scores(recency(c360, reference_date), method, materialized))
 
 
 def segment_counts(segmented: DataFrame) -> DataFrame:

@@ -48,6 +48,9 @@ def query(name: str, sql: str | None = None):
 
 
 def cleaned(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Cleaned tables. The queries run on the session they are given, so the one setting
+    that their skew handling needs is set here, not only in ``session.get_session``."""
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     return star.cleaned_tables(spark, sf_dir)
 
 
@@ -167,10 +170,41 @@ def q_topk_segments(spark, sf_dir):
     return top_k(segmented(spark, sf_dir), "total_lifetime_value", 10, tiebreak=GRAIN_TIES)
 
 
-@query("pipeline_end_to_end", "SELECT * FROM rfm_segmented")
+# table of the run -> (its relation in SQL, an order-free sum over its rows)
+RUN_TABLES = {
+    "customers": ("clean_customers", "customer_id"),
+    "orders": ("clean_orders", "order_id"),
+    "items": ("clean_items", "price"),
+    "products": ("clean_products", "product_id"),
+    "reviews": ("clean_reviews", "review_score"),
+    "customer_360": ("c360", "total_lifetime_value"),
+    "fact_orders_enriched": ("fact", "total_revenue"),
+    "agg_sales_by_state_category_month": ("sales", "total_sales"),
+    "segment_rfm": ("rfm_segmented", "R_Score * 100 + F_Score * 10 + M_Score"),
+}
+
+
+@query(
+    "pipeline_end_to_end",
+    "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, CAST(0 AS BIGINT) AS version, count(*) AS rows, "
+        f"CAST(sum(CAST({value} AS DECIMAL(18,2))) AS DOUBLE) AS checksum FROM {relation}"
+        for name, (relation, value) in RUN_TABLES.items()
+    ),
+)
 def q_pipeline(spark, sf_dir):
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     tables = run_pipeline(spark, star.raw_tables(spark, sf_dir), scratch_path(spark, "pipeline"))
-    return tables["segment_rfm"].read()
+    parts = [
+        tables[name].read().agg(
+            F.lit(name).alias("table_name"),
+            F.lit(tables[name].latest_version()).cast("long").alias("version"),
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(F.expr(value).cast("decimal(18,2)")).cast("double").alias("checksum"),
+        )
+        for name, (_, value) in RUN_TABLES.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ===================================================================== cleaning ==
@@ -292,6 +326,7 @@ def q_flt_any_null(spark, sf_dir):
     "join_inner",
     """
 SELECT o.order_id, o.customer_id, o.order_status, o.order_purchase_timestamp,
+       o.order_delivered_customer_date,
        i.product_id, i.price, i.freight_value
 FROM clean_orders o JOIN clean_items i ON i.order_id = o.order_id""",
 )
@@ -315,6 +350,7 @@ def q_join_left(spark, sf_dir):
     "join_chain_360",
     """
 SELECT o.order_id, i.product_id, o.customer_id, o.order_status, o.order_purchase_timestamp,
+       o.order_delivered_customer_date,
        i.price, i.freight_value, c.customer_unique_id, c.customer_city, c.customer_state,
        p.product_category_name, r.review_id, r.review_score
 FROM clean_orders o
@@ -337,6 +373,7 @@ def q_join_chain_360(spark, sf_dir):
     "join_preagg",
     """
 SELECT o.order_id, o.customer_id, o.order_status, o.order_purchase_timestamp,
+       o.order_delivered_customer_date,
        t.total_revenue, t.total_freight, t.total_items
 FROM clean_orders o JOIN item_totals t ON t.order_id = o.order_id""",
 )
@@ -792,7 +829,35 @@ def q_dq_report(spark, sf_dir):
 
 # ==================================================================== profiling ==
 
-RAW_COLUMNS = {"customers": 4, "orders": 4, "items": 4, "products": 2, "reviews": 3}
+RAW_COLUMN_NAMES = {
+    "customers": ("customer_id", "customer_unique_id", "customer_city", "customer_state"),
+    "orders": (
+        "order_id", "customer_id", "order_status", "order_purchase_timestamp",
+        "order_delivered_customer_date",
+    ),
+    "items": ("order_id", "product_id", "price", "freight_value"),
+    "products": ("product_id", "product_category_name"),
+    "reviews": ("review_id", "order_id", "review_score"),
+    "payments": ("order_id", "payment_value"),
+    "sellers": ("seller_id", "seller_name"),
+    "geolocation": ("geolocation_city", "geolocation_state"),
+    "translation": ("product_category_name", "product_category_name_english"),
+}
+RAW_COLUMNS = {name: len(columns) for name, columns in RAW_COLUMN_NAMES.items()}
+
+
+def _null_sql(name: str, relation: str, columns: tuple[str, ...]) -> list[str]:
+    return [
+        f"SELECT '{name}' AS table_name, '{c}' AS column_name, {i} AS position, "
+        f"round(count(*) FILTER (WHERE {c} IS NULL) / count(*) * 100, 2) AS null_pct, "
+        f"count(*) FILTER (WHERE {c} IS NULL) AS n FROM {relation}"
+        for i, c in enumerate(columns)
+    ]
+
+
+RAW_NULLS_SQL = "\nUNION ALL\n".join(
+    sql for name, columns in RAW_COLUMN_NAMES.items() for sql in _null_sql(name, f"raw_{name}", columns)
+)
 
 
 def _per_raw_sql(template: str) -> str:
@@ -853,17 +918,16 @@ def q_prof_null_pct(spark, sf_dir):
 
 @query(
     "prof_null_report",
-    """
-SELECT * FROM (
-  SELECT 'products' AS table_name, 'product_category_name' AS column_name, 1 AS position,
-         round(count(*) FILTER (WHERE product_category_name IS NULL) / count(*) * 100, 2) AS null_pct
-  FROM raw_products
-  UNION ALL
-  SELECT 'items_with_category', 'product_category_name', 2,
-         round(count(*) FILTER (WHERE product_category_name IS NULL) / count(*) * 100, 2)
-  FROM (SELECT i.order_id, i.product_id, p.product_category_name
-        FROM raw_items i LEFT JOIN raw_products p ON p.product_id = i.product_id))
-WHERE null_pct > 0""",
+    f"""
+SELECT table_name, column_name, position, null_pct FROM (
+{RAW_NULLS_SQL}
+UNION ALL
+SELECT 'items_with_category', 'product_category_name', 2,
+       round(count(*) FILTER (WHERE product_category_name IS NULL) / count(*) * 100, 2),
+       count(*) FILTER (WHERE product_category_name IS NULL)
+FROM (SELECT i.order_id, i.product_id, p.product_category_name
+      FROM raw_items i LEFT JOIN raw_products p ON p.product_id = i.product_id))
+WHERE n > 0""",
 )
 def q_prof_null_report(spark, sf_dir):
     raw = star.raw_tables(spark, sf_dir)
@@ -874,16 +938,23 @@ def q_prof_null_report(spark, sf_dir):
 
 @query(
     "prof_all",
-    _per_raw_sql(
+    "SELECT *, NULL::VARCHAR AS column_name, NULL::INTEGER AS position, NULL::DOUBLE AS null_pct FROM ("
+    + _per_raw_sql(
         "SELECT '{name}' AS table_name, count(*) AS rows, {ncols} AS columns, "
         "count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_{name})) AS duplicate_rows, "
         "round(COALESCE((count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw_{name}))) * 100 / "
         "NULLIF(count(*), 0), 0), 2) AS duplicate_pct FROM raw_{name}"
-    ),
+    )
+    + f""")
+UNION ALL
+SELECT table_name, NULL, NULL, NULL, NULL, column_name, position, null_pct FROM (
+{RAW_NULLS_SQL})
+WHERE n > 0""",
 )
 def q_prof_all(spark, sf_dir):
-    summary, _nulls = prof.profile_all(star.raw_tables(spark, sf_dir))
-    return summary
+    """Summary rows of all nine tables, and a row per column with NULLs."""
+    summary, nulls = prof.profile_all(star.raw_tables(spark, sf_dir))
+    return summary.unionByName(nulls, allowMissingColumns=True)
 
 
 # ====================================================================== sources ==
@@ -894,29 +965,28 @@ DOC_SCHEMA = StructType(
         StructField("text", StringType()),
         StructField("lang", StringType()),
         StructField("source", StringType()),
+        StructField("n_chars", LongType()),
     ]
 )
 
 
-@query("src_csv_roundtrip", "SELECT doc_id, text, lang, source FROM documents")
+@query("src_csv_roundtrip", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def q_src_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "documents-csv")
-    docs = star.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = star.table(spark, sf_dir, "documents").select(*DOC_SCHEMA.names)
     csvsrc.write_csv(docs, path)
     return csvsrc.read_raw(spark, path, multiline=True, schema=DOC_SCHEMA)
 
 
-@query("src_csv_inferred", "SELECT order_id, product_id, price, freight_value FROM raw_items")
+@query(
+    "src_csv_inferred",
+    "SELECT CAST(order_id AS INTEGER) AS order_id, CAST(product_id AS INTEGER) AS product_id, "
+    "price, freight_value FROM raw_items",
+)
 def q_src_csv_inferred(spark, sf_dir):
     path = scratch_path(spark, "items-csv")
     csvsrc.write_csv(star.raw_items(spark, sf_dir), path)
-    inferred = csvsrc.read_csv_inferred(spark, path)
-    return inferred.select(
-        F.col("order_id").cast("long"),
-        F.col("product_id").cast("long"),
-        F.col("price").cast("double"),
-        F.col("freight_value").cast("double"),
-    )
+    return csvsrc.read_csv_inferred(spark, path)  # the types are what inference found
 
 
 @query(

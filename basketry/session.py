@@ -74,5 +74,13 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the checkpoint root for tables a job writes."""
-    return f"{checkpoint_root(spark)}/basketry/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path for a table a job writes, in the application's folder under
+    the checkpoint root. The folder is deleted when the application ends."""
+    app = f"{checkpoint_root(spark)}/basketry/{spark.sparkContext.applicationId}"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(app)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+    return f"{app}/{name}-{uuid.uuid4().hex[:12]}"

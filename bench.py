@@ -21,6 +21,7 @@ HEADLINE = [
     "mart_orders_enriched",
     "mart_sales_state_category_month",
     "mart_customer_basic",
+    "rfm_scores",
     "rfm_segments",
     "dq_report",
     "prof_all",
@@ -41,7 +42,7 @@ def main() -> None:
         "basketry-bench",
         master=f"local[{cpus}]",
         shuffle_partitions=max(8, cpus * 2),
-        conf={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"},
+        conf={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"},
     )
     spark.sparkContext.setLogLevel("ERROR")
 

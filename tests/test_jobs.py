@@ -12,6 +12,7 @@ from tests.fixtures import fanout_tables
 def _raw_csv(spark, base):
     t = fanout_tables(spark)
     t["orders"] = t["orders"].withColumn("order_purchase_timestamp", F.col("order_purchase_timestamp").cast("string"))
+    t["orders"] = t["orders"].withColumn("order_delivered_customer_date", F.lit(None).cast("string"))
     for name, df in t.items():
         write_csv(df, source_path(base, name))
 
@@ -41,3 +42,15 @@ def test_cli_run_and_profile(spark, tmp_path, capsys):
     assert jobs.main(["profile", "--raw-dir", raw, "--sources", "orders,items"]) == 0
     out = capsys.readouterr().out
     assert "orders" in out and "items" in out
+
+
+def test_cli_prints_every_row(spark, tmp_path, capsys):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    df = spark.createDataFrame([(1,)], "id int")
+    for _ in range(23):
+        table.append(df)
+    assert jobs.main(["history", "--table", str(tmp_path / "t")]) == 0
+    assert capsys.readouterr().out.count("WRITE") == 23
+    wide = spark.range(1050).selectExpr("CAST(NULL AS INT) AS c", "id")
+    jobs.show_all(wide)
+    assert len(capsys.readouterr().out.splitlines()) == 1051
