@@ -20,9 +20,16 @@ FILTER_BITS = 1 << 23
 PACKED = "bucket bigint, low binary, owner binary, owners binary"
 
 
-def packed(values: np.ndarray, owner: np.ndarray, names: np.ndarray, bits: int) -> pa.RecordBatch:
+def packed(
+    values: np.ndarray,
+    owner: np.ndarray,
+    names: np.ndarray,
+    bits: int,
+    labels: np.ndarray | None = None,
+) -> pa.RecordBatch:
     """Values as one row per bucket: the ``bits`` leading bits name the bucket, the next
-    32 are kept (a chance agreement beyond them only adds a candidate)."""
+    32 are kept (a chance agreement beyond them only adds a candidate). Owners are named
+    by ``names`` and, where given, ``labels``."""
     order = np.argsort(values)
     values, owner = values[order], owner[order]
     bucket = (values >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(
@@ -34,9 +41,10 @@ def packed(values: np.ndarray, owner: np.ndarray, names: np.ndarray, bits: int)
     for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(values)], strict=True):
         used, place = np.unique(owner[a:b], return_inverse=True)
         rows[0].append(int(bucket[a]))
-        rows[1].append(low[a:b].tobytes())
+        rows[1].append(_steps(low[a:b]))
         rows[2].append(place.astype("<u4" if len(used) > 65536 else "<u2").tobytes())
-        rows[3].append(names[used].astype("<u8").tobytes())
+        called = names[used].astype("<u8").tobytes()
+        rows[3].append(called if labels is None else called + labels[used].astype("<u8").tobytes())
     types = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
     return pa.RecordBatch.from_arrays(
         [pa.array(r, t) for r, t in zip(rows, types, strict=True)],
@@ -44,21 +52,44 @@ def packed(values: np.ndarray, owner: np.ndarray, names: np.ndarray, bits: int)
     )
 
 
-def unpacked(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(low, owner number, owner names) of a bucket, sorted by low."""
-    low, names, lens = [], [], []
+def _steps(low: np.ndarray) -> bytes:
+    """Sorted values: the width of a step, the first value, and the steps, of 3 bytes
+    where all fit."""
+    step = np.diff(low).astype("<u4")
+    wide = len(step) > 0 and int(step.max()) >= 1 << 24
+    body = step.tobytes() if wide else step.view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+    return bytes([4 if wide else 3]) + low[:1].tobytes() + body
+
+
+def _from_steps(raw: bytes) -> np.ndarray:
+    body = np.frombuffer(raw, np.uint8, offset=5)
+    if raw[0] == 3:
+        full = np.zeros((len(body) // 3, 4), np.uint8)
+        full[:, :3] = body.reshape(-1, 3)
+        body = full.ravel()
+    first = np.frombuffer(raw, "<u4", count=1, offset=1)
+    return np.cumsum(np.concatenate([first, body.view("<u4")]).astype(np.uint64)).astype(np.uint32)
+
+
+def unpacked(rows: pa.Table, labelled: bool = False) -> tuple[np.ndarray, ...]:
+    """(low, owner number, owner names) of a bucket, sorted by low and owner; with
+    ``labelled`` also the owners' labels."""
+    low, names, labels = [], [], []
     for r in rows.select(["low", "owner", "owners"]).to_pylist():
-        v = np.frombuffer(r["low"], "<u4")
-        wide = len(r["owner"]) == 4 * len(v)
-        place = np.frombuffer(r["owner"], "<u4" if wide else "<u2")
+        v = _from_steps(r["low"])
+        place = np.frombuffer(r["owner"], "<u4" if len(r["owner"]) == 4 * len(v) else "<u2")
+        called = np.frombuffer(r["owners"], "<u8")
+        if labelled:
+            called, label = np.split(called, 2)
+            labels.append(label[place])
         low.append(v)
-        names.append(np.frombuffer(r["owners"], "<u8")[place])
-        lens.append(len(v))
+        names.append(called[place])
     value, every = np.concatenate(low), np.concatenate(names)
-    known, owner = np.unique(every, return_inverse=True)
+    known, first, owner = np.unique(every, return_index=True, return_inverse=True)
     # by value, then owner; an owner counts once under a value
     both = np.unique((value.astype(np.uint64) << np.uint64(32)) | owner.astype(np.uint64))
-    return (both >> np.uint64(32)), (both & np.uint64(0xFFFFFFFF)).astype(np.int64), known
+    found = (both >> np.uint64(32)), (both & np.uint64(0xFFFFFFFF)).astype(np.int64), known
+    return (*found, np.concatenate(labels)[first]) if labelled else found
 
 
 def signed(x: np.ndarray) -> np.ndarray:

@@ -289,38 +289,48 @@ def _stars(rows: pa.Table) -> pa.Table:
     return pa.table({"a": real[pair >> 32], "b": real[pair & 0xFFFFFFFF], "n": n})
 
 
-def _sign(sets: DataFrame, bits: int) -> DataFrame:
-    """Packed signatures of (rep, shingles) rows."""
+def _sign(sets: DataFrame, bits: int, labelled: bool = False) -> DataFrame:
+    """Packed signatures of (rep, shingles) rows, with their labels where wanted."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, sizes, names, held = [], [], [], 0
+        values, sizes, names, labels, held = [], [], [], [], 0
 
         def flush() -> pa.RecordBatch:
             n = np.array(sizes)
             return packed(
                 np.concatenate(values), np.repeat(np.arange(len(n)), n),
                 np.array(names, np.int64).view(np.uint64), bits,
+                np.array(labels, np.int64).view(np.uint64) if labelled else None,
             )
 
         for b in batches:
-            for rep, raw in zip(b.column("rep"), b.column("shingles"), strict=True):
+            reps = b.column("rep").to_pylist()
+            own = b.column("label").to_pylist() if labelled else reps
+            for rep, label, raw in zip(reps, own, b.column("shingles"), strict=True):
                 made = signatures(np.frombuffer(raw.as_py(), "<u8"))
                 if len(made):
                     values.append(made)
                     sizes.append(len(made))
-                    names.append(rep.as_py())
+                    names.append(rep)
+                    labels.append(label)
                     held += len(made)
                 if held >= TASK_VALUES:
                     yield flush()
-                    values, sizes, names, held = [], [], [], 0
+                    values, sizes, names, labels, held = [], [], [], [], 0
         if held:
             yield flush()
 
-    return sets.select("rep", "shingles").mapInArrow(send, PACKED)
+    columns = ["rep", "shingles"] + ["label"] * labelled
+    return sets.select(*columns).mapInArrow(send, PACKED)
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets link, compared exactly."""
+def _verify(pairs: DataFrame, sets: DataFrame, few: bool = True) -> DataFrame:
+    """The pairs (a, b) whose sets link, compared exactly; with ``few`` most sets are
+    expected to be in no pair and are left out before the join."""
+    if few:
+        pairs = materialize(pairs.select("a", "b"), "pairs")
+        ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b"))
+        sets = only_ids(sets.select("rep", "shingles"), "rep", ends, "rep")
     left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y"))
 
@@ -351,33 +361,36 @@ def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs
 
 
-def _across_pairs(sets: DataFrame, labels: DataFrame, bits: int) -> DataFrame:
-    """All pairs under one signature whose components differ and whose sizes fit."""
-    named = sets.join(labels, sets["rep"] == labels["node"], "left").select(
-        "rep", "n", "shingles", F.coalesce("label", "rep").alias("label")
-    )
-    info = named.select("rep", "n", "label")
+def _across_pairs(sets: DataFrame, bits: int) -> DataFrame:
+    """All pairs (a, b) of (rep, n, shingles, label) rows that are under one signature,
+    have different labels, and fit in size."""
 
     def groups(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        value, owner, names = unpacked(rows)
+        value, owner, names, labels = unpacked(rows, labelled=True)
         start = _group_starts(value)
         size = np.diff(start, append=len(value))
-        many = np.repeat(size > 1, size)
-        group = np.repeat(np.arange(len(start)), size)[many]
+        label = labels[owner]
+        mixed = np.minimum.reduceat(label, start) != np.maximum.reduceat(label, start)
+        some = np.repeat(mixed, size)
+        group = np.repeat(np.arange(len(start)), size)[some]
         return pa.table({
-            "g": group + (key[0].as_py() << 32), "rep": signed(names)[owner[many]]
+            "g": group + (key[0].as_py() << 32),
+            "rep": signed(names)[owner[some]],
+            "label": signed(label[some]),
         })
 
-    # rows (signature, set) of shared signatures, then joined on the signature: both
+    # members of signatures that lead across components, joined on the signature: both
     # sides are plain shuffles, so a signature with many sets can be split
-    member = _sign(named, bits).groupBy("bucket").applyInArrow(groups, "g bigint, rep bigint")
-    member = materialize(member.join(info, "rep"), "members")
-    mixed = member.groupBy("g").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-    member = member.join(mixed.where("x <> y").select("g"), "g", "left_semi")
-    left = member.select("g", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    right = member.select("g", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    fits = "a < b AND la <> lb AND 100 * least(na, nb) >= {p} * greatest(na, nb)".format(p=PERCENT)
-    return left.join(right, "g").where(fits).select("a", "b").distinct()
+    member = _sign(sets, bits, labelled=True).groupBy("bucket").applyInArrow(
+        groups, "g bigint, rep bigint, label bigint"
+    )
+    member = materialize(member, "members")
+    left = member.select("g", F.col("rep").alias("a"), F.col("label").alias("la"))
+    right = member.select("g", F.col("rep").alias("b"), F.col("label").alias("lb"))
+    pairs = left.join(right, "g").where("a < b AND la <> lb").select("a", "b").distinct()
+    for end in ("a", "b"):
+        pairs = pairs.join(sets.select(F.col("rep").alias(end), F.col("n").alias(f"n{end}")), end)
+    return pairs.where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)").select("a", "b")
 
 
 def _sets_of(docs: DataFrame, reps: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -432,7 +445,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     first = stars.groupBy("b").agg(
         F.max(F.struct("n", (-F.col("a")).alias("a"))).alias("m")
     ).select((-F.col("m.a")).alias("a"), "b")
-    links = materialize(_verify(first, sets), "links")
+    links = materialize(_verify(first, sets, few=False), "links")
     labels = components(links)
     # then the other stars that still lead from one component to another
     rest = _labelled(stars.select("a", "b"), labels).where("la <> lb")
@@ -448,8 +461,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         own = sets.join(labels, sets["rep"] == labels["node"], "left").withColumn(
             "label", F.coalesce("label", "rep")
         )
-        some = materialize(own.join(touched, "label", "left_semi").select("rep", "n", "shingles"), "open-sets")
-        pairs = _across_pairs(some, labels, bits).join(stars.select("a", "b"), ["a", "b"], "left_anti")
+        some = own.join(touched, "label", "left_semi").select("rep", "n", "shingles", "label")
+        some = materialize(some, "open-sets")
+        pairs = _across_pairs(some, bits).join(stars.select("a", "b"), ["a", "b"], "left_anti")
         across = materialize(_verify(pairs, some), "links")
         labels = components(links.unionByName(across))
     final = named.join(labels, named["rep"] == labels["node"], "left").select(
