@@ -1028,14 +1028,16 @@ def q_src_lookup_csv(spark, sf_dir):
     "src_schema",
     """
 SELECT CAST(ordinal_position - 1 AS INTEGER) AS position, column_name,
-       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
-                      WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
-                      ELSE lower(data_type) END AS data_type,
+       CASE data_type WHEN 'BIGINT' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+                      WHEN 'VARCHAR' THEN 'string' ELSE lower(data_type) END AS data_type,
        is_nullable = 'YES' AS nullable
 FROM information_schema.columns WHERE table_name = 'orders'""",
 )
 def q_src_schema(spark, sf_dir):
-    return csvsrc.schema_table(spark, star.table(spark, sf_dir, "orders"))
+    """The schema that inference finds in the rows of a CSV of ``orders``."""
+    path = scratch_path(spark, "orders-csv")
+    csvsrc.write_csv(star.table(spark, sf_dir, "orders"), path)
+    return csvsrc.schema_table(spark, csvsrc.read_csv_inferred(spark, path))
 
 
 # =============================================================== table versions ==
