@@ -26,7 +26,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Cuts lineage: a lost executor re-reads the table instead of recomputing it.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -252,7 +252,8 @@ def _spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
 # ---- phrases
 
 PHRASE = (
-    "h bigint, sid bigint, rel int, phrase binary, doc bigint, docs binary, places binary"
+    "h bigint, sid bigint, rel int, phrase binary, doc bigint, last bigint, docs binary, "
+    "places binary"
 )
 
 
@@ -279,6 +280,7 @@ def phrases(texts: DataFrame) -> DataFrame:
                         pa.array([v[0] for _, v in some], pa.int32()),
                         pa.array([k[1] for k, _ in some], pa.binary()),
                         pa.array(np.minimum.reduceat(docs, np.cumsum(counts) - counts)),
+                        pa.array(np.maximum.reduceat(docs, np.cumsum(counts) - counts)),
                         _column(docs, counts),
                         _column(places, counts),
                     ],
@@ -348,6 +350,7 @@ def windows_of(rows: DataFrame) -> DataFrame:
                         pa.array([0] * n, pa.int32()),
                         pa.array(some, pa.binary()),
                         pa.array([r["doc"]] * n, pa.int64()),
+                        pa.array([r["last"]] * n, pa.int64()),
                         pa.array([r["docs"]] * n, pa.binary()),
                         pa.array([(places + i).astype("<i8").tobytes() for i in range(n)], pa.binary()),
                     ],
@@ -438,7 +441,8 @@ def sources(chars: np.ndarray, block: np.ndarray, doc: np.ndarray, shard_size: i
 
 
 def _resolve(rows: pa.Table) -> pa.Table:
-    """(h, sid, runs): for each phrase, runs of (first start, last start, source)."""
+    """(h, sid, runs): runs of (first start, last start, source) of the phrases that some
+    document holds after a run's source."""
     h = rows.column("h").to_numpy()
     rel = rows.column("rel").to_numpy()
     doc = rows.column("doc").to_numpy()
@@ -459,9 +463,14 @@ def _resolve(rows: pa.Table) -> pa.Table:
     cut[1:] = (line[1:] != line[:-1]) | (row[1:] != row[:-1])
     cut = np.flatnonzero(cut)
     last = place[np.append(cut[1:], len(line)) - 1]
+    end = rows.column("last").to_numpy()
+    gone = line[cut] < end[row[cut]]  # runs that take bytes from some document
+    cut, last = cut[gone], last[gone]
+    some, counts = np.unique(row[cut], return_counts=True)
     runs = np.stack([place[cut], last, line[cut]], 1).ravel()
-    column = _column(runs, 3 * np.bincount(row[cut], minlength=n))
-    return pa.table({"h": h, "sid": rows.column("sid"), "runs": column})
+    return pa.table({
+        "h": h[some], "sid": rows.column("sid").to_numpy()[some], "runs": _column(runs, 3 * counts)
+    })
 
 
 def _ranges_of(rows: DataFrame) -> DataFrame:
@@ -526,6 +535,13 @@ def _removed(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(strip, RESULT)
 
 
+def _distinct(cut: DataFrame) -> DataFrame:
+    """Different phrases with the smallest and the largest document that hold them."""
+    return cut.groupBy("h", "sid", "rel", "phrase").agg(
+        F.min("doc").alias("doc"), F.max("last").alias("last")
+    )
+
+
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
     found = materialize(survey(docs, doc_id, text), "anchors")
@@ -549,16 +565,14 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
     near = only_ids(whole, "doc_id", shared, "doc_id").join(shared, "doc_id")
     cut = materialize(phrases(near), "phrases")
-    distinct = cut.groupBy("h", "sid", "rel", "phrase").agg(F.min("doc").alias("doc"))
-    distinct = materialize(distinct, "distinct-phrases")
+    distinct = materialize(_distinct(cut), "distinct-phrases")
     many = materialize(
         distinct.groupBy("h").count().where(F.col("count") > MANY_PHRASES).select("h"), "many"
     )
     if many.limit(1).count():
         apart = windows_of(cut.join(many, "h", "left_semi"))
         cut = materialize(cut.join(many, "h", "left_anti").unionByName(apart), "phrases")
-        distinct = cut.groupBy("h", "sid", "rel", "phrase").agg(F.min("doc").alias("doc"))
-        distinct = materialize(distinct, "distinct-phrases")
+        distinct = materialize(_distinct(cut), "distinct-phrases")
     n = max(1, -(-distinct.count() // BUCKET_PHRASES))
     runs = (
         distinct.withColumn("bucket", F.pmod("h", F.lit(n)))
@@ -566,7 +580,8 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .applyInArrow(_resolve, "h bigint, sid bigint, runs binary")
     )
     runs = materialize(runs, "runs")
-    ranges = _ranges_of(cut.select("h", "sid", "docs", "places").join(runs, ["h", "sid"]))
+    held = only_ids(cut.select("h", "sid", "docs", "places"), "sid", runs, "sid")
+    ranges = _ranges_of(held.join(runs, ["h", "sid"]))
     per_doc = ranges.groupBy("doc_id").agg(
         F.collect_list(F.struct("start", "stop")).alias("ranges")  # the document's own ranges
     )
