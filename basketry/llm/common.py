@@ -6,6 +6,7 @@ Python code of this subpackage runs inside Spark tasks (Arrow batches, numpy).
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -74,3 +75,15 @@ def text_blocks(column: pa.Array, most: int) -> Iterator[tuple[int, int, list[st
     sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
     for i, j in blocks(sizes, most):
         yield i, j, column.slice(i, j - i).to_pylist()
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
+    """Jobs started inside hand Python at most ``most`` rows at once (for wide rows)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import materialize, table, text_blocks, text_bytes
+from basketry.llm.common import arrow_rows, materialize, table, text_blocks, text_bytes
 from basketry.llm.exchange import PACKED, only_ids, packed, signed, unpacked, without_ids
 from basketry.llm.graph import components
 
@@ -51,6 +51,8 @@ PERCENT = 75
 BUCKET_VALUES = 2_000_000  # shingles or signatures of a bucket
 TASK_VALUES = 1_500_000  # values a task holds before it sends them
 BLOCK_BYTES = 1_000_000
+COMPARISON = 60  # cost of a needless comparison, in signatures
+PAIR_ROWS = 256  # pairs of sets in one Arrow batch: a set may be large
 KNOWN_WORDS = 300_000  # word hashes a task remembers
 _UPPER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -234,8 +236,9 @@ def _scheme(band: int) -> tuple[int, int, int]:
         if ones > m:
             continue
         per = first / m
-        # signatures, and chance agreements of segments that hold common shingles only
-        cost = m + ones * per + first * 4 * math.exp(-0.8 * per)
+        # signatures, and the comparisons that segments of common shingles only lead to;
+        # a comparison moves two whole sets, so it weighs as much as many signatures
+        cost = m + ones * per + first * COMPARISON * math.exp(-0.8 * per)
         if best is None or cost < best[0]:
             best = (cost, m, ones)
     return h, best[1], best[2]
@@ -350,7 +353,21 @@ def _verify(pairs: DataFrame, sets: DataFrame, few: bool = True) -> DataFrame:
             )
 
     joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return joined.mapInArrow(compare, "a bigint, b bigint")
+    with arrow_rows(sets.sparkSession, PAIR_ROWS):
+        return materialize(joined.mapInArrow(compare, "a bigint, b bigint"), "links")
+
+
+def _fitting(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose sizes allow a link."""
+    for end in ("a", "b"):
+        size = sets.groupBy(F.col("rep").alias(end)).agg(
+            F.min("n").alias(f"lo_{end}"), F.max("n").alias(f"hi_{end}")
+        )
+        pairs = pairs.join(size, end)
+    fits = (100 * F.col("hi_a") >= PERCENT * F.col("lo_b")) & (
+        100 * F.col("hi_b") >= PERCENT * F.col("lo_a")
+    )
+    return pairs.where(fits).drop("lo_a", "hi_a", "lo_b", "hi_b")
 
 
 def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -388,9 +405,7 @@ def _across_pairs(sets: DataFrame, bits: int) -> DataFrame:
     left = member.select("g", F.col("rep").alias("a"), F.col("label").alias("la"))
     right = member.select("g", F.col("rep").alias("b"), F.col("label").alias("lb"))
     pairs = left.join(right, "g").where("a < b AND la <> lb").select("a", "b").distinct()
-    for end in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("rep").alias(end), F.col("n").alias(f"n{end}")), end)
-    return pairs.where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)").select("a", "b")
+    return _fitting(pairs, sets)
 
 
 def _sets_of(docs: DataFrame, reps: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -441,16 +456,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .agg(F.sum("n").alias("n"))
     )
     stars = materialize(stars, "stars")
+    near = materialize(_fitting(stars, sets), "near-stars")
     # first each set with the one it shares most signatures with
-    first = stars.groupBy("b").agg(
+    first = near.groupBy("b").agg(
         F.max(F.struct("n", (-F.col("a")).alias("a"))).alias("m")
     ).select((-F.col("m.a")).alias("a"), "b")
-    links = materialize(_verify(first, sets, few=False), "links")
+    links = _verify(first, sets, few=False)
     labels = components(links)
     # then the other stars that still lead from one component to another
-    rest = _labelled(stars.select("a", "b"), labels).where("la <> lb")
-    rest = rest.join(first, ["a", "b"], "left_anti")
-    more = materialize(_verify(rest, sets), "links")
+    rest = _labelled(near.select("a", "b"), labels).where("la <> lb")
+    more = _verify(rest.join(first, ["a", "b"], "left_anti"), sets)
     links = materialize(links.unionByName(more), "links")
     labels = components(links)
     # a signature whose star is in one component has no pair left; of the others, all
@@ -464,8 +479,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         some = own.join(touched, "label", "left_semi").select("rep", "n", "shingles", "label")
         some = materialize(some, "open-sets")
         pairs = _across_pairs(some, bits).join(stars.select("a", "b"), ["a", "b"], "left_anti")
-        across = materialize(_verify(pairs, some), "links")
-        labels = components(links.unionByName(across))
+        labels = components(links.unionByName(_verify(pairs, some)))
     final = named.join(labels, named["rep"] == labels["node"], "left").select(
         "a", F.coalesce("label", "rep").alias("component_id")
     )
