@@ -21,13 +21,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+ARROW_ROWS = 1000  # rows that a task's Python process gets at once
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
+    """Jobs started inside hand Python at most ``most`` rows at once (for wide rows)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)
+
+
+def materialize(df: DataFrame, name: str, rows: int = ARROW_ROWS) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
-    Cuts lineage: a lost executor re-reads the table instead of recomputing it.
+    Cuts lineage: a lost executor re-reads the table instead of recomputing it. Python
+    stages of ``df`` get at most ``rows`` rows at once.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    with arrow_rows(df.sparkSession, rows):
+        df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -76,14 +93,3 @@ def text_blocks(column: pa.Array, most: int) -> Iterator[tuple[int, int, list[st
     for i, j in blocks(sizes, most):
         yield i, j, column.slice(i, j - i).to_pylist()
 
-
-@contextmanager
-def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
-    """Jobs started inside hand Python at most ``most`` rows at once (for wide rows)."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    old = spark.conf.get(name)
-    spark.conf.set(name, str(most))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, old)

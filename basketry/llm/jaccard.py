@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import arrow_rows, materialize, table, text_blocks, text_bytes
+from basketry.llm.common import materialize, table, text_blocks, text_bytes
 from basketry.llm.exchange import PACKED, only_ids, packed, signed, unpacked, without_ids
 from basketry.llm.graph import components
 
@@ -353,8 +353,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, few: bool = True) -> DataFrame:
             )
 
     joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    with arrow_rows(sets.sparkSession, PAIR_ROWS):
-        return materialize(joined.mapInArrow(compare, "a bigint, b bigint"), "links")
+    return materialize(joined.mapInArrow(compare, "a bigint, b bigint"), "links", PAIR_ROWS)
 
 
 def _fitting(pairs: DataFrame, sets: DataFrame) -> DataFrame:
