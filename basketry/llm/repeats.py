@@ -103,7 +103,11 @@ def anchors(raw: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.nd
     live = open_[at]
     at, end = at[live], end[live]
     text = np.searchsorted(first, at, "right") - 1
-    return hash_[place[at]], text, place[at], at, end
+    # anchors are small hashes by choice; spread them evenly over the buckets again
+    name = hash_[place[at]]
+    name = (name ^ (name >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    name = (name ^ (name >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return name ^ (name >> np.uint64(31)), text, place[at], at, end
 
 
 def _pieces(raw: bytes) -> Iterator[tuple[int, bytes]]:
