@@ -534,7 +534,11 @@ SELECT 'customers' AS table_name, count(*) AS rows FROM raw_customers
 UNION ALL SELECT 'orders', count(*) FROM raw_orders
 UNION ALL SELECT 'items', count(*) FROM raw_items
 UNION ALL SELECT 'products', count(*) FROM raw_products
-UNION ALL SELECT 'reviews', count(*) FROM raw_reviews""",
+UNION ALL SELECT 'reviews', count(*) FROM raw_reviews
+UNION ALL SELECT 'payments', count(*) FROM raw_payments
+UNION ALL SELECT 'sellers', count(*) FROM raw_sellers
+UNION ALL SELECT 'geolocation', count(*) FROM raw_geolocation
+UNION ALL SELECT 'translation', count(*) FROM raw_translation""",
 )
 def q_agg_row_count(spark, sf_dir):
     parts = [
