@@ -33,7 +33,11 @@ from basketry.llm.common import blocks, id_remainder, table
 DIM = 1024
 SEED = 20_011
 UNKNOWN = "und"
-LEAST_SCORE = 0.05  # of a document that ``keep_languages`` keeps
+# ``keep_languages`` drops a document whose cosine with every language is under LEAST_SCORE,
+# the level of unrelated vectors (deviation 1 / sqrt(DIM) = 0.031 at every length), but only
+# from LEAST_TRIGRAMS different trigrams on: shorter clean texts can be at that level too
+LEAST_SCORE = 0.05
+LEAST_TRIGRAMS = 60
 # a label set larger than this is no list of languages; prototypes must stay small
 MAX_LABELS = 4096
 _BLOCK_CELLS = 4_000_000
@@ -142,6 +146,16 @@ def _bundle(texts: list[str]) -> np.ndarray:
     return out
 
 
+def _many_trigrams(text: str) -> bool:
+    """Whether the text has at least LEAST_TRIGRAMS different trigrams."""
+    found: set[tuple[int, ...]] = set()
+    for piece in _cut(text):
+        found.update(map(tuple, trigrams([piece])[2].tolist()))
+        if len(found) >= LEAST_TRIGRAMS:
+            return True
+    return False
+
+
 def train(labelled: DataFrame, text: str = "text", label: str = "lang") -> dict[str, np.ndarray]:
     """Prototype of every label: the sum of its texts' bundles."""
     rows = labelled.select(F.col(text).alias("t"), F.col(label).alias("l")).where(
@@ -209,8 +223,9 @@ def keep_languages(
     least: float = LEAST_SCORE,
     text: str = "text",
 ) -> DataFrame:
-    """``docs`` without the documents in no language: no letter, or a cosine under
-    ``least`` with every prototype. Columns are unchanged."""
+    """``docs`` without the documents in no language: no letter, or at least LEAST_TRIGRAMS
+    different trigrams and a cosine under ``least`` with every prototype. Without any
+    prototype nothing speaks against a document with a letter. Columns are unchanged."""
     names = sorted(prototypes)
     matrix = np.stack([prototypes[n] / max(1e-12, float(np.linalg.norm(prototypes[n]))) for n in names]
                       or [np.zeros(DIM)]).T
@@ -218,10 +233,15 @@ def keep_languages(
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             at = b.schema.get_field_index(text)
-            vectors = bundle([t or "" for t in b.column(at).to_pylist()])
+            texts = [t or "" for t in b.column(at).to_pylist()]
+            vectors = bundle(texts)
             size = np.sqrt((vectors * vectors).sum(1))
             cosine = (vectors @ matrix) / np.maximum(size, 1e-12)[:, None]
-            yield b.filter(pa.array((size > 0) & (cosine.max(1) >= least)))
+            stays = size > 0
+            if names:
+                for i in np.flatnonzero(stays & (cosine.max(1) < least)).tolist():
+                    stays[i] = not _many_trigrams(texts[i])
+            yield b.filter(pa.array(stays))
 
     return docs.mapInArrow(keep, docs.schema)
 

@@ -2,7 +2,8 @@
 
 Stages, in order, each applied to what the one before it kept and wrote as Parquet:
 
-1. language ID: documents without letters, or far from every learned language, go;
+1. language ID: documents without letters, or long enough to tell and far from every
+   learned language, go;
 2. near duplicates: one document of each component of the n-gram Jaccard join stays;
 3. decontamination: documents that hold a benchmark item go;
 4. PII: personal data in the texts is replaced by its kind, ``n_chars`` follows;

@@ -59,3 +59,20 @@ def test_nothing_learned_and_empty(spark):
     assert {r.lang_pred for r in got} == {"und"}
     assert langid.predict(T.empty(spark), {}).count() == 0
     assert langid.keep_languages(T.empty(spark), {}).count() == 0
+
+
+def test_short_clean_documents_stay(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    prototypes = langid.train(docs)
+    words = sorted({w for r in docs.collect() for w in (r.text or "").split()} | {"Avec.", "A."})
+    one = [w for w in words if any(c.isalpha() for c in w)]
+    vectors = langid.bundle(one)
+    unit = np.stack([p / np.linalg.norm(p) for p in prototypes.values()])
+    cosine = (vectors @ unit.T).max(1) / np.linalg.norm(vectors, axis=1)
+    assert (cosine < langid.LEAST_SCORE).any()
+    one.append(" ".join(["Hm."] * 500))  # long, but of three trigrams
+    other = "".join(chr(0x4E00 + 7 * i) for i in range(300))  # in no learned language
+    kept = langid.keep_languages(T.plain(spark, [*one, other, "12 !", None]), prototypes)
+    assert sorted(r.text for r in kept.collect()) == sorted(one)
+    kept = langid.keep_languages(T.plain(spark, ["Avec.", other, "12 !"]), {})
+    assert sorted(r.text for r in kept.collect()) == sorted(["Avec.", other])
