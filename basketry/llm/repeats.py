@@ -118,15 +118,15 @@ def _pieces(raw: bytes) -> Iterator[tuple[int, bytes]]:
 
 
 def _batches(texts: list[bytes]) -> Iterator[tuple]:
-    """(bytes, first, size, text number, offset of the part in its text)."""
-    parts = [(i, o, p) for i, t in enumerate(texts) for o, p in _pieces(t)]
+    """(bytes, first, size, text number, offset of the part in its text); texts without a
+    window are left out."""
+    parts = [(i, o, p) for i, t in enumerate(texts) if len(t) >= WINDOW for o, p in _pieces(t)]
     for i, j in blocks([len(p) for _, _, p in parts], BLOCK_BYTES):
         size = np.array([len(p) for _, _, p in parts[i:j]], np.int64)
         raw = np.frombuffer(b"".join(p for _, _, p in parts[i:j]), np.uint8)
         number = np.array([k for k, _, _ in parts[i:j]])
         offset = np.array([o for _, o, _ in parts[i:j]])
-        if len(raw):
-            yield raw, np.cumsum(size) - size, size, number, offset
+        yield raw, np.cumsum(size) - size, size, number, offset
 
 
 def _text_id(digest: bytes) -> int:
@@ -209,7 +209,7 @@ def survey(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         order = shared[np.argsort(owner[shared], kind="stable")]
         cut = np.flatnonzero(np.diff(owner[order], prepend=-1))
         full = (value[order] | np.uint64(bucket << 32)).astype("<u8")
-        ends = [*cut[1:].tolist(), len(order)]
+        ends = [*cut[1:].tolist(), len(order)][: len(cut)]  # none where nothing is shared
         lists = [full[i:j].tobytes() for i, j in zip(cut.tolist(), ends, strict=True)]
         n = len(lists)
         return pa.table({

@@ -111,3 +111,10 @@ def test_null_and_repeated_ids(spark):
     )
     got = sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in R.remove_repeats(docs).collect())
     assert got == [(0, len(s), 0), (1, len(s), 0), (1, len(s) + 4, 0), (2, len(s) + 5, len(s))]
+
+
+@pytest.mark.parametrize("n", [3, 10, 50])
+def test_a_short_text_alone(spark, n):
+    texts = ["", "abcdefghijklmno"[:n] + "y" * (n - 15), None]
+    got = result(R.remove_repeats(T.plain(spark, texts).coalesce(1)))
+    assert got == by_hand(range(3), texts)
