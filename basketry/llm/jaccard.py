@@ -91,7 +91,7 @@ class Shingler:
         owner = np.repeat(np.arange(len(n)), n)
         left = n[owner] - (np.arange(len(code)) - start[owner])  # words from here to the end
         value = np.zeros(len(code), np.uint64)
-        for j in range(WORDS):
+        for j in range(min(WORDS, len(code))):
             value[: len(code) - j] = value[: len(code) - j] * _STEP + _mix(code[j:] + np.uint64(j))
         whole = left >= WORDS
         # a short text is one shingle of all its words

@@ -2,6 +2,7 @@ import random
 
 import llm_tables as T
 import numpy as np
+import pytest
 
 from basketry.llm import jaccard as J
 from basketry.llm.graph import components
@@ -105,3 +106,15 @@ def test_null_id_has_no_component(spark):
     )
     got = J.near_duplicates(docs).collect()
     assert sorted((r.doc_id or 0, r.component_id or 0) for r in got) == [(0, 0), (0, 0), (4, 4)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4])
+def test_a_short_text_alone(spark, n):
+    text = " ".join("abcde"[:n])
+    for texts in ([text], ["", text, None]):
+        ids = list(range(len(texts)))
+        df = T.plain(spark, texts).coalesce(1)
+        got = J.near_duplicates(df).collect()
+        assert {r.doc_id: r.component_id for r in got} == T.near_components(ids, texts)
+        assert {r.doc_id: r.n_shingles for r in got} == {i: len(T.shingles(t)) for i, t in zip(ids, texts)}
+    assert J.keep_one(T.plain(spark, [text]).coalesce(1)).count() == 1
