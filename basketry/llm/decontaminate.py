@@ -47,7 +47,8 @@ def normalise(text: str | None) -> str:
 
 
 def budget(pattern: str) -> int:
-    return 0 if len(pattern) < SHORT else int(ERROR_RATE * len(pattern))
+    """Edits allowed; the border spaces of a short item are no part of its length."""
+    return 0 if len(pattern.strip(" ")) < SHORT else int(ERROR_RATE * len(pattern))
 
 
 def pieces(pattern: str) -> list[tuple[int, str]]:

@@ -75,3 +75,12 @@ def test_awkward_rows(spark):
     nothing = items.limit(0)
     assert dc.drop_contaminated(docs, nothing).count() == docs.count()
     assert dc.drop_contaminated(T.empty(spark), items).count() == 0
+
+
+def test_items_just_under_short_are_exact_whole_words():
+    for item in ("abcd efgh ijkl mno", "abcd efgh ijkl mnop"):  # 18 and 19 characters
+        matcher = dc.Matcher([(1, item)])
+        assert dc.pieces(f" {item} ") == [(0, f" {item} ")]
+        assert matcher.hits(f"so {item}, yes") == [(1, 0)]
+        for other in (f"so x{item} yes", f"so {item}x yes", f"so {item.replace('f', 'z')} yes"):
+            assert matcher.hits(other) == []
