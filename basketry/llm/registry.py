@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from basketry.llm import decontaminate, fingerprint, jaccard, langid, lm, pii, repeats, sharding, spm, warc
+from basketry.llm import decontaminate, fingerprint, jaccard, langid, lm, pii, repeats, sharding, spm
+from basketry.llm import tokencache, warc
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_fingerprint": fingerprint.op8_fingerprint,
     "op9_sentencepiece": spm.op9_sentencepiece,
     "op10_lm_score": lm.op10_lm_score,
+    "op12_token_counts": tokencache.op12_token_counts,
 }
 
 ORACLE: dict[str, str] = {
