@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from basketry.llm import decontaminate, fingerprint, jaccard, langid, lm, pii, repeats, sharding, spm
-from basketry.llm import tokencache, warc
+from basketry.llm import align, decontaminate, fingerprint, jaccard, langid, lm, pii, repeats
+from basketry.llm import sharding, spm, tokencache, warc
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_sentencepiece": spm.op9_sentencepiece,
     "op10_lm_score": lm.op10_lm_score,
     "op12_token_counts": tokencache.op12_token_counts,
+    "op13_alignment": align.op13_alignment,
 }
 
 ORACLE: dict[str, str] = {
