@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from basketry.llm import align, decontaminate, fingerprint, jaccard, langid, lm, pii, repeats
-from basketry.llm import sharding, spm, tokencache, warc
+from basketry.llm import align, collocations, decontaminate, fingerprint, jaccard, langid, lm
+from basketry.llm import pii, repeats, sharding, spm, tokencache, warc
 
 QUERIES = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -16,10 +16,12 @@ QUERIES = {
     "op8_fingerprint": fingerprint.op8_fingerprint,
     "op9_sentencepiece": spm.op9_sentencepiece,
     "op10_lm_score": lm.op10_lm_score,
+    "op11_collocations": collocations.op11_collocations,
     "op12_token_counts": tokencache.op12_token_counts,
     "op13_alignment": align.op13_alignment,
 }
 
 ORACLE: dict[str, str] = {
     "op4_warc_revisits": warc.ORACLE_SQL,
+    "op11_collocations": collocations.ORACLE_SQL,
 }
