@@ -5,8 +5,11 @@ Python code of this subpackage runs inside Spark tasks (Arrow batches, numpy).
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import sys
+import types
+from collections.abc import Callable, Hashable, Iterator, Sequence
 from contextlib import contextmanager
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -93,3 +96,13 @@ def text_blocks(column: pa.Array, most: int) -> Iterator[tuple[int, int, list[st
     for i, j in blocks(sizes, most):
         yield i, j, column.slice(i, j - i).to_pylist()
 
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, made once in a Python worker and used by its later tasks. The
+    functions of this package are sent by value and have no globals of their own to keep
+    it in; a worker keeps one object only."""
+    store = sys.modules.setdefault("basketry_kept", types.ModuleType("basketry_kept")).__dict__
+    if store.get("key") != key:
+        store["value"] = None
+        store["key"], store["value"] = key, make()
+    return store["value"]

@@ -16,9 +16,9 @@ must be on shared storage, with one writer at a time: a lost executor or a repea
 leaves it right (Spark's committer), two writers at once could store a digest twice.
 
 Defined results: null text = empty text = 0 tokens. Repeated rows are answered each, null
-ids too. Other columns are not read. Texts over PART_CHARS are encoded in parts cut at
-spaces; a longer unit without any space is encoded whole. An empty table gives no rows and
-stores nothing.
+ids too. Other columns are not read. A text is counted unit by unit between its spaces (no
+token reaches over one), and a worker encodes a unit once; a very long unit is encoded
+whole. An empty table gives no rows and stores nothing.
 """
 
 from __future__ import annotations
@@ -27,66 +27,75 @@ import hashlib
 import os
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import ARROW_ROWS, arrow_rows, table, text_blocks
+from basketry.llm.common import ARROW_ROWS, arrow_rows, blocks, kept, table, text_blocks
 from basketry.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
 LIMIT = 2048
-PART_CHARS = 200_000  # characters that the library encodes at once
+BLOCK_BYTES = 1_000_000  # texts that are split at once
+BATCH_CHARS = 200_000  # characters that the library encodes at once
+REMEMBERED = 300_000  # units whose counts a worker keeps
+FORGET_CHARS = 8_000_000
 STORED = "digest binary, n_tokens bigint"
 _SPACE = r"[\t\n\x0B\f\r][ \t\n\x0B\f\r]*| [ \t\n\x0B\f\r]+"
 
 
-def spaces_and_case(text: Column) -> Column:
-    """Normal form for tokenizers that drop white space and case.
+def spaces_and_case(rows: DataFrame) -> DataFrame:
+    """``content`` in normal form, for tokenizers that drop white space and case.
 
     Runs of ASCII white space become one space. ASCII letters are lower-cased in texts
     that are all ASCII and hold no opening of a special string: beside other characters,
     lower case may compose where upper case does not.
     """
-    spaced = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), _SPACE, " "))
-    plain = (F.octet_length(spaced) == F.char_length(spaced)) & ~F.contains(spaced, F.lit("<|"))
-    return F.when(plain, F.lower(spaced)).otherwise(spaced)
-
-
-def parts(text: str, most: int) -> Iterator[str]:
-    """The text cut at spaces, the spaces between parts left out."""
-    at = 0
-    while len(text) - at > most:
-        cut = text.rfind(" ", at + 1, at + most)
-        if cut < 0:
-            cut = text.find(" ", at + most)
-        if cut < 0:
-            break
-        yield text[at:cut]
-        at = cut + 1
-    yield text[at:]
-
-
-def _encode(misses: DataFrame, tokenizer_json: str) -> DataFrame:
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    rows = rows.withColumn("content", F.trim(F.regexp_replace("content", _SPACE, " ")))
+    ascii_only = F.octet_length("content") == F.char_length("content")
+    plain = ascii_only & ~F.contains("content", F.lit("<|"))
+    return rows.withColumn("content", F.when(plain, F.lower("content")).otherwise(F.col("content")))
+
+
+class Counter:
+    """Token counts of texts, each distinct unit between spaces encoded once."""
+
+    def __init__(self, tokenizer_json: str, by_word: bool):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(tokenizer_json)
-        tokenizer.no_truncation()
-        tokenizer.no_padding()
+        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.by_word = by_word
+        self.known: dict[str, int] = {}
+
+    def _lengths(self, some: list[str]) -> Iterator[int]:
+        for i, j in blocks([len(t) for t in some], BATCH_CHARS):
+            yield from map(len, self.tokenizer.encode_batch_fast(some[i:j], add_special_tokens=False))
+
+    def counts(self, texts: list[str]) -> list[int]:
+        if not self.by_word:
+            return list(self._lengths(texts))
+        if len(self.known) > REMEMBERED:
+            self.known = {}
+        split = [t.split(" ") for t in texts]
+        new = list(set().union(*split).difference(self.known))
+        self.known.update(zip(new, self._lengths(new), strict=True))
+        out = [sum(map(self.known.__getitem__, words)) for words in split]
+        if sum(map(len, new)) > FORGET_CHARS:
+            self.known = {}
+        return out
+
+
+def _encode(misses: DataFrame, tokenizer_json: str, by_word: bool) -> DataFrame:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        counter = kept(("counter", tokenizer_json, by_word), lambda: Counter(tokenizer_json, by_word))
         for b in batches:
-            for i, j, texts in text_blocks(b.column("content"), PART_CHARS):
-                total = np.zeros(j - i, np.int64)
-                for at, t in enumerate(texts):
-                    some = list(parts(t, PART_CHARS))
-                    for k in range(0, len(some), 16):
-                        total[at] += sum(
-                            map(len, tokenizer.encode_batch_fast(some[k : k + 16], add_special_tokens=False))
-                        )
+            for i, j, texts in text_blocks(b.column("content"), BLOCK_BYTES):
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("digest").slice(i, j - i), pa.array(total)], ["digest", "n_tokens"]
+                    [b.column("digest").slice(i, j - i), pa.array(counter.counts(texts), pa.int64())],
+                    ["digest", "n_tokens"],
                 )
 
     return misses.select("digest", "content").mapInArrow(count, STORED)
@@ -110,31 +119,30 @@ def count_tokens(
     tokenizer_json: str,
     cache: str,
     limit: int = LIMIT,
-    normal: Callable[[Column], Column] = spaces_and_case,
+    normal: Callable[[DataFrame], DataFrame] = spaces_and_case,
+    by_word: bool = True,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit (n_tokens > ``limit``) of every row; the
     misses are encoded and stored when this is called. ``normal`` may only join texts that
-    the tokenizer gives equally many tokens."""
+    the tokenizer gives equally many tokens; ``by_word`` is for tokenizers whose tokens never
+    reach over a space (others get whole texts)."""
     spark = docs.sparkSession
-    digest = F.unhex(F.sha2("content", 256)).alias("digest")
-    content = normal(F.col(text)).alias("content")
-    distinct = (
-        docs.select(content).select(digest, "content")
-        .groupBy("digest").agg(F.first("content").alias("content"))
+    rows = docs.select(
+        F.col(doc_id).alias("doc_id"),
+        F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long").alias("n_bytes"),
+        F.coalesce(F.col(text), F.lit("")).alias("content"),
     )
+    rows = normal(rows).withColumn("digest", F.unhex(F.sha2("content", 256)))
+    distinct = rows.groupBy("digest").agg(F.first("content").alias("content"))
     known = stored_counts(spark, cache, tokenizer_json)
     misses = distinct.join(known, "digest", "left_anti")
     with arrow_rows(spark, ARROW_ROWS):
-        _encode(misses, tokenizer_json).write.mode("append").parquet(_folder(cache, tokenizer_json))
-    rows = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long").alias("n_bytes"),
-        content,
-    ).select("doc_id", "n_bytes", digest)
+        fresh = _encode(misses, tokenizer_json, by_word)
+        fresh.write.mode("append").parquet(_folder(cache, tokenizer_json))
     counts = stored_counts(spark, cache, tokenizer_json)
-    return rows.join(counts, "digest").select(
+    return rows.drop("content").join(counts, "digest").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )
 

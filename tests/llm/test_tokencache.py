@@ -77,20 +77,22 @@ def test_empty_table_and_null_ids(spark, tokenizer_json, tmp_path):
     assert [tuple(r) for r in got.collect()] == [(None, 3, 2, False)] * 2
 
 
-def test_long_texts_are_cut_at_spaces(library, monkeypatch):
-    text = "some words, with 12 marks! and it's <|endoftext|> é " * 50
-    some = list(tc.parts(text, 37))
-    assert max(map(len, some)) <= 37 and " ".join(some) == text
-    assert sum(plain(library, p) for p in some) == plain(library, text)
-    assert list(tc.parts("x" * 100 + " y", 10)) == ["x" * 100, "y"]
+def test_units_are_counted_once_and_forgotten(tokenizer_json, library, monkeypatch):
+    monkeypatch.setattr(tc, "BATCH_CHARS", 10)
+    monkeypatch.setattr(tc, "REMEMBERED", 3)
+    counter = tc.Counter(tokenizer_json, True)
+    texts = ["some words, with 12 marks! and it's <|endoftext|> é", "x" * 300, "", *ODD] * 2
+    for _ in range(2):
+        assert counter.counts(texts) == [plain(library, t) for t in texts]
+    assert tc.Counter(tokenizer_json, False).counts(texts) == [plain(library, t) for t in texts]
 
 
 @settings(max_examples=25, deadline=None)
 @given(st.lists(st.text(alphabet="aA bB\t\n'sS<|>1é́̈İ", max_size=20), min_size=1, max_size=30))
 def test_normal_form_keeps_the_count(spark, library, texts):
-    rows = T.plain(spark, texts).select("text", tc.spaces_and_case(F.col("text")).alias("n")).collect()
+    rows = tc.spaces_and_case(T.plain(spark, texts).withColumn("content", F.col("text"))).collect()
     for r in rows:
-        assert plain(library, r.text) == plain(library, r.n)
+        assert plain(library, r.text) == plain(library, r.content)
 
 
 def test_query_against_the_library(spark, library):
