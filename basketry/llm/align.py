@@ -7,9 +7,10 @@ end cut the tokens into groups; the two tokens that end there are linked.
 Inside a task everything is Arrow arrays of a block of texts: the id lists are flattened
 with their parents' indices, a cumulative sum of token byte lengths per segment gives every
 token's end in its part, an Acero hash join on (part, end) finds the common ends, and
-``Table.group_by`` counts the linked id pairs per document. A text is encoded in parts cut
-at a space between two word characters: there both vocabularies start a new token, so the
-cut is a common end and parts align on their own.
+``Table.group_by`` counts the linked id pairs per document. At a single space between two
+other characters both vocabularies start a new token (A's words begin with a space, no
+piece of B holds one inside), so a text is the chain of its units between such cuts: a
+worker encodes a unit once and keeps its ids, and a very long text is aligned in parts.
 
 Plan, linear in the corpus:
 
@@ -24,7 +25,7 @@ Plan, linear in the corpus:
 Defined results: texts that are null or empty, or whose tokens do not spell the space and
 the text, have zeros and the empty string. Repeated rows and null ids are answered each,
 and count each. Other columns are not read. An empty table gives no rows. A unit without a
-cut is encoded whole.
+cut inside is encoded whole.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,15 +43,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import materialize, table, text_blocks
+from basketry.llm.common import blocks, kept, materialize, table, text_blocks
 from basketry.llm.tokencache import read_tokenizer
 
 TOKENIZER_A = "byte_bpe_50k.json"
 MODEL_B = "piece_bpe_32k.model"
-BLOCK_BYTES = 300_000  # text that is aligned at once
-PART_CHARS = 50_000
+BLOCK_BYTES = 1_000_000  # texts that are split at once
+BLOCK_UNITS = 200_000  # units that are aligned at once
+BATCH_CHARS = 200_000  # characters that a library encodes at once
+REMEMBERED = 300_000  # units that a worker keeps
+REMEMBERED_CHARS = 8_000_000
 CHUNK_PAIRS = 2_000_000
-CUT = re.compile(r"(?<=\w) (?=\w)")
+CUT = re.compile(r"(?<=\S) (?=\S)")
 
 CHUNK = (
     "chunk bigint, pairs binary, n binary, rows binary, number binary, times binary, "
@@ -119,22 +124,46 @@ class Pieces(Side):
         return self.pieces.encode(some, num_threads=1)
 
 
-def parts(text: str, most: int = PART_CHARS) -> list[str]:
-    """The text cut at spaces between word characters; each part stands for a space and
-    itself, as the whole text does."""
-    out, at = [], 0
-    while len(text) - at > most:
-        cut = CUT.search(text, at + most)
-        if cut is None:
-            break
-        out.append(text[at : cut.start()])
-        at = cut.end()
-    return [*out, text[at:]]
-
-
-def token_ends(ids: list[list[int]], side: Side) -> pa.Table:
+class Units:
+    """Token ids of units, each encoded once: a unit is what lies between two cuts and
+    stands for a space and itself, as the whole text does."""
+
+    def __init__(self, a: Side, b: Side):
+        self.sides = (a, b)
+        self.known: dict[str, int] = {}
+        self.chars = 0
+        self.ids = [np.zeros(0, np.int32)] * 2
+        self.offsets = [np.zeros(1, np.int64)] * 2
+
+    def numbers(self, some: list[str]) -> np.ndarray:
+        """Numbers of units; new ones are encoded."""
+        if len(self.known) > REMEMBERED or self.chars > REMEMBERED_CHARS:
+            self.__init__(*self.sides)
+        new = list(set(some).difference(self.known))
+        found: tuple[list, list] = ([], [])
+        for i, j in blocks([len(u) for u in new], BATCH_CHARS):
+            for side, out in zip(self.sides, found, strict=True):
+                out += side.encode(new[i:j])
+        for k, out in enumerate(found):
+            sizes = np.fromiter(map(len, out), np.int64, len(out))
+            flat = np.fromiter(chain.from_iterable(out), np.int32, int(sizes.sum()))
+            self.ids[k] = np.concatenate([self.ids[k], flat])
+            self.offsets[k] = np.concatenate([self.offsets[k], self.offsets[k][-1] + np.cumsum(sizes)])
+        first = len(self.known)
+        self.known.update(zip(new, range(first, first + len(new)), strict=True))
+        self.chars += sum(map(len, new))
+        return np.fromiter(map(self.known.__getitem__, some), np.int64, len(some))
+
+    def tokens(self, units: np.ndarray, cut: np.ndarray, k: int) -> pa.ListArray:
+        """Token ids of vocabulary ``k``, a list per part; ``cut`` bounds the parts' units."""
+        first, size = self.offsets[k][units], np.diff(self.offsets[k])[units]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        at = np.arange(ends[-1]) + np.repeat(first - ends[:-1], size)
+        return pa.ListArray.from_arrays(pa.array(ends[cut], pa.int32()), pa.array(self.ids[k][at]))
+
+
+def token_ends(lists: pa.ListArray, side: Side) -> pa.Table:
     """(part, end, id) of all tokens: end counts the part's bytes up to the token's last."""
-    lists = pa.array(ids, pa.list_(pa.int32()))
     flat = pc.list_flatten(lists)
     part = pc.list_parent_indices(lists)
     running = pc.cumulative_sum(side.length.take(flat))
@@ -168,16 +197,20 @@ def _data(column: pa.Array) -> bytes:
 class Aligner:
     def __init__(self, tokenizer_json: str, model: bytes):
         self.a, self.b = ByteLevel(tokenizer_json), Pieces(model)
+        self.units = Units(self.a, self.b)
         self.ids = max(len(self.a.bytes), len(self.b.bytes))
         self.shown = pa.array(
             [f"{i}{mark}".encode() for mark in ",|;" for i in range(self.ids)], pa.binary()
         )
 
-    def align(self, some: list[str]) -> tuple[np.ndarray, dict[str, np.ndarray], pa.Table, list[bytes]]:
-        """Of each part: whether both vocabularies spell it, its numbers of A and B tokens
-        and of groups, and its groups as text; and all links as (part, id_a, id_b)."""
-        want = [b" " + t.encode() for t in some]
-        a, b = (token_ends(s.encode(some), s) for s in (self.a, self.b))
+    def align(self, some: list[list[str]]) -> tuple[np.ndarray, dict[str, np.ndarray], pa.Table, list[bytes]]:
+        """Of each part (its units): whether both vocabularies spell it, its numbers of A
+        and B tokens and of groups, and its groups as text; and all links as (part, id_a,
+        id_b)."""
+        units = self.units.numbers(list(chain.from_iterable(some)))
+        cut = np.concatenate([[0], np.cumsum([len(u) for u in some])])
+        want = [(" " + " ".join(u)).encode() for u in some]
+        a, b = (token_ends(self.units.tokens(units, cut, k), s) for k, s in enumerate((self.a, self.b)))
         good = spells(a, self.a, want) & spells(b, self.b, want)
         if not good.all():
             a, b = (t.filter(pa.array(good).take(t["part"])) for t in (a, b))
@@ -266,8 +299,8 @@ def chunks(docs: DataFrame, tokenizer_json: str, model: bytes, doc_id: str, text
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        aligner = Aligner(tokenizer_json, model)
-        part, seq, chunk, id_type = TaskContext.get().partitionId(), 0, _Chunk(), None
+        aligner = kept(("aligner", tokenizer_json, model), lambda: Aligner(tokenizer_json, model))
+        task, seq, chunk, id_type = TaskContext.get().partitionId(), 0, _Chunk(), None
         for batch in batches:
             id_type = batch.column("i").type
             for i, j, texts in text_blocks(batch.column("t"), BLOCK_BYTES):
@@ -277,30 +310,21 @@ def chunks(docs: DataFrame, tokenizer_json: str, model: bytes, doc_id: str, text
                 chunk.bad += [False] * (j - i)
                 for v in chunk.of.values():
                     v += [0] * (j - i)
-                some = [(first + k, p) for k, t in enumerate(texts) if t for p in parts(t)]
-                while some:
-                    _gather(chunk, aligner, some[: _within(some)])
-                    some = some[_within(some) :]
+                some = [(first + k, CUT.split(t)) for k, t in enumerate(texts) if t]
+                for x, y in blocks([len(u) for _, u in some], BLOCK_UNITS):
+                    for part in range(0, max(len(u) for _, u in some[x:y]), BLOCK_UNITS):
+                        these = [(d, u[part : part + BLOCK_UNITS]) for d, u in some[x:y] if part < len(u)]
+                        _gather(chunk, aligner, these)
                 if chunk.size >= CHUNK_PAIRS:
-                    yield chunk.row((part << 32) + seq, id_type)
+                    yield chunk.row((task << 32) + seq, id_type)
                     seq, chunk = seq + 1, _Chunk()
         if chunk.ids:
-            yield chunk.row((part << 32) + seq, id_type)
+            yield chunk.row((task << 32) + seq, id_type)
 
     return rows.mapInArrow(pack, schema)
 
 
-def _within(some: list[tuple[int, str]]) -> int:
-    """How many leading parts stay within a block (at least one)."""
-    total = 0
-    for k, (_, p) in enumerate(some):
-        total += len(p)
-        if total > BLOCK_BYTES and k:
-            return k
-    return len(some)
-
-
-def _gather(chunk: _Chunk, aligner: Aligner, some: list[tuple[int, str]]) -> None:
+def _gather(chunk: _Chunk, aligner: Aligner, some: list[tuple[int, list[str]]]) -> None:
     """Adds aligned parts to their documents."""
     good, of, linked, groups = aligner.align([p for _, p in some])
     for k, (doc, _) in enumerate(some):
