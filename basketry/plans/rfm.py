@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.operators.ntile import Key, ntile_labels, ntile_window
-from basketry.session import checkpoint_root
+from basketry.session import stored
 
 # Default reference date for recency, score count, segment labels.
 REFERENCE_DATE = "2018-10-01"
@@ -40,25 +40,23 @@ SCORE_KEYS = {
 def scores(base: DataFrame, method: str = "range", materialized: bool = False) -> DataFrame:
     """R (recency descending: oldest = 1), F (order count), M (value), each 1..4.
 
-    One plan at every size: per score the key columns alone are ranked, and the wide rows
-    are labelled by comparing them with the three boundary rows, without a shuffle.
-    Unless ``materialized`` (a table that was just read), ``base`` is checkpointed first,
-    since it is read once per score and once for the labels. ``method="window"`` is the
+    One plan at every size: the boundary rows of all three scores are selected together
+    on the key columns, and the wide rows are labelled by comparing them with those nine
+    rows, without a shuffle. Unless ``materialized`` (a table that was just read), ``base``
+    is written as a table first, since it is read a few times. ``method="window"`` is the
     plain one-task form that tests compare with.
     """
     ties = [Key(c) for c in TIEBREAK]
+    orders = {out: [key, *ties] for out, key in SCORE_KEYS.items()}
     if method == "window":
-        for out, key in SCORE_KEYS.items():
-            base = ntile_window(base, BUCKETS, [x.order() for x in (key, *ties)], out)
+        for out, keys in orders.items():
+            base = ntile_window(base, BUCKETS, [x.order() for x in keys], out)
         return base
     if method != "range":
         raise ValueError(f"unknown scoring method {method!r}")
     if not materialized:
-        checkpoint_root(base.sparkSession)
-        base = base.checkpoint(eager=True)
-    for out, key in SCORE_KEYS.items():
-        base = ntile_labels(base, BUCKETS, [key, *ties], out)
-    return base
+        base = stored(base, "rfm-base")
+    return ntile_labels(base, BUCKETS, orders)
 
 
 # Fixed rule: the thresholds and their order decide the segment.

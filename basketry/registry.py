@@ -19,14 +19,14 @@ from basketry.functions.casts import to_double, to_int_score, to_timestamp
 from basketry.functions.money import money, money_out
 from basketry.functions.text import fold_accents, normalize_city
 from basketry.operators import profile as prof
-from basketry.operators.ntile import ntile_range
+from basketry.operators.ntile import Key, ntile_labels
 from basketry.operators.quality import Gates, enforce, gate_report
 from basketry.operators.topk import first_n, top_k
 from basketry.oracle import with_ctes
 from basketry.plans import clean, marts, rfm
 from basketry.plans.clean import CLEANERS
 from basketry.plans.pipeline import run_pipeline
-from basketry.session import scratch_path
+from basketry.session import scratch_path, stored
 from basketry.sinks.versioned import SchemaMismatchError, VersionedTable
 from basketry.sources import csv as csvsrc
 from basketry.sources import lookup
@@ -569,8 +569,8 @@ FROM rfm_base""",
 )
 def q_win_ntile_desc(spark, sf_dir):
     base = rfm.recency(c360(spark, sf_dir)).select(*GRAIN_TIES, "recency_days")
-    order = [F.col("recency_days").desc_nulls_last()] + [F.col(c).asc_nulls_first() for c in GRAIN_TIES]
-    return ntile_range(base, 4, order, "R_Score")
+    keys = [Key("recency_days", descending=True), *map(Key, GRAIN_TIES)]
+    return ntile_labels(stored(base, "ntile-desc"), 4, {"R_Score": keys})
 
 
 @query(
@@ -583,9 +583,9 @@ FROM c360""",
 )
 def q_win_ntile_asc(spark, sf_dir):
     base = c360(spark, sf_dir).select(*GRAIN_TIES, "total_orders", "total_lifetime_value")
-    ties = [F.col(c).asc_nulls_first() for c in GRAIN_TIES]
-    out = ntile_range(base, 4, [F.col("total_orders").asc_nulls_first()] + ties, "F_Score")
-    return ntile_range(out, 4, [F.col("total_lifetime_value").asc_nulls_first()] + ties, "M_Score")
+    ties = list(map(Key, GRAIN_TIES))
+    orders = {"F_Score": [Key("total_orders"), *ties], "M_Score": [Key("total_lifetime_value"), *ties]}
+    return ntile_labels(stored(base, "ntile-asc"), 4, orders)
 
 
 # ================================================================ sorts / limits ==

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults for a batch session. Shuffle partitions is a starting point only: AQE
 # coalesces small partitions and splits skewed ones at run time.
@@ -84,3 +84,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         fs.mkdirs(path)
         fs.deleteOnExit(path)
     return f"{app}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as a table of the application's folder and read back: it is computed
+    once, later jobs read only the columns they use, and a lost executor re-reads it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
