@@ -14,7 +14,8 @@ counting is exact and no phrase text is shuffled after the words. The relations
 written as tables of chunks (about CHUNK_CHARS characters); a chunk sends a phrase once
 with its count, so the most frequent phrase is a row per chunk, and one shuffle by phrase
 gives both the count and the chunks that hold it (a window per phrase). Frequent names go
-back to the chunks by a co-group on the chunk number.
+back to the chunks by a co-group on the chunk number, which writes the next relation: one
+table a round.
 
 What follows works on frequent phrases only: prefixes and suffixes, with their counts, come
 by joins on names, the score is exact in DECIMAL(38, 0) and integer division, a candidate
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.common import materialize, table, text_blocks
 
-CHUNK_CHARS = 8_000_000
+CHUNK_CHARS = 6_000_000
 SLICE_CHARS = 1_000_000
 BLOCK_BYTES = 1_000_000
 LONGEST = 5
@@ -58,7 +59,11 @@ _FOLD = bytes(
 RELATION = "chunk bigint, place binary, item binary"
 WORDS = RELATION + ", words binary, sizes binary, langs array<string>, " \
     "totals array<bigint>, lang_of binary, n binary"
-PHRASES = RELATION + ", left binary, right binary, n binary"
+KEYS = "lang string, word binary, left bigint, right bigint"  # of a word; of a longer phrase
+FOUND = f"name bigint, a bigint, {KEYS}"
+PHRASES = RELATION + ", left binary, right binary, n binary, found array<struct<{}>>".format(
+    ", ".join(":".join(x.split()) for x in FOUND.split(", "))
+)
 
 
 def slices(text: str, most: int) -> Iterator[str]:
@@ -204,22 +209,27 @@ def _phrase_rows(relation: DataFrame) -> DataFrame:
 
 
 def frequent(rows: DataFrame, key: list[str], least: int) -> DataFrame:
-    """(chunk, at, key, name, a) of the chunks' phrases with at least ``least`` occurrences in
-    all; the name is the smallest (chunk, at) that holds the phrase."""
+    """The chunks' phrases with at least ``least`` occurrences in all: where they are, their
+    name, count and key; the name is the smallest (chunk, at) that holds the phrase."""
     same = Window.partitionBy(*key)
     place = F.shiftleft(F.col("chunk"), _AT_BITS).bitwiseOR(F.col("at").cast("long"))
+    keys = [x.split() for x in KEYS.split(", ")]
     return (
         rows.withColumn("a", F.sum("n").over(same))
         .withColumn("name", F.min(place).over(same))
         .where(F.col("a") >= least)
-        .withColumn("first", F.col("name") == place)
-        .drop("n")
+        .select(
+            "chunk", "at", (F.col("name") == place).alias("first"), "name", "a",
+            *[F.col(c) if c in key else F.lit(None).cast(kind).alias(c) for c, kind in keys],
+        )
     )
 
 
 def extend(relation: DataFrame, names: DataFrame) -> DataFrame:
     """Semi-joins a relation with the frequent names of its chunk and merge-joins it with
-    itself at adjacent places."""
+    itself at adjacent places. ``found`` lists the frequent phrases that are named after
+    this chunk, so that over all chunks each is listed once."""
+    columns = [x.split()[0] for x in FOUND.split(", ")]
 
     def step(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
@@ -242,18 +252,20 @@ def extend(relation: DataFrame, names: DataFrame) -> DataFrame:
                 "right": name[last].astype("<i8").tobytes(),
                 "n": n.astype("<i8").tobytes(),
             }
+            named = right.filter(right["first"]).select(columns).combine_chunks()
+            named = pa.StructArray.from_arrays(
+                [named[c].combine_chunks() for c in columns], fields=list(named.schema)
+            )
             out.append(pa.table(
                 {"chunk": pa.array([r["chunk"]], pa.int64())}
                 | {k: pa.array([v], pa.binary()) for k, v in values.items()}
+                | {"found": pa.ListArray.from_arrays(pa.array([0, len(named)], pa.int32()), named)}
             ))
-        return pa.concat_tables(out) if out else pa.table(
-            {"chunk": pa.array([], pa.int64())}
-            | {k: pa.array([], pa.binary()) for k in ("place", "item", "left", "right", "n")}
-        )
+        return pa.concat_tables(out)
 
     return (
         relation.select("chunk", "place", "item").groupBy("chunk")
-        .cogroup(names.select("chunk", "at", "name").groupBy("chunk"))
+        .cogroup(names.groupBy("chunk"))
         .applyInArrow(step, PHRASES)
     )
 
@@ -275,23 +287,28 @@ def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text: str
         words.select(F.inline(F.arrays_zip("langs", "totals"))).groupBy(F.col("langs").alias("lang"))
         .agg(F.sum("totals").alias("n"))
     )
-    found = materialize(frequent(rows, ["lang", "word"], least), "phrases-frequent")
-    none = F.array().cast("array<bigint>")
-    word = F.col("word").cast("string")
-    levels = [
-        found.where("first").select(
-            "name", "lang", word.alias("phrase"), word.alias("last"), "a", none.alias("heads"),
-            none.alias("tails"), F.lit(None).cast("long").alias("left"), F.lit(None).cast("long").alias("right"),
-        )
-    ]
-    relation = words
-    for _ in range(longest - 1):
-        relation = materialize(extend(relation, found), "phrases-relation")
-        found = materialize(frequent(_phrase_rows(relation), ["left", "right"], least), "phrases-frequent")
-        levels.append(materialize(_described(found.where("first"), levels[-1]), "phrases-level"))
+    found = frequent(rows, ["lang", "word"], least)
+    relation, levels = words, []
+    for k in range(1, longest + 1):
+        if k < longest:
+            relation = materialize(extend(relation, found), "phrases-relation")
+            named = relation.select(F.inline("found"))
+            found = frequent(_phrase_rows(relation), ["left", "right"], least)
+        else:
+            named = found.where("first")
+        level = _words(named) if k == 1 else _described(named, levels[-1])
+        levels.append(materialize(level, "phrases-level"))
     return levels, totals
 
 
+def _words(found: DataFrame) -> DataFrame:
+    none, word = F.array().cast("array<bigint>"), F.col("word").cast("string")
+    return found.select(
+        "name", "lang", word.alias("phrase"), word.alias("last"), "a", none.alias("heads"),
+        none.alias("tails"), "left", "right",
+    )
+
+
 def _described(found: DataFrame, shorter: DataFrame) -> DataFrame:
     """New frequent phrases with their words and the counts of their parts."""
     head = shorter.select(
