@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import blocks, kept, materialize, table, text_blocks
+from basketry.llm.common import blocks, from_planes, kept, materialize, planes, table, text_blocks
 from basketry.llm.tokencache import read_tokenizer
 
 TOKENIZER_A = "byte_bpe_50k.json"
@@ -243,15 +243,6 @@ class Aligner:
         return [raw[i : max(i, j - 1)] for i, j in zip(cut, cut[1:], strict=False)]
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """32-bit numbers byte plane by byte plane: high planes are nearly all zero."""
-    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-
-
-def _from_planes(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
-
-
 class _Chunk:
     """Documents gathered until they hold CHUNK_PAIRS pairs."""
 
@@ -282,8 +273,8 @@ class _Chunk:
             "pairs": pa.array([distinct["pair"].to_numpy().astype("<i8").tobytes()], pa.binary()),
             "n": pa.array([distinct["times_sum_sum"].to_numpy().astype("<i8").tobytes()], pa.binary()),
             "rows": pa.array([rows.astype("<i8").tobytes()], pa.binary()),
-            "number": pa.array([_planes(step)], pa.binary()),
-            "times": pa.array([_planes(owned["times_sum"].to_numpy())], pa.binary()),
+            "number": pa.array([planes(step)], pa.binary()),
+            "times": pa.array([planes(owned["times_sum"].to_numpy())], pa.binary()),
             "doc_ids": pa.array([self.ids], pa.list_(id_type)),
         }
         for k, v in self.of.items():
@@ -396,9 +387,9 @@ def align(
         c[at], best[at] = right["c"].to_numpy(), right["best"].to_numpy(zero_copy_only=False)
         out = []
         for r in left.to_pylist():  # one row
-            rows, times = np.frombuffer(r["rows"], "<i8"), _from_planes(r["times"])
+            rows, times = np.frombuffer(r["rows"], "<i8"), fromplanes(r["times"])
             cut = np.concatenate([[0], np.cumsum(rows)])
-            run = np.cumsum(_from_planes(r["number"]))
+            run = np.cumsum(fromplanes(r["number"]))
             base = np.concatenate([[0], run])[cut[:-1]]
             number = run - np.repeat(base, rows)
 

@@ -39,9 +39,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import materialize, table, text_blocks
+from basketry.llm.common import from_planes, materialize, planes, table, text_blocks
 
-CHUNK_CHARS = 6_000_000
+CHUNK_CHARS = 12_000_000
 SLICE_CHARS = 1_000_000
 BLOCK_BYTES = 1_000_000
 LONGEST = 5
@@ -115,7 +115,7 @@ class _Words:
         values = {
             "chunk": [chunk],
             "place": [_steps(place)],
-            "item": [item.astype("<u4").tobytes()],
+            "item": [planes(item)],
             "words": [b"".join(self.names)],
             "sizes": [np.array([len(w) for w in self.names], "<u4").tobytes()],
             "langs": [list(self.langs)],
@@ -234,7 +234,7 @@ def extend(relation: DataFrame, names: DataFrame) -> DataFrame:
     def step(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for r in left.to_pylist():  # one row
-            item = np.frombuffer(r["item"], "<u4")
+            item = from_planes(r["item"])
             place = np.cumsum(np.frombuffer(r["place"], "<u4").astype(np.int64))
             at, name = right["at"].to_numpy(), right["name"].to_numpy()
             rank = np.full(int(item.max(initial=0)) + 1, -1, np.int64)
@@ -247,7 +247,7 @@ def extend(relation: DataFrame, names: DataFrame) -> DataFrame:
             first, last = np.divmod(found, max(1, len(at)))
             values = {
                 "place": _steps(place[start]),
-                "item": item.astype("<u4").tobytes(),
+                "item": planes(item),
                 "left": name[first].astype("<i8").tobytes(),
                 "right": name[last].astype("<i8").tobytes(),
                 "n": n.astype("<i8").tobytes(),
@@ -281,7 +281,7 @@ def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text: str
     Columns: name, lang, phrase, last (word), a, heads and tails (counts of the first and of
     the last 1, 2, ... words), left and right (names of the parts one word shorter).
     """
-    words = materialize(occurrences(docs, text, lang), "phrases-words")
+    words = materialize(occurrences(docs, text, lang), "phrases-words", tidy=True)
     rows = _word_rows(words)
     totals = (
         words.select(F.inline(F.arrays_zip("langs", "totals"))).groupBy(F.col("langs").alias("lang"))
@@ -291,13 +291,13 @@ def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text: str
     relation, levels = words, []
     for k in range(1, longest + 1):
         if k < longest:
-            relation = materialize(extend(relation, found), "phrases-relation")
+            relation = materialize(extend(relation, found), "phrases-relation", tidy=True)
             named = relation.select(F.inline("found"))
             found = frequent(_phrase_rows(relation), ["left", "right"], least)
         else:
             named = found.where("first")
         level = _words(named) if k == 1 else _described(named, levels[-1])
-        levels.append(materialize(level, "phrases-level"))
+        levels.append(materialize(level, "phrases-level", tidy=True))
     return levels, totals
 
 

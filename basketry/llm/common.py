@@ -11,6 +11,7 @@ from collections.abc import Callable, Hashable, Iterator, Sequence
 from contextlib import contextmanager
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,27 +29,36 @@ ARROW_ROWS = 1000  # rows that a task's Python process gets at once
 
 
 @contextmanager
-def arrow_rows(spark: SparkSession, most: int) -> Iterator[None]:
-    """Jobs started inside hand Python at most ``most`` rows at once (for wide rows)."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     old = spark.conf.get(name)
-    spark.conf.set(name, str(most))
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, old)
 
 
-def materialize(df: DataFrame, name: str, rows: int = ARROW_ROWS) -> DataFrame:
+def arrow_rows(spark: SparkSession, most: int):
+    """Jobs started inside hand Python at most ``most`` rows at once (for wide rows)."""
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(most))
+
+
+def materialize(df: DataFrame, name: str, rows: int = ARROW_ROWS, tidy: bool = False) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
     Cuts lineage: a lost executor re-reads the table instead of recomputing it. Python
-    stages of ``df`` get at most ``rows`` rows at once.
+    stages of ``df`` get at most ``rows`` rows at once. ``tidy`` lets Spark delete the
+    job's shuffle files as soon as the table is written.
     """
-    path = scratch_path(df.sparkSession, name)
-    with arrow_rows(df.sparkSession, rows):
-        df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    with arrow_rows(spark, rows):
+        if tidy:
+            with setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+                df.select("*").write.option("compression", "zstd").parquet(path)
+        else:
+            df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def id_remainder(column: str, modulus: int) -> Column:
@@ -106,3 +116,13 @@ def kept(key: Hashable, make: Callable[[], Any]) -> Any:
         store["value"] = None
         store["key"], store["value"] = key, make()
     return store["value"]
+
+
+def planes(x: np.ndarray) -> bytes:
+    """32-bit numbers byte plane by byte plane: the high planes of small numbers are nearly
+    all zero and compress away."""
+    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
