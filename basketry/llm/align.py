@@ -387,9 +387,9 @@ def align(
         c[at], best[at] = right["c"].to_numpy(), right["best"].to_numpy(zero_copy_only=False)
         out = []
         for r in left.to_pylist():  # one row
-            rows, times = np.frombuffer(r["rows"], "<i8"), fromplanes(r["times"])
+            rows, times = np.frombuffer(r["rows"], "<i8"), from_planes(r["times"])
             cut = np.concatenate([[0], np.cumsum(rows)])
-            run = np.cumsum(fromplanes(r["number"]))
+            run = np.cumsum(from_planes(r["number"]))
             base = np.concatenate([[0], run])[cut[:-1]]
             number = run - np.repeat(base, rows)
 
