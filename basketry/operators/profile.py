@@ -1,10 +1,8 @@
 """Table profiling: shape, duplicate rows, NULL share per column.
 
-One shuffle per table: rows are grouped by all columns (map-side combined), and the
-grouped result answers every question at once -- row count (sum of group sizes),
-distinct rows (number of groups), duplicates (the difference) and NULLs per column
-(sum of group sizes where that grouping column is NULL). The reference runs three
-separate jobs and pulls the NULL shares into pandas.
+Rows are grouped by a digest and their NULL pattern (``operators.distinct``), and the
+groups answer every question at once: row count, distinct rows, duplicates and NULLs per
+column. Only rows whose digest repeats are shuffled and compared whole.
 """
 
 from __future__ import annotations
@@ -14,25 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _grouped(df: DataFrame) -> DataFrame:
-    return df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__n"))
-
-
-def profile_counts(df: DataFrame) -> DataFrame:
-    """One row: rows, distinct_rows, and one ``__null_<i>`` count per column."""
-    g = _grouped(df)
-    aggs = [
-        F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("rows"),
-        F.count(F.lit(1)).cast("long").alias("distinct_rows"),
-    ]
-    aggs += [
-        F.coalesce(F.sum(F.when(F.col(f"`{c}`").isNull(), F.col("__n"))), F.lit(0))
-        .cast("long")
-        .alias(f"__null_{i}")
-        for i, c in enumerate(df.columns)
-    ]
-    return g.agg(*aggs)
+from basketry.operators.distinct import row_counts
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -49,15 +29,11 @@ def _dup_pct(dups: F.Column, rows: F.Column) -> F.Column:
 
 def duplicates(df: DataFrame) -> DataFrame:
     """(rows, duplicate_rows, duplicate_pct): rows minus distinct rows; pct to 2 digits."""
-    g = _grouped(df)
-    stats = g.agg(
-        F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("rows"),
-        F.count(F.lit(1)).cast("long").alias("_distinct"),
-    )
+    stats = row_counts(df)
     return stats.select(
         "rows",
-        (F.col("rows") - F.col("_distinct")).alias("duplicate_rows"),
-        _dup_pct(F.col("rows") - F.col("_distinct"), F.col("rows")).alias("duplicate_pct"),
+        (F.col("rows") - F.col("distinct_rows")).alias("duplicate_rows"),
+        _dup_pct(F.col("rows") - F.col("distinct_rows"), F.col("rows")).alias("duplicate_pct"),
     )
 
 
@@ -109,27 +85,57 @@ def null_pct_wide(df: DataFrame) -> DataFrame:
     )
 
 
-def profile(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
-    """(summary, nulls) of one table from a single grouping pass.
-
-    summary: table_name, rows, columns, duplicate_rows, duplicate_pct.
-    nulls: table_name, column_name, position, null_pct (only columns with NULLs).
-    Callers that need both should persist ``profile_counts`` or use ``profile_all``.
-    """
-    counts = profile_counts(df)
-    summary = counts.select(
+def _entries(df: DataFrame, table: str) -> DataFrame:
+    """Summary and NULL rows of one table from a single row of counts."""
+    dups = F.col("rows") - F.col("distinct_rows")
+    summary = F.struct(
         F.lit(table).alias("table_name"),
-        "rows",
+        F.col("rows"),
         F.lit(len(df.columns)).alias("columns"),
-        (F.col("rows") - F.col("distinct_rows")).alias("duplicate_rows"),
-        _dup_pct(F.col("rows") - F.col("distinct_rows"), F.col("rows")).alias("duplicate_pct"),
+        dups.alias("duplicate_rows"),
+        _dup_pct(dups, F.col("rows")).alias("duplicate_pct"),
+        F.lit(None).cast("string").alias("column_name"),
+        F.lit(None).cast("int").alias("position"),
+        F.lit(None).cast("double").alias("null_pct"),
+    )
+    nulls = [
+        F.struct(
+            F.lit(table).alias("table_name"),
+            F.lit(None).cast("long").alias("rows"),
+            F.lit(None).cast("int").alias("columns"),
+            F.lit(None).cast("long").alias("duplicate_rows"),
+            F.lit(None).cast("double").alias("duplicate_pct"),
+            F.lit(c).alias("column_name"),
+            F.lit(i).alias("position"),
+            (F.try_divide(F.col(f"__null_{i}"), F.col("rows")) * 100).alias("null_pct"),
+        )
+        for i, c in enumerate(df.columns)
+    ]
+    out = row_counts(df).select(F.inline(F.array(summary, *nulls)))
+    # keep shares above zero, then round to two digits (as the reference prints them)
+    return out.where(F.col("column_name").isNull() | (F.col("null_pct") > 0)).withColumn(
+        "null_pct", F.round("null_pct", 2)
     )
-    return summary, _null_rows(counts, df.columns, table)
+
+
+def report(tables: dict[str, DataFrame]) -> DataFrame:
+    """Profile of every table: a summary row (table_name, rows, columns, duplicate_rows,
+    duplicate_pct) and a row for each column with NULLs (table_name, column_name, position,
+    null_pct), from one pass of counts per table."""
+    parts = [_entries(df, name) for name, df in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def profile_all(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """Profile every table of a registry; reports are unioned by name."""
-    parts = [profile(df, name) for name, df in tables.items()]
-    summary = reduce(lambda a, b: a.unionByName(b), [p[0] for p in parts])
-    nulls = reduce(lambda a, b: a.unionByName(b), [p[1] for p in parts])
-    return summary, nulls
+    """``report`` as two DataFrames: (summary, nulls)."""
+    both = report(tables)
+    is_null_row = F.col("column_name").isNotNull()
+    return (
+        both.where(~is_null_row).drop("column_name", "position", "null_pct"),
+        both.where(is_null_row).select("table_name", "column_name", "position", "null_pct"),
+    )
+
+
+def profile(df: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """(summary, nulls) of one table."""
+    return profile_all({table: df})
