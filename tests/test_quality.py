@@ -3,6 +3,7 @@
 import pytest
 
 from basketry.operators.quality import DataQualityError, Gates, enforce, gate_report
+from tests.fixtures import plan_text
 
 
 def _failed(spark, rows, schema, gates):
@@ -45,3 +46,19 @@ def test_enforce_raises_with_detail(spark):
     df = spark.createDataFrame([("a",), ("a",)], "k string")
     with pytest.raises(DataQualityError, match="unique: 1 rows"):
         enforce(gate_report(df, Gates(unique=(("k",),)), "customers"))
+
+
+def test_several_unique_rules_do_not_expand_the_rows(spark):
+    rows = [("a", 1, "x"), ("b", 1, None), ("b", 1, "x"), (None, 2, "x"), (None, 3, None)]
+    df = spark.createDataFrame(rows, "k string, n int, v string").repartition(3)
+    gates = Gates(not_null=("k", "v"), unique=(("k",), ("k", "n"), ("n", "v")), any_null=(("k", "v"),), min_rows=7)
+    report = gate_report(df, gates, "t")
+    got = {(r.rule, r.columns): (r.rows, r.failed) for r in report.collect()}
+    assert got == {
+        ("not_null", "k"): (5, 2), ("not_null", "v"): (5, 2), ("any_null", "k,v"): (5, 3), ("min_rows", "7"): (5, 2),
+        ("unique", "k"): (5, 2), ("unique", "k,n"): (5, 1), ("unique", "n,v"): (5, 1),
+    }
+    text = plan_text(report)
+    assert "Expand" not in text
+    empty = gate_report(df.limit(0), gates, "t").collect()
+    assert {(r.rule, r.failed) for r in empty} == {("not_null", 0), ("unique", 0), ("any_null", 0), ("min_rows", 7)}
