@@ -14,10 +14,12 @@ Semantics follow the reference exactly, including its quirks:
 The plans differ from the original jobs in HOW: those join every item row to
 orders, customers, products and reviews (up to four shuffles of item-sized data, and
 the review fan-out materialised), then aggregate. Here items meet their order once
-and are reduced to one row per (order, category) inside that partitioning; reviews
-are reduced to one row per order and the fan-out becomes a multiplier, so only
-order-sized data meets the customer join. Money is summed as
-DECIMAL(18,2) (exact, order-independent) and returned as double.
+and are reduced to one row per (order, category) inside that partitioning
+(``order_lines``); reviews are reduced to one row per order and the fan-out becomes a
+multiplier, so only order-sized data meets the customer join. Customer 360, sales and the
+order fact's item totals are all sums over those lines, so a run that builds all three
+writes them once and shuffles the items once (``plans.pipeline``). Money is summed as
+DECIMAL(28,8) (exact, order-independent), rounded half-up and returned as double.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.money import money, money_out
 from basketry.operators.joins import fanout_left_join
+from basketry.operators.mode import heaviest
 
 GRAIN = ["customer_unique_id", "customer_city"]
 
@@ -40,6 +43,29 @@ def _items_with_category(items: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
+def order_lines(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
+    """A row per (order, category): the order's customer and time, item rows, known
+    products, and the sums of price, freight and of both together.
+
+    Items meet their order once (one exchange by order_id) and are reduced inside that
+    partitioning. An order holding a large share of all items is split by AQE's skew join
+    (spark.sql.adaptive.forceOptimizeSkewedJoin, on in basketry.session): the split tasks
+    pre-aggregate their share and AQE adds the one exchange the aggregation then needs.
+    """
+    lines = _items_with_category(items, products).join(
+        orders.select("order_id", "customer_id", "order_purchase_timestamp"), "order_id"
+    )
+    return lines.groupBy(
+        "order_id", "customer_id", "order_purchase_timestamp", "product_category_name"
+    ).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("product_id").alias("n_items"),
+        F.sum(money("price")).alias("price"),
+        F.sum(money("freight_value")).alias("freight"),
+        F.sum(money("price") + money("freight_value")).alias("value"),
+    )
+
+
 def review_stats(reviews: DataFrame) -> DataFrame:
     """Per order: review rows (the fan-out factor), scores present, score sum."""
     return reviews.groupBy("order_id").agg(
@@ -57,7 +83,12 @@ def customer_360(
     reviews: DataFrame,
 ) -> DataFrame:
     """Per (customer_unique_id, customer_city): total_orders, total_lifetime_value,
-    last_purchase_date, average_review_score, favorite_category.
+    last_purchase_date, average_review_score, favorite_category."""
+    return customer_360_of(order_lines(orders, items, products), customers, reviews)
+
+
+def customer_360_of(lines: DataFrame, customers: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Customer 360 from order lines.
 
     ``base`` has one row per (order, category). A single GROUPING SETS
     aggregation reduces it both per (customer, order) -- for the distinct order
@@ -67,23 +98,8 @@ def customer_360(
     aggregation, so a customer holding a large share of all rows is spread over
     tasks by order and category before it is reduced to one row.
     """
-    # Items meet their order once (one exchange by order_id); the per-(order, category)
-    # reduction and the join with the per-order review statistics then run inside that
-    # partitioning without another exchange. An order holding a large share of all
-    # items is split by AQE's skew join (spark.sql.adaptive.forceOptimizeSkewedJoin,
-    # on in basketry.session): the split tasks pre-aggregate their share and AQE adds
-    # the one exchange the aggregation then needs.
-    lines = _items_with_category(items, products).join(
-        orders.select("order_id", "customer_id", "order_purchase_timestamp"), "order_id"
-    )
-    per_oc = lines.groupBy(
-        "order_id", "customer_id", "order_purchase_timestamp", "product_category_name"
-    ).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.sum(money("price") + money("freight_value")).alias("value"),
-    )
     base = (
-        per_oc.join(review_stats(reviews), "order_id", "left")
+        lines.join(review_stats(reviews), "order_id", "left")
         .join(customers.select("customer_id", *GRAIN), "customer_id")
         .withColumn("fan", F.coalesce(F.col("n_reviews"), F.lit(1)))
     )
@@ -104,13 +120,6 @@ def customer_360(
     )
     is_order = F.col("gid") == 1
     is_cat = (F.col("gid") == 2) & F.col("product_category_name").isNotNull()
-    # favourite: largest weight, ties to the smallest category
-    best = F.min(
-        F.when(
-            is_cat,
-            F.struct((-F.col("weight")).alias("w"), F.col("product_category_name").alias("c")),
-        )
-    )
     return stage.groupBy(*GRAIN).agg(
         F.count(F.when(is_order, 1)).alias("total_orders"),
         money_out(F.sum(F.when(is_order, F.col("value"))), 2).alias("total_lifetime_value"),
@@ -122,7 +131,7 @@ def customer_360(
             ).cast("double"),
             1,
         ).alias("average_review_score"),
-        best["c"].alias("favorite_category"),
+        heaviest("weight", "product_category_name", is_cat).alias("favorite_category"),
     )
 
 
@@ -150,16 +159,32 @@ def item_totals(items: DataFrame) -> DataFrame:
     )
 
 
+def item_totals_of(lines: DataFrame) -> DataFrame:
+    """Item totals from order lines (orders of the lines only)."""
+    return lines.groupBy("order_id").agg(
+        money_out(F.sum("price")).alias("total_revenue"),
+        money_out(F.sum("freight")).alias("total_freight"),
+        F.sum("n_items").alias("total_items"),
+    )
+
+
 def orders_enriched(
     orders: DataFrame, items: DataFrame, reviews: DataFrame, customers: DataFrame
 ) -> DataFrame:
     """Order fact: order columns + item totals + review score (one row per review) +
     city/state. Orders without items are dropped; orders without reviews keep NULL."""
+    return orders_enriched_of(item_totals(items), orders, reviews, customers)
+
+
+def orders_enriched_of(
+    totals: DataFrame, orders: DataFrame, reviews: DataFrame, customers: DataFrame
+) -> DataFrame:
+    """Order fact from item totals per order."""
     # orders meet their reviews first: both sides are then plain shuffles, so an order
     # with very many reviews is split; the item totals are one row per order
     reviewed = fanout_left_join(orders, reviews.select("order_id", "review_score"), "order_id")
     return (
-        reviewed.join(item_totals(items), "order_id")
+        reviewed.join(totals, "order_id")
         .join(
             customers.select("customer_id", "customer_city", "customer_state"),
             "customer_id",
@@ -172,36 +197,48 @@ def orders_enriched(
     )
 
 
+def joined_chain(
+    orders: DataFrame, items: DataFrame, customers: DataFrame, products: DataFrame, reviews: DataFrame
+) -> DataFrame:
+    """The unreduced five-table chain, a row per item and review, with every column: orders
+    with items and customers, products and reviews where there are any.
+
+    Orders meet their reviews first, in the form whose fan-out side can be split
+    (``fanout_left_join``), then their items: an inner join, so a hot order is split on
+    either side."""
+    names = dict.fromkeys(
+        ["order_id", "product_id", "customer_id", *orders.columns, *items.columns, *customers.columns,
+         *products.columns, *reviews.columns]
+    )
+    return (
+        fanout_left_join(orders, reviews, "order_id")
+        .join(items, "order_id")
+        .join(customers, "customer_id")
+        .join(products, "product_id", "left")
+        .select(*names)
+    )
+
+
 def sales_by_state_category_month(
     items: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame
 ) -> DataFrame:
-    """Plain group-by (no subtotals) of item sales by year, month, state, category.
+    """Plain group-by (no subtotals) of item sales by year, month, state, category."""
+    return sales_of(order_lines(orders, items, products), customers)
 
-    Items meet their order once and are reduced per (order, customer, month, category)
-    inside that partitioning, so one exchange by order serves the join and the
-    reduction; an order holding a large share of all items is split by AQE's skew join
-    (its parts are combined again after it). What is left, at most a row per order and
-    category, meets the customers and is reduced per output group.
-    """
-    per_cmc = (
-        _items_with_category(items, products)
-        .join(orders.select("order_id", "customer_id", "order_purchase_timestamp"), "order_id")
+
+def sales_of(lines: DataFrame, customers: DataFrame) -> DataFrame:
+    """Sales from order lines: at most a row per order and category meets the customers
+    and is reduced per output group."""
+    return (
+        lines.join(customers.select("customer_id", "customer_state"), "customer_id")
         .groupBy(
-            "order_id",
-            "customer_id",
             F.year("order_purchase_timestamp").alias("order_year"),
             F.month("order_purchase_timestamp").alias("order_month"),
+            "customer_state",
             "product_category_name",
         )
         .agg(
-            F.sum(money("price")).alias("sales"),
-            F.count("product_id").alias("n_items"),
+            money_out(F.sum("price"), 2).alias("total_sales"),
+            F.sum("n_items").alias("total_items_sold"),
         )
     )
-    base = per_cmc.join(customers.select("customer_id", "customer_state"), "customer_id")
-    return base.groupBy(
-        "order_year", "order_month", "customer_state", "product_category_name"
-    ).agg(
-        money_out(F.sum("sales"), 2).alias("total_sales"),
-        F.sum("n_items").cast("long").alias("total_items_sold"),
-    )

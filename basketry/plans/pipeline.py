@@ -5,7 +5,10 @@ and the order fact, then segments (reads customer 360) and sales. Each step writ
 versioned table and the next step reads it back, so a lost executor only recomputes
 from the last written table, never from the raw files. Jobs without a dependency
 between them are submitted together (Spark runs concurrent jobs of one session side
-by side), as the reference's schedule runs its cleaning jobs in parallel.
+by side), as the reference's schedule runs its cleaning jobs in parallel. The item rows
+meet their orders once a run: the order lines (``marts.order_lines``) are written to the
+application's scratch folder, and customer 360, the order fact and sales are sums over
+them.
 
 Tables live under one root: ``<root>/silver/<name>`` and ``<root>/gold/<name>``.
 """
@@ -19,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from basketry.operators.quality import enforce, gate_report
 from basketry.plans import marts, rfm
 from basketry.plans.clean import CLEANERS
+from basketry.session import stored
 from basketry.sinks.versioned import VersionedTable
 
 SILVER = ("customers", "orders", "items", "reviews", "products")
@@ -53,16 +57,19 @@ def gold_job(
     root: str,
     silver: dict[str, DataFrame] | None = None,
     reference_date: str = rfm.REFERENCE_DATE,
+    lines: DataFrame | None = None,
 ) -> VersionedTable:
-    """Build one mart from the latest cleaned tables (or ``silver``) and commit it with
-    its new schema. ``segment_rfm`` reads the committed customer 360."""
+    """Build one mart from the latest cleaned tables (or ``silver``, and the order
+    ``lines`` of them where a run has written those) and commit it with its new schema. ``segment_rfm`` reads the committed customer 360."""
     s = silver or {n: silver_table(spark, root, n).read() for n in SILVER}
+    if lines is None and name != "segment_rfm":
+        lines = marts.order_lines(s["orders"], s["items"], s["products"])
     if name == "customer_360":
-        df = marts.customer_360(s["orders"], s["items"], s["customers"], s["products"], s["reviews"])
+        df = marts.customer_360_of(lines, s["customers"], s["reviews"])
     elif name == "fact_orders_enriched":
-        df = marts.orders_enriched(s["orders"], s["items"], s["reviews"], s["customers"])
+        df = marts.orders_enriched_of(marts.item_totals_of(lines), s["orders"], s["reviews"], s["customers"])
     elif name == "agg_sales_by_state_category_month":
-        df = marts.sales_by_state_category_month(s["items"], s["orders"], s["customers"], s["products"])
+        df = marts.sales_of(lines, s["customers"])
     elif name == "segment_rfm":
         c360 = gold_table(spark, root, "customer_360").read()
         df = rfm.segment_rfm(c360, reference_date, materialized=True)
@@ -84,10 +91,11 @@ def run_pipeline(
         # result() re-raises a failed gate: no mart is built from a failed table
         tables: dict[str, VersionedTable] = {name: f.result() for name, f in futures.items()}
     s = {name: t.read() for name, t in tables.items()}
+    lines = stored(marts.order_lines(s["orders"], s["items"], s["products"]), "order-lines")
 
     def chain(first: str, second: str) -> tuple[VersionedTable, VersionedTable]:
-        a = gold_job(spark, first, root, s, reference_date)
-        b = gold_job(spark, second, root, s, reference_date)
+        a = gold_job(spark, first, root, s, reference_date, lines)
+        b = gold_job(spark, second, root, s, reference_date, lines)
         return a, b
 
     with ThreadPoolExecutor(max_workers=2) as pool:

@@ -19,6 +19,7 @@ from basketry.functions.casts import to_double, to_int_score, to_timestamp
 from basketry.functions.money import money, money_out
 from basketry.functions.text import fold_accents, normalize_city
 from basketry.operators import profile as prof
+from basketry.operators.mode import mode_by
 from basketry.operators.ntile import Key, ntile_labels
 from basketry.operators.quality import Gates, enforce, gate_report
 from basketry.operators.topk import first_n, top_k
@@ -361,12 +362,7 @@ LEFT JOIN clean_reviews r ON r.order_id = o.order_id""",
 )
 def q_join_chain_360(spark, sf_dir):
     t = cleaned(spark, sf_dir)
-    return (
-        t["orders"].join(t["items"], on="order_id", how="inner")
-        .join(t["customers"], on="customer_id", how="inner")
-        .join(t["products"], on="product_id", how="left")
-        .join(t["reviews"], on="order_id", how="left")
-    )
+    return marts.joined_chain(t["orders"], t["items"], t["customers"], t["products"], t["reviews"])
 
 
 @query(
@@ -522,9 +518,7 @@ FROM (SELECT DISTINCT order_id FROM cats) k LEFT JOIN ranked r ON r.order_id = k
 def q_agg_mode(spark, sf_dir):
     t = cleaned(spark, sf_dir)
     cats = t["items"].join(t["products"], "product_id", "left")
-    return cats.groupBy("order_id").agg(
-        F.mode("product_category_name", deterministic=True).alias("favorite_category")
-    )
+    return mode_by(cats, ["order_id"], "product_category_name", "favorite_category")
 
 
 @query(
@@ -957,8 +951,7 @@ WHERE n > 0""",
 )
 def q_prof_all(spark, sf_dir):
     """Summary rows of all nine tables, and a row per column with NULLs."""
-    summary, nulls = prof.profile_all(star.raw_tables(spark, sf_dir))
-    return summary.unionByName(nulls, allowMissingColumns=True)
+    return prof.report(star.raw_tables(spark, sf_dir))
 
 
 # ====================================================================== sources ==

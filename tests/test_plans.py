@@ -1,7 +1,6 @@
 """Physical-plan properties that matter at scale."""
 
 from basketry import registry
-from basketry.operators.profile import profile
 from tests.fixtures import plan_text
 
 SF = "/root/testdata/sf0.001"
@@ -20,13 +19,6 @@ def test_customer_360_reads_items_once_and_has_no_single_partition(spark):
     assert "Expand" in text  # one grouping-sets pass
 
 
-def test_profile_is_one_grouping_pass(spark):
-    df = spark.read.parquet(f"{SF}/orders.parquet")
-    summary, _ = profile(df, "orders")
-    text = plan_text(summary)
-    assert text.count("orders.parquet") == 1
-
-
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -204,6 +196,7 @@ def test_hot_review_is_split(spark):
     from pyspark.sql import functions as F
 
     from basketry.plans import marts
+    from tests.fixtures import PRODUCTS
 
     conf = {
         **SKEW_CONF,
@@ -229,6 +222,13 @@ def test_hot_review_is_split(spark):
         fact.collect()
         text = plan_text(fact, "simple")
         assert "SortMergeJoin(skew=true)" in text
+
+        products = spark.createDataFrame([(f"p{i}", "c") for i in range(4)], PRODUCTS)
+        few = items.where("order_id <> 'o0'")
+        chain = marts.joined_chain(orders, few, customers, products, reviews)
+        assert chain.where("order_id = 'o1'").count() == 3 * (30_000 + 3)
+        text = plan_text(chain, "simple")
+        assert "FullOuter" not in text and text.count("LeftOuter") == 1  # the products only
     finally:
         for k, v in old.items():
             if v is None:
