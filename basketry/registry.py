@@ -88,7 +88,7 @@ def q_mart_customer_360(spark, sf_dir):
     "mart_customer_basic",
     """
 SELECT c.customer_unique_id, c.customer_city, count(DISTINCT o.order_id) AS total_orders,
-       CAST(round(sum(CAST(i.price AS DECIMAL(18,2)) + CAST(i.freight_value AS DECIMAL(18,2))), 2)
+       CAST(round(sum(CAST(i.price AS DECIMAL(28,8)) + CAST(i.freight_value AS DECIMAL(28,8))), 2)
             AS DOUBLE) AS total_lifetime_value,
        max(o.order_purchase_timestamp) AS last_purchase_date
 FROM clean_orders o JOIN clean_items i ON i.order_id = o.order_id
@@ -430,7 +430,7 @@ def q_agg_group_exprs(spark, sf_dir):
 @query(
     "agg_sum",
     """
-SELECT product_id, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total_sales
+SELECT product_id, CAST(sum(CAST(price AS DECIMAL(28,8))) AS DOUBLE) AS total_sales
 FROM clean_items GROUP BY product_id""",
 )
 def q_agg_sum(spark, sf_dir):
@@ -443,7 +443,7 @@ def q_agg_sum(spark, sf_dir):
     "agg_sum_expr",
     """
 SELECT order_id,
-       CAST(round(sum(CAST(price AS DECIMAL(18,2)) + CAST(freight_value AS DECIMAL(18,2))), 2) AS DOUBLE)
+       CAST(round(sum(CAST(price AS DECIMAL(28,8)) + CAST(freight_value AS DECIMAL(28,8))), 2) AS DOUBLE)
          AS order_value
 FROM clean_items GROUP BY order_id""",
 )

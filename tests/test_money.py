@@ -18,3 +18,30 @@ def test_odd_amounts_do_not_abort_and_are_counted(spark):
     got = marts.item_totals(items).first()
     assert (got.total_revenue, got.total_items) == (4.0, 6)
     assert items.agg(unsummable("price").alias("n")).first().n == 3
+
+
+def test_amounts_under_a_cent_as_in_sql(spark, tmp_path):
+    """One rounding rule: eight digits an amount, cents (half-up) a result."""
+    import duckdb
+
+    from basketry.oracle import with_ctes
+    from basketry.plans.clean import CLEANERS
+    from basketry.sources import starschema as star
+
+    n = 4000
+    lines = spark.range(n).select(
+        (F.col("id") % 37).alias("l_orderkey"), (F.col("id") % 5).alias("l_partkey"), F.col("id").alias("l_suppkey"),
+        F.lit(1).alias("l_linenumber"), (F.col("id") % 11 * 0.001).alias("l_quantity"),
+        (F.col("id") * 0.00123457 + 0.005).alias("l_extendedprice"), F.lit(0.0).alias("l_discount"),
+        F.lit(0.0).alias("l_tax"), F.lit("N").alias("l_returnflag"), F.lit("O").alias("l_linestatus"),
+        F.lit(None).cast("timestamp_ntz").alias("l_shipdate"),
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    items = CLEANERS["items"].clean(star.raw_items(spark, str(tmp_path)))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{tmp_path}/lineitem.parquet/*.parquet')")
+    got = sorted(map(tuple, marts.item_totals(items).collect()))
+    assert got == sorted(con.execute(with_ctes("SELECT * FROM item_totals")).fetchall())
+    value = items.agg(money_out(F.sum(money("price") + money("freight_value")), 2).alias("v")).first().v
+    sql = "SELECT CAST(round(sum(CAST(price AS DECIMAL(28,8)) + CAST(freight_value AS DECIMAL(28,8))), 2) AS DOUBLE) FROM clean_items"
+    assert value == con.execute(with_ctes(sql)).fetchone()[0]
