@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from basketry.llm.common import from_planes, materialize, planes, table, text_blocks
 
-CHUNK_CHARS = 12_000_000
+CHUNK_CHARS = 4_000_000
 SLICE_CHARS = 1_000_000
 BLOCK_BYTES = 1_000_000
 LONGEST = 5
@@ -297,7 +297,7 @@ def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text: str
         else:
             named = found.where("first")
         level = _words(named) if k == 1 else _described(named, levels[-1])
-        levels.append(materialize(level, "phrases-level", tidy=True))
+        levels.append(materialize(level.hint("rebalance"), "phrases-level", tidy=True))
     return levels, totals
 
 
