@@ -6,8 +6,10 @@ their Jaccard similarity is at least SIMILARITY (in whole numbers: PERCENT).
 1. Budget. Sets a <= b that link differ in at most floor((a + b) / 7) shingles, so at
    least three quarters of each set's shingles occur in another set. All shingles are
    dealt to buckets by hash, sorted inside tasks, and counted per set; a set with more
-   shingles that no other set has cannot link and goes no further. Equal sets are one
-   set from here on.
+   shingles that no other set has cannot link and goes no further. The exchange keeps the
+   leading bits of a hash, so what is counted are a set's distinct leading bits: those
+   that no other set has stand for at least as many shingles of its own, and no set that
+   links is dropped. Equal sets are one set from here on.
 2. Universe partition. Sizes fall into bands (a partner is in the same or the next
    band); each band fixes its error budget H and m segments of the hash space. Every set
    signs the segments of its own and of the previous band's scheme: a segment with
@@ -124,14 +126,32 @@ def set_ids(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
+def leading_counts(values: np.ndarray, sizes: np.ndarray, bits: int) -> np.ndarray:
+    """Distinct values of every set among the leading ``32 + bits`` bits that the exchange
+    keeps (the values of a set are sorted)."""
+    lead = values >> np.uint64(32 - bits)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    fresh = np.ones(len(lead), bool)
+    fresh[1:] = (lead[1:] != lead[:-1]) | (owner[1:] != owner[:-1])
+    return np.bincount(owner[fresh], minlength=len(sizes))
+
+
+# of n shingles with ``lead`` distinct leading bits, ``shared`` of those in other sets too:
+# at least lead - shared shingles are the set's own
+MAY_LINK = f"100 * (n - lead + coalesce(shared, 0)) >= {PERCENT} * n"
+
+
 def _shared_counts(rows: pa.Table) -> pa.Table:
-    """Per set, how many of a bucket's shingles some other set has too."""
+    """Per set, how many of a bucket's leading bits some other set has too."""
     value, owner, names = unpacked(rows)
     twin = np.zeros(len(value) + 1, bool)
     twin[1:-1] = value[1:] == value[:-1]
     n = np.bincount(owner[twin[:-1] | twin[1:]], minlength=len(names))
     some = np.flatnonzero(n)
-    return pa.table({"a": signed(names[some]), "n": n[some], "doc_id": pa.nulls(len(some), pa.int64())})
+    return pa.table({
+        "a": signed(names[some]), "n": n[some], "lead": np.zeros(len(some), np.int64),
+        "doc_id": pa.nulls(len(some), pa.int64()),
+    })
 
 
 def _document_rows(rows: pa.Table) -> pa.Table:
@@ -139,16 +159,17 @@ def _document_rows(rows: pa.Table) -> pa.Table:
     for r in rows.to_pylist():
         ids = np.frombuffer(r["low"], "<i8")
         null = np.frombuffer(r["owner"], "?")
-        both = np.frombuffer(r["owners"], "<i8").reshape(2, -1)
+        both = np.frombuffer(r["owners"], "<i8").reshape(3, -1)
         out.append(pa.table({
-            "a": both[0], "n": both[1], "doc_id": pa.array(ids, pa.int64(), mask=null)
+            "a": both[0], "n": both[1], "lead": both[2], "doc_id": pa.array(ids, pa.int64(), mask=null)
         }))
     return pa.concat_tables(out)
 
 
 def survey(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(a, n, doc_id): for every row its set's name and size; with a null doc_id and a
-    set's name in ``a``: how many of its shingles others have too (to be summed).
+    """(a, n, lead, doc_id): for every row its set's name, size and number of distinct
+    leading bits; with a null doc_id and a set's name in ``a``: how many of those others
+    have too (to be summed).
 
     Rows of documents are marked by ``kind`` 1.
     """
@@ -170,7 +191,7 @@ def survey(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         for b in batches:
             for i, j, texts in text_blocks(b.column("t"), BLOCK_BYTES):
                 value, size = shingler.sets(texts)
-                name = set_ids(value, size)
+                name, lead = set_ids(value, size), leading_counts(value, size, bits)
                 ids = b.column("i").slice(i, j - i)
                 null = np.array(ids.is_null())
                 yield pa.RecordBatch.from_arrays(
@@ -178,7 +199,7 @@ def survey(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                         pa.array([-1 - (int(name[0]) >> 1)], pa.int64()),  # any task
                         pa.array([ids.fill_null(0).to_numpy().astype("<i8").tobytes()], pa.binary()),
                         pa.array([null.tobytes()], pa.binary()),
-                        pa.array([np.stack([signed(name), size]).astype("<i8").tobytes()], pa.binary()),
+                        pa.array([np.stack([signed(name), size, lead]).astype("<i8").tobytes()], pa.binary()),
                     ],
                     ["bucket", "low", "owner", "owners"],
                 )
@@ -202,7 +223,9 @@ def survey(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         return made.append_column("kind", pa.array(np.full(len(made), kind, np.int32)))
 
     sent = rows.mapInArrow(send, PACKED)
-    return sent.groupBy("bucket").applyInArrow(receive, "a bigint, n bigint, doc_id bigint, kind int")
+    return sent.groupBy("bucket").applyInArrow(
+        receive, "a bigint, n bigint, lead bigint, doc_id bigint, kind int"
+    )
 
 
 # ---- signatures
@@ -436,13 +459,13 @@ def _sets_of(docs: DataFrame, reps: DataFrame, doc_id: str, text: str) -> DataFr
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of every row (see the module text)."""
     found = materialize(survey(docs, doc_id, text), "shingles")
-    rows = found.where("kind = 1").select("doc_id", "a", "n")
+    rows = found.where("kind = 1").select("doc_id", "a", "n", "lead")
     shared = found.where("kind = 0").groupBy("a").agg(F.sum("n").alias("shared"))
     named = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("a").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n")
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("lead").alias("lead")
     )
     named = materialize(named, "sets")
-    reps = named.join(shared, "a").where(f"100 * shared >= {PERCENT} * n").select("rep", "a")
+    reps = named.join(shared, "a", "left").where(MAY_LINK).select("rep", "a")
     reps = materialize(reps, "candidates")
     sets = materialize(_sets_of(docs, reps, doc_id, text), "candidate-sets")
     total = sets.agg(F.sum("n").alias("n")).first()["n"] or 0

@@ -118,3 +118,23 @@ def test_a_short_text_alone(spark, n):
         assert {r.doc_id: r.component_id for r in got} == T.near_components(ids, texts)
         assert {r.doc_id: r.n_shingles for r in got} == {i: len(T.shingles(t)) for i, t in zip(ids, texts)}
     assert J.keep_one(T.plain(spark, [text]).coalesce(1)).count() == 1
+
+
+def test_shingles_that_agree_in_their_leading_bits(spark):
+    """Two sets hold the same shingles, some of which differ in their last bits only: the
+    exchange counts those once, and neither set may be dropped for it."""
+    import pyarrow as pa
+
+    from basketry.llm.exchange import packed
+
+    one = np.array([5 << 32 | 1, 5 << 32 | 2, 5 << 32 | 3, 9 << 32], np.uint64)
+    values, sizes = np.concatenate([one, one, [np.uint64(7 << 32)]]), np.array([4, 4, 1])
+    rows = packed(values, np.repeat(np.arange(3), sizes), np.array([11, 12, 13], np.uint64), 0)
+    shared = {r["a"]: r["n"] for r in J._shared_counts(pa.Table.from_batches([rows])).to_pylist()}
+    lead = J.leading_counts(values, sizes, 0)
+    assert shared == {11: 2, 12: 2} and lead.tolist() == [2, 2, 1]
+    sets = [(i, int(n), int(t), shared.get(i)) for i, n, t in zip((11, 12, 13), sizes, lead)]
+    # a set at exactly three quarters stays, one under it goes
+    sets += [(21, 100, 100, 75), (22, 100, 100, 74), (23, 100, 99, 74), (24, 100, 99, None)]
+    kept = spark.createDataFrame(sets, "a long, n long, lead long, shared long").where(J.MAY_LINK)
+    assert sorted(r.a for r in kept.collect()) == [11, 12, 21, 23]
