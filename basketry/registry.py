@@ -32,6 +32,7 @@ from basketry.sinks.versioned import SchemaMismatchError, VersionedTable
 from basketry.sources import csv as csvsrc
 from basketry.sources import lookup
 from basketry.sources import starschema as star
+from basketry.sources.quoted import read_quoted
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -975,6 +976,15 @@ def q_src_csv_roundtrip(spark, sf_dir):
     return csvsrc.read_raw(spark, path, multiline=True, schema=DOC_SCHEMA)
 
 
+@query("src_csv_quoted", "SELECT doc_id, text, lang, source FROM documents")
+def q_src_csv_quoted(spark, sf_dir):
+    """The documents through CSV files whose quoted fields hold line breaks, by blocks."""
+    path = scratch_path(spark, "documents-quoted-csv")
+    csvsrc.write_csv(star.table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), path)
+    rows = read_quoted(spark, path)
+    return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 @query(
     "src_csv_inferred",
     "SELECT CAST(order_id AS INTEGER) AS order_id, CAST(product_id AS INTEGER) AS product_id, "

@@ -5,9 +5,9 @@ applied by name afterwards with tolerant casts, so a file whose columns come in
 different order, or hold a malformed value, still loads. No inference pass: the
 reference's ``inferSchema`` reads every file twice, once only to guess types.
 
-Quoting follows RFC 4180 (a quote inside a quoted field is doubled). ``multiLine`` is
-needed only for files with free-text columns; it makes a file unsplittable (one task
-per file), so it is switched on per source, not globally.
+Quoting follows RFC 4180 (a quote inside a quoted field is doubled). Sources with
+free-text columns, whose fields may hold line breaks, are read by ``sources.quoted``;
+``multiline=True`` reads such a file as one task.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql.types import (
 )
 
 from basketry.functions.casts import to_double, to_int_score, to_timestamp
+from basketry.sources.quoted import read_quoted
 
 
 def read_raw(
@@ -166,7 +167,8 @@ def load_raw_sources(
     out = {}
     for name in names or list(RAW_SOURCES):
         spec = RAW_SOURCES[name]
-        out[name] = read_raw(spark, source_path(base_dir, name, paths), multiline=spec.multiline)
+        read = read_quoted if spec.multiline else read_raw
+        out[name] = read(spark, source_path(base_dir, name, paths))
     return out
 
 
