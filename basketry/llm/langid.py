@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import blocks, id_remainder, table
+from basketry.llm.common import ARROW_ROWS, arrow_rows, blocks, id_remainder, table
 
 DIM = 1024
 SEED = 20_011
@@ -182,7 +182,8 @@ def train(labelled: DataFrame, text: str = "text", label: str = "lang") -> dict[
         .agg(F.sort_array(F.collect_list(F.struct("d", "x"))).alias("v"))
         .orderBy("l")
     )
-    found = summed.limit(MAX_LABELS + 1).collect()
+    with arrow_rows(labelled.sparkSession, ARROW_ROWS):
+        found = summed.limit(MAX_LABELS + 1).collect()
     if len(found) > MAX_LABELS:
         raise ValueError(f"more than {MAX_LABELS} labels: not a list of languages")
     return {r["l"]: np.array([p["x"] for p in r["v"]], np.float64) for r in found}
