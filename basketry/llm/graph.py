@@ -19,9 +19,9 @@ def components(links: DataFrame) -> DataFrame:
     both = links.select("a", "b").unionByName(
         links.select(F.col("b").alias("a"), F.col("a").alias("b"))
     )
-    both = materialize(both.where("a <> b").distinct(), "links")
+    both = materialize(both.where("a <> b").distinct(), "links", tidy=True)
     labels = materialize(both.groupBy(F.col("a").alias("node")).agg(
-        F.least(F.min("b"), F.col("node")).alias("label")), "labels")
+        F.least(F.min("b"), F.col("node")).alias("label")), "labels", tidy=True)
     while True:
         near = (
             both.join(labels.select(F.col("node").alias("b"), "label"), "b")
@@ -31,12 +31,12 @@ def components(links: DataFrame) -> DataFrame:
         nearer = labels.join(near, "node").select(
             "node", F.col("label").alias("old"), F.least("label", "near").alias("label")
         )
-        nearer = materialize(nearer, "labels")
+        nearer = materialize(nearer, "labels", tidy=True)
         jump = nearer.select(F.col("node").alias("label"), F.col("label").alias("beyond"))
         moved = nearer.join(jump, "label", "left").select(
             "node", "old", F.least("label", F.coalesce("beyond", "label")).alias("label")
         )
-        moved = materialize(moved, "labels")
+        moved = materialize(moved, "labels", tidy=True)
         labels = moved.select("node", "label")
         if not moved.where("label <> old").limit(1).count():
             return labels

@@ -354,7 +354,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, few: bool = True) -> DataFrame:
     """The pairs (a, b) whose sets link, compared exactly; with ``few`` most sets are
     expected to be in no pair and are left out before the join."""
     if few:
-        pairs = materialize(pairs.select("a", "b"), "pairs")
+        pairs = materialize(pairs.select("a", "b"), "pairs", tidy=True)
         ends = pairs.select(F.col("a").alias("rep")).union(pairs.select("b"))
         sets = only_ids(sets.select("rep", "shingles"), "rep", ends, "rep")
     left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x"))
@@ -376,7 +376,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, few: bool = True) -> DataFrame:
             )
 
     joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return materialize(joined.mapInArrow(compare, "a bigint, b bigint"), "links", PAIR_ROWS)
+    return materialize(joined.mapInArrow(compare, "a bigint, b bigint"), "links", PAIR_ROWS, tidy=True)
 
 
 def _fitting(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -423,7 +423,7 @@ def _across_pairs(sets: DataFrame, bits: int) -> DataFrame:
     member = _sign(sets, bits, labelled=True).groupBy("bucket").applyInArrow(
         groups, "g bigint, rep bigint, label bigint"
     )
-    member = materialize(member, "members")
+    member = materialize(member, "members", tidy=True)
     left = member.select("g", F.col("rep").alias("a"), F.col("label").alias("la"))
     right = member.select("g", F.col("rep").alias("b"), F.col("label").alias("lb"))
     pairs = left.join(right, "g").where("a < b AND la <> lb").select("a", "b").distinct()
@@ -458,16 +458,16 @@ def _sets_of(docs: DataFrame, reps: DataFrame, doc_id: str, text: str) -> DataFr
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id of every row (see the module text)."""
-    found = materialize(survey(docs, doc_id, text), "shingles")
+    found = materialize(survey(docs, doc_id, text), "shingles", tidy=True)
     rows = found.where("kind = 1").select("doc_id", "a", "n", "lead")
     shared = found.where("kind = 0").groupBy("a").agg(F.sum("n").alias("shared"))
     named = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("a").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("lead").alias("lead")
     )
-    named = materialize(named, "sets")
+    named = materialize(named, "sets", tidy=True)
     reps = named.join(shared, "a", "left").where(MAY_LINK).select("rep", "a")
-    reps = materialize(reps, "candidates")
-    sets = materialize(_sets_of(docs, reps, doc_id, text), "candidate-sets")
+    reps = materialize(reps, "candidates", tidy=True)
+    sets = materialize(_sets_of(docs, reps, doc_id, text), "candidate-sets", tidy=True)
     total = sets.agg(F.sum("n").alias("n")).first()["n"] or 0
     bits = max(0, math.ceil(math.log2(max(1, 2.5 * total / BUCKET_VALUES))))
     stars = (
@@ -477,8 +477,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         .groupBy("a", "b")
         .agg(F.sum("n").alias("n"))
     )
-    stars = materialize(stars, "stars")
-    near = materialize(_fitting(stars, sets), "near-stars")
+    stars = materialize(stars, "stars", tidy=True)
+    near = materialize(_fitting(stars, sets), "near-stars", tidy=True)
     # first each set with the one it shares most signatures with
     first = near.groupBy("b").agg(
         F.max(F.struct("n", (-F.col("a")).alias("a"))).alias("m")
@@ -488,18 +488,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     # then the other stars that still lead from one component to another
     rest = _labelled(near.select("a", "b"), labels).where("la <> lb")
     more = _verify(rest.join(first, ["a", "b"], "left_anti"), sets)
-    links = materialize(links.unionByName(more), "links")
+    links = materialize(links.unionByName(more), "links", tidy=True)
     labels = components(links)
     # a signature whose star is in one component has no pair left; of the others, all
     # pairs that lead across components are compared
-    open_ = materialize(_labelled(stars.select("a", "b"), labels).where("la <> lb"), "open")
+    open_ = materialize(_labelled(stars.select("a", "b"), labels).where("la <> lb"), "open", tidy=True)
     if open_.limit(1).count():
         touched = open_.select(F.col("la").alias("label")).union(open_.select("lb")).distinct()
         own = sets.join(labels, sets["rep"] == labels["node"], "left").withColumn(
             "label", F.coalesce("label", "rep")
         )
         some = own.join(touched, "label", "left_semi").select("rep", "n", "shingles", "label")
-        some = materialize(some, "open-sets")
+        some = materialize(some, "open-sets", tidy=True)
         pairs = _across_pairs(some, bits).join(stars.select("a", "b"), ["a", "b"], "left_anti")
         labels = components(links.unionByName(_verify(pairs, some)))
     final = named.join(labels, named["rep"] == labels["node"], "left").select(
@@ -517,13 +517,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest id (of rows
     that repeat that id, one). Empty texts and null ids have no component and stay."""
-    found = materialize(near_duplicates(docs, doc_id, text), "components")
+    found = materialize(near_duplicates(docs, doc_id, text), "components", tidy=True)
     gone = found.where("component_id <> doc_id").select("doc_id")
     again = (
         found.where("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("doc_id").count().where(F.col("count") > 1).select("doc_id")
     )
-    kept = without_ids(docs, doc_id, materialize(gone.union(again), "gone"), "doc_id")
+    kept = without_ids(docs, doc_id, materialize(gone.union(again), "gone", tidy=True), "doc_id")
     single = docs.join(again.withColumnRenamed("doc_id", doc_id), doc_id, "left_semi")
     if again.limit(1).count():
         first = single.join(gone.withColumnRenamed("doc_id", doc_id), doc_id, "left_anti")
