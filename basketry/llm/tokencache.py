@@ -134,7 +134,9 @@ def count_tokens(
         F.coalesce(F.octet_length(F.col(text)), F.lit(0)).cast("long").alias("n_bytes"),
         F.coalesce(F.col(text), F.lit("")).alias("content"),
     )
-    rows = normal(rows).withColumn("digest", F.unhex(F.sha2("content", 256)))
+    # never NULL: a join on it needs no filter, which would compute the normal form again
+    digest = F.coalesce(F.unhex(F.sha2("content", 256)), F.lit(b""))
+    rows = normal(rows).withColumn("digest", digest)
     distinct = rows.groupBy("digest").agg(F.first("content").alias("content"))
     known = stored_counts(spark, cache, tokenizer_json)
     misses = distinct.join(known, "digest", "left_anti")

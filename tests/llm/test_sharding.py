@@ -70,3 +70,47 @@ def test_query_columns(spark):
     assert got.columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
     rows = got.collect()
     assert {r.law for r in rows} == {"bytes"} and {r.grown_shard for r in rows} == {None}
+
+
+def plain_tree(rows, shards):
+    """A k-d tree by sorting: rows are (id, size, checksum, id's hash, four coordinates)."""
+    spread = [max(1, max(r[4 + d] for r in rows) - min(r[4 + d] for r in rows)) for d in range(4)]
+    leaf = {}
+
+    def split(some, first, n):
+        if n == 1 or not some:
+            leaf.update({r[0]: first for r in some})
+            return
+        widths = [(max(r[4 + d] for r in some) - min(r[4 + d] for r in some)) / spread[d] for d in range(4)]
+        dim = widths.index(max(widths))
+        left = (n + 1) // 2
+        want = sum(r[1] for r in some) * left / n
+
+        def key(r):
+            return r[4 + dim], r[2] >> 12, r[3] % (1 << 19)
+
+        keys = sorted({key(r) for r in some})
+        bytes_of = {k: 0 for k in keys}
+        for r in some:
+            bytes_of[key(r)] += r[1]
+        below, last = 0, None
+        for k in keys:
+            if below + bytes_of[k] >= want or k == keys[-1]:
+                # the row at the cut goes to the side that comes nearer to the wish
+                if below + bytes_of[k] - want <= want - below:
+                    last = k
+                break
+            below, last = below + bytes_of[k], k
+        split([r for r in some if last is not None and key(r) <= last], first, left)
+        split([r for r in some if last is None or key(r) > last], first + left, n - left)
+
+    split(rows, 0, shards)
+    return leaf
+
+
+@pytest.mark.parametrize("shards", [2, 7, 40])
+def test_leaves_equal_a_plain_tree(many, shards):
+    pts = sharding.points(many).withColumn("h", F.xxhash64("doc_id"))
+    rows = [tuple(r) for r in pts.select("doc_id", "size", "text_crc32", "h", *sharding.DIMS).collect()]
+    got = {r.doc_id: r.shard for r in sharding.kd_shards(many, shards).collect()}
+    assert got == plain_tree(rows, shards)
