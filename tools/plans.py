@@ -21,10 +21,10 @@ from basketry.session import get_session  # noqa: E402
 QUERIES = [
     ("mart_customer_360", "items meet their order once; (order, category) reduction in place; one GROUPING SETS pass"),
     ("mart_orders_enriched", "per-order item totals; review fan-out as inner join + anti join on distinct keys"),
-    ("mart_sales_state_category_month", "items combined per (order, category) before the order shuffle"),
-    ("win_ntile_desc", "distributed ntile: positions from a checkpoint, offsets broadcast (one row per partition)"),
-    ("prof_all", "profile: one grouping pass per table"),
-    ("dq_report", "gates: one aggregation per table"),
+    ("mart_sales_state_category_month", "sums over the order lines, at most a row per order and category, per output group"),
+    ("win_ntile_desc", "distributed ntile: rows of a written table, labelled by comparison with the three selected boundary rows"),
+    ("prof_all", "profile: groups by row digest; whole rows only where a digest repeats (bitmap subquery)"),
+    ("dq_report", "gates: one aggregation per table, by the unique columns where there is such a rule"),
 ]
 
 
@@ -65,7 +65,7 @@ def main() -> None:
     print("# Physical plans of the headline queries\n")
     print("Generated by `python tools/plans.py` with broadcast joins off (the shape when no")
     print("dimension is small). `Exchange` = shuffle. The only explicit broadcasts are the")
-    print("fixed-size nation/region tables of the test adapters and the ntile offset table.\n")
+    print("fixed-size nation/region tables of the test adapters.\n")
     for name, note in QUERIES:
         df = registry.QUERIES[name](spark, sf)
         body, scans = explain(df)
