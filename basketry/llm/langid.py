@@ -38,6 +38,7 @@ UNKNOWN = "und"
 # from LEAST_TRIGRAMS different trigrams on: shorter clean texts can be at that level too
 LEAST_SCORE = 0.05
 LEAST_TRIGRAMS = 60
+SLICE_ROWS = 500  # rows whose vectors are held in memory at once
 # a label set larger than this is no list of languages; prototypes must stay small
 MAX_LABELS = 4096
 _BLOCK_CELLS = 4_000_000
@@ -108,6 +109,14 @@ def _cut(text: str) -> Iterator[str]:
     yield text[start:]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in slices of SLICE_ROWS, whatever Spark puts into a batch: a row is DIM
+    numbers, a few times over."""
+    for b in batches:
+        for i in range(0, b.num_rows, SLICE_ROWS):
+            yield b.slice(i, SLICE_ROWS)
+
+
 def bundle(texts: list[str]) -> np.ndarray:
     """Bundled trigram vectors, one row per text (zero for texts without letters)."""
     out = np.zeros((len(texts), DIM), np.float64)
@@ -164,7 +173,7 @@ def train(labelled: DataFrame, text: str = "text", label: str = "lang") -> dict[
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in _slices(batches):
             labels = np.asarray(b.column("l").to_pylist(), dtype=object)
             vectors = bundle(b.column("t").to_pylist())
             for one in set(labels.tolist()):
@@ -200,7 +209,7 @@ def predict(
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             vectors = bundle([t or "" for t in b.column("t").to_pylist()])
             size = np.sqrt((vectors * vectors).sum(1))
             known = (size > 0) & bool(names)
@@ -232,7 +241,7 @@ def keep_languages(
                       or [np.zeros(DIM)]).T
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             at = b.schema.get_field_index(text)
             texts = [t or "" for t in b.column(at).to_pylist()]
             vectors = bundle(texts)
