@@ -72,6 +72,9 @@ def test_empty_table(spark, tmp_path):
 @pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_registered_query_runs(spark, name):
     df = registry.QUERIES[name](spark, SF)
+    if name.startswith("op11"):  # a row per phrase
+        assert df.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"] and df.count() > 0
+        return
     table = "pages" if name.startswith("op4") else "documents"
     assert df.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
 
