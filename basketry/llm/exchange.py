@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import free_name
@@ -111,15 +111,21 @@ def id_filter(ids: DataFrame, column: str) -> bytes:
     return bytes(out)
 
 
+def spot(column: str) -> Column:
+    """The bit of an id in the bitmap."""
+    return F.coalesce(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)), F.lit(0))
+
+
+def unpacked_bits(bitmap: bytes) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little").astype(bool)
+
+
 def _by_filter(rows: DataFrame, column: str, bitmap: bytes, inside: bool) -> DataFrame:
     """The rows whose id is (not) in the bitmap, all columns unchanged."""
-    spot = free_name(rows, "__spot")
-    marked = rows.withColumn(
-        spot, F.coalesce(F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)), F.lit(0))
-    )
+    marked = rows.withColumn(free_name(rows, "__spot"), spot(column))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little").astype(bool)
+        bits = unpacked_bits(bitmap)
         for b in batches:
             last = b.num_columns - 1
             mine = bits[b.column(last).to_numpy()] == inside

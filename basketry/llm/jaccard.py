@@ -45,7 +45,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm.common import materialize, table, text_blocks, text_bytes
-from basketry.llm.exchange import PACKED, only_ids, packed, signed, unpacked, without_ids
+from basketry.llm.exchange import PACKED, id_filter, only_ids, packed, signed, spot, unpacked
+from basketry.llm.exchange import unpacked_bits, without_ids
 from basketry.llm.graph import components
 
 WORDS = 5
@@ -434,11 +435,15 @@ def _sets_of(docs: DataFrame, reps: DataFrame, doc_id: str, text: str) -> DataFr
     """(rep, n, shingles) of the sets in ``reps`` (rep, a)."""
     rows = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("t")).where(
         "rep IS NOT NULL"
-    )
+    ).withColumn("spot", spot("rep"))
+    bitmap = id_filter(reps, "rep")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        # most rows go here already (in one Python process with what follows), the rest in
+        # the join
+        shingler, bits = Shingler(), unpacked_bits(bitmap)
         for b in batches:
+            b = b.filter(pa.array(bits[b.column("spot").to_numpy()]))
             for i, j, texts in text_blocks(b.column("t"), BLOCK_BYTES):
                 value, size = shingler.sets(texts)
                 raw, at, out = value.astype("<u8").tobytes(), 0, []
@@ -451,7 +456,7 @@ def _sets_of(docs: DataFrame, reps: DataFrame, doc_id: str, text: str) -> DataFr
                     ["rep", "a", "n", "shingles"],
                 )
 
-    made = only_ids(rows, "rep", reps, "rep").mapInArrow(read, "rep bigint, a bigint, n bigint, shingles binary")
+    made = rows.mapInArrow(read, "rep bigint, a bigint, n bigint, shingles binary")
     # an id may be repeated with other texts: its sets are then one node with all links
     return made.join(reps, ["rep", "a"], "left_semi").dropDuplicates(["rep", "a"])
 
