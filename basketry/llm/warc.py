@@ -74,8 +74,10 @@ def resolve_revisits(records: DataFrame, min_bytes: int = MIN_BYTES) -> DataFram
         .drop("__n")
     )
     originals = materialize(originals, "warc-originals")
+    # short payloads match nothing: their keys, shorter than any digest, only spread them
+    own = F.col("page_id").cast("string").cast("binary")
     joined = records.withColumn(
-        "__key", F.when(long_enough, F.unhex("payload_digest"))
+        "__key", F.when(long_enough, F.unhex("payload_digest")).otherwise(own)
     ).join(originals, "__key", "left")
     again = F.col("__first").isNotNull() & ~F.col("__first").eqNullSafe(F.col("page_id"))
     return joined.select(

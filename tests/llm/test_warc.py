@@ -73,3 +73,18 @@ def test_empty(spark):
     warc.write_archive(warc.resolve_revisits(warc.response_records(none)), path)
     assert warc.read_archive(spark, path).count() == 0
     assert T.empty(spark).count() == 0
+
+
+def test_short_payloads_are_spread_and_stay_responses(spark):
+    """Most payloads are short: they share no join key, whatever the join."""
+    rows = [(i, f"http://x/{i}", "s" if i % 3 else "l" * 200) for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        resolved = warc.resolve_revisits(warc.response_records(pages))
+        got = {r.page_id: (r.record_type, r.refers_to) for r in resolved.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    for i, _, _ in rows:
+        assert got[i] == (("revisit", 0) if i % 3 == 0 and i else ("response", None))
