@@ -22,6 +22,12 @@ def money(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).try_cast(MONEY)
 
 
+def money_times(amount: str, count: str) -> Column:
+    """An amount times a whole number below 1e9, with all eight digits: a product of wider
+    types would be cut to six."""
+    return money(amount) * F.col(count).cast("decimal(9,0)")
+
+
 def unsummable(c: str) -> Column:
     """Aggregate: how many values of ``c`` are present but cannot be summed."""
     return F.count(F.when(F.col(c).isNotNull() & money(c).isNull(), 1))

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.functions.money import money, money_out
+from basketry.functions.money import money, money_out, money_times
 from basketry.operators.joins import fanout_left_join
 from basketry.operators.mode import heaviest
 
@@ -112,7 +112,7 @@ def customer_360_of(lines: DataFrame, customers: DataFrame, reviews: DataFrame)
         "product_category_name",
     ).agg(
         F.grouping_id().alias("gid"),
-        F.sum(F.col("value") * F.col("fan")).alias("value"),
+        F.sum(money_times("value", "fan")).alias("value"),
         F.max("order_purchase_timestamp").alias("last_ts"),
         F.sum(F.col("n_rows") * F.col("score_sum")).alias("score_num"),
         F.sum(F.col("n_rows") * F.col("n_scores")).alias("score_den"),

@@ -45,3 +45,19 @@ def test_amounts_under_a_cent_as_in_sql(spark, tmp_path):
     value = items.agg(money_out(F.sum(money("price") + money("freight_value")), 2).alias("v")).first().v
     sql = "SELECT CAST(round(sum(CAST(price AS DECIMAL(28,8)) + CAST(freight_value AS DECIMAL(28,8))), 2) AS DOUBLE) FROM clean_items"
     assert value == con.execute(with_ctes(sql)).fetchone()[0]
+
+
+def test_review_fan_out_keeps_all_digits(spark):
+    """6,000 orders of 26e-8 with two reviews each: 0.00312, not 6,000 roundings up."""
+    from tests.fixtures import CUSTOMERS, PRODUCTS
+
+    n = spark.range(6000)
+    order = F.concat(F.lit("o"), F.col("id")).alias("order_id")
+    t = F.lit("2018-01-01").cast("timestamp_ntz").alias("order_purchase_timestamp")
+    orders = n.select(order, F.lit("c").alias("customer_id"), F.lit("delivered").alias("order_status"), t)
+    items = n.select(order, F.lit("p").alias("product_id"), F.lit(0.00000026).alias("price"),
+                     F.lit(0.0).alias("freight_value"))
+    reviews = n.crossJoin(spark.range(2).select(F.lit(5).alias("review_score"))).select(order, "review_score")
+    customers = spark.createDataFrame([("c", "u", "x", "S")], CUSTOMERS)
+    got = marts.customer_360(orders, items, customers, spark.createDataFrame([], PRODUCTS), reviews).first()
+    assert (got.total_orders, got.total_lifetime_value) == (6000, 0.0)
