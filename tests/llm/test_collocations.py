@@ -104,7 +104,7 @@ def test_exact_beyond_64_bits(spark):
     assert got == 1000 * big * 3 * big // (big - 1) ** 2
 
 
-@settings(max_examples=5, deadline=None)
+@settings(max_examples=3, deadline=None)
 @given(st.lists(st.tuples(st.text(alphabet="aAb .\t\n,é", max_size=40), st.sampled_from(["en", None])), min_size=1, max_size=12))
 def test_random_texts(spark, rows):
     compare(spark.createDataFrame(rows, "text string, lang string"), 2)
