@@ -235,3 +235,20 @@ def test_hot_review_is_split(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_marts_bound_the_partitions_of_any_session(spark):
+    """The marts merge shuffled partitions up to 16 MB, whatever larger size the session
+    they are given allows; a smaller one stays."""
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(name)
+    try:
+        for query in ("mart_customer_360", "win_ntile_asc"):
+            spark.conf.set(name, "64MB")
+            registry.QUERIES[query](spark, SF)
+            assert spark.conf.get(name) == "16m"
+        spark.conf.set(name, "8388608b")
+        registry.QUERIES["mart_customer_360"](spark, SF)
+        assert spark.conf.get(name) == "8388608b"
+    finally:
+        spark.conf.set(name, old)
