@@ -12,8 +12,10 @@ The fingerprint keeps the SKETCH smallest hashed names of level LEVEL and above
 
 ``neighbours`` pairs every document with the next one in descending order of its id,
 without a global window: documents are range-partitioned by id once, a task walks its
-sorted rows, and only the first and last row of each partition (two per task) are joined
-across partitions, from the table that the tasks have written.
+sorted rows, and only the first and last row of each partition are joined
+across partitions, from the table that the tasks have written. A task walks as many
+partitions, one after the other, as hold about 8 MB of text, so that a session with many
+shuffle partitions does not write as many small files.
 
 Defined results: null text = empty text, whose fingerprint is empty; two empty
 fingerprints are alike (1.0), an empty and another are not (0.0). Texts too short for a
@@ -28,7 +30,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +39,7 @@ LEVEL = 2  # phrases of about 9 characters and more
 TOP_LEVEL = 5
 SKETCH = 40
 BLOCK_CHARS = 200_000
+TASK_BYTES = 8 << 20  # of text that a task walks, in one range or several
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -205,16 +207,18 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every document, of its edited text, and their likenesses."""
+    spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    n = task_count(docs, text_bytes(docs, text))
+    in_all = text_bytes(docs, text)
+    n = task_count(docs, in_all)
+    tasks = min(n, max(spark.sparkContext.defaultParallelism, -(-in_all // TASK_BYTES)))
     order = [F.col("doc_id").desc_nulls_last(), F.col("t")]
     dealt = rows.repartitionByRange(n, order[0]).sortWithinPartitions(*order)
+    dealt = dealt.withColumn("part", F.spark_partition_id())
     names = ["part", "role", "doc_id", *[c.split()[0] for c in _RESULT.split(", ")], "t"]
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-
         def edge(role: str, i, id_type, t: str) -> pa.RecordBatch:
             filled = [pa.nulls(1, x) for x in _TYPES]
             return pa.RecordBatch.from_arrays(
@@ -223,13 +227,14 @@ def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
                 names,
             )
 
-        last = id_type = None  # the row whose successor is still to come
+        last = id_type = part = None  # last: the row whose successor is still to come
         for b in batches:
             id_type = b.column("doc_id").type
             ids = b.column("doc_id").to_pylist()
             texts = [t or "" for t in b.column("t").to_pylist()]
             if not ids:
                 continue
+            part = b.column("part")[0].as_py()
             if last is None:
                 yield edge("head", ids[0], id_type, texts[0])
             else:
@@ -251,7 +256,9 @@ def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
             yield edge("tail", last[0], id_type, last[1])
 
     walked = materialize(
-        dealt.mapInArrow(walk, f"part int, role string, doc_id {kind}, {_RESULT}, t string"),
+        dealt.mapInArrow(
+            walk, f"part int, role string, doc_id {kind}, {_RESULT}, t string"
+        ).coalesce(tasks),
         "fingerprints",
     )
     # one head and one tail per partition: a window over partition numbers only
@@ -270,6 +277,7 @@ def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         .join(follows, "part")
         .join(heads.select(F.col("part").alias("next_part"), F.col("t").alias("next_t")), "next_part")
         .select("doc_id", "t", "next_t")
+        .coalesce(tasks)  # a row per partition: no task of its own for each
     )
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

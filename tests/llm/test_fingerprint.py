@@ -84,3 +84,17 @@ def test_awkward_rows(spark):
     alone = fp.neighbours(docs.where("doc_id = 8")).first()
     assert alone.near_next == 1.0
     assert fp.fingerprints(docs).where(F.col("doc_id") == 0).first().fingerprint == list(prints[0])[0]
+
+
+def test_many_partitions_write_few_files(spark):
+    texts = ["ab c" * (k % 50) + str(k) for k in range(400)]
+    docs = T.plain(spark, texts, list(range(400)))
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        found = fp.neighbours(docs)
+        got = found.collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(found.inputFiles()) <= spark.sparkContext.defaultParallelism
+    assert {r.doc_id: (r.n_chars, r.edited_sha256, bytes(r.fingerprint), bytes(r.edited_fingerprint),
+                       r.near_edited, r.near_next) for r in got} == plain_neighbours(range(400), texts)
