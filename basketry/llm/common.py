@@ -8,7 +8,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Hashable, Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from typing import Any
 
 import numpy as np
@@ -118,6 +118,26 @@ def kept(key: Hashable, make: Callable[[], Any]) -> Any:
     return store["value"]
 
 
+def give_back() -> None:
+    """Memory that this Python worker has freed goes back to the system. Spark keeps idle
+    workers for a minute; otherwise they keep the memory of their largest block, too."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # not glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def tidied(run: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterator[pa.RecordBatch]]:
+    """A function for ``mapInArrow`` that gives its memory back when it ends."""
+
+    def to_the_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return to_the_end
+
+
 def planes(x: np.ndarray) -> bytes:
     """32-bit numbers byte plane by byte plane: the high planes of small numbers are nearly
     all zero and compress away."""

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import free_name, table, text_bytes
+from basketry.llm.common import free_name, table, text_bytes, tidied
 
 ERROR_RATE = 0.06
 SHORT = 20
@@ -188,7 +188,7 @@ def mark(
                     new.append((o.as_py() or []) + more)
                 yield b.set_column(at, out, pa.array(new, kind))
 
-        marked = marked.mapInArrow(find, marked.schema)
+        marked = marked.mapInArrow(tidied(find), marked.schema)
     return marked
 
 

@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import materialize, table, text_blocks, text_bytes
+from basketry.llm.common import give_back, materialize, table, text_blocks, text_bytes, tidied
 from basketry.llm.exchange import PACKED, id_filter, only_ids, packed, signed, spot, unpacked
 from basketry.llm.exchange import unpacked_bits, without_ids
 from basketry.llm.graph import components
@@ -219,11 +219,13 @@ def survey(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             yield flush()
 
     def receive(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        made = _document_rows(rows) if key[0].as_py() < 0 else _shared_counts(rows)
         kind = int(key[0].as_py() < 0)
+        made = _document_rows(rows) if kind else _shared_counts(rows)
+        if not kind:
+            give_back()
         return made.append_column("kind", pa.array(np.full(len(made), kind, np.int32)))
 
-    sent = rows.mapInArrow(send, PACKED)
+    sent = rows.mapInArrow(tidied(send), PACKED)
     return sent.groupBy("bucket").applyInArrow(
         receive, "a bigint, n bigint, lead bigint, doc_id bigint, kind int"
     )
@@ -312,6 +314,8 @@ def _stars(rows: pa.Table) -> pa.Table:
     center = np.repeat(owner[start], np.diff(start, append=len(value)))
     rest = owner != center
     pair, n = np.unique(center[rest] * (1 << 32) + owner[rest], return_counts=True)
+    del value, owner, start, center, rest
+    give_back()
     real = signed(names)
     return pa.table({"a": real[pair >> 32], "b": real[pair & 0xFFFFFFFF], "n": n})
 
@@ -348,7 +352,7 @@ def _sign(sets: DataFrame, bits: int, labelled: bool = False) -> DataFrame:
             yield flush()
 
     columns = ["rep", "shingles"] + ["label"] * labelled
-    return sets.select(*columns).mapInArrow(send, PACKED)
+    return sets.select(*columns).mapInArrow(tidied(send), PACKED)
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, few: bool = True) -> DataFrame:
@@ -456,7 +460,7 @@ def _sets_of(docs: DataFrame, reps: DataFrame, doc_id: str, text: str) -> DataFr
                     ["rep", "a", "n", "shingles"],
                 )
 
-    made = rows.mapInArrow(read, "rep bigint, a bigint, n bigint, shingles binary")
+    made = rows.mapInArrow(tidied(read), "rep bigint, a bigint, n bigint, shingles binary")
     # an id may be repeated with other texts: its sets are then one node with all links
     return made.join(reps, ["rep", "a"], "left_semi").dropDuplicates(["rep", "a"])
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import ARROW_ROWS, arrow_rows, blocks, id_remainder, table
+from basketry.llm.common import ARROW_ROWS, arrow_rows, blocks, id_remainder, table, tidied
 
 DIM = 1024
 SEED = 20_011
@@ -183,7 +183,7 @@ def train(labelled: DataFrame, text: str = "text", label: str = "lang") -> dict[
             yield pa.RecordBatch.from_pydict({"l": [one], "v": [v.tolist()]})
 
     summed = (
-        rows.mapInArrow(sums, "l string, v array<bigint>")
+        rows.mapInArrow(tidied(sums), "l string, v array<bigint>")
         .select("l", F.posexplode("v").alias("d", "x"))
         .groupBy("l", "d")
         .agg(F.sum("x").alias("x"))
@@ -224,7 +224,7 @@ def predict(
                 ["doc_id", "lang_pred", "score"],
             )
 
-    return rows.mapInArrow(label, f"doc_id {kind}, lang_pred string, score double")
+    return rows.mapInArrow(tidied(label), f"doc_id {kind}, lang_pred string, score double")
 
 
 def keep_languages(
@@ -253,7 +253,7 @@ def keep_languages(
                     stays[i] = not _many_trigrams(texts[i])
             yield b.filter(pa.array(stays))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(tidied(keep), docs.schema)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import table
+from basketry.llm.common import table, tidied
 
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("secret", "number", "handle")
@@ -250,7 +250,7 @@ def train(docs: DataFrame, text: str = "text") -> set[tuple]:
 
     rows = (
         docs.select(F.col(text).alias("t"))
-        .mapInArrow(count, "c array<bigint>, n bigint")
+        .mapInArrow(tidied(count), "c array<bigint>, n bigint")
         .groupBy("c")
         .agg(F.sum("n").alias("n"))
     )
@@ -301,7 +301,7 @@ def detect(
             )
 
     schema = f"doc_id {kind}, " + ", ".join(f"{n} bigint" for n in names)
-    return rows.mapInArrow(spans, schema + ", base_sha256 string, spans string, n_added bigint")
+    return rows.mapInArrow(tidied(spans), schema + ", base_sha256 string, spans string, n_added bigint")
 
 
 def redact(docs: DataFrame, accepted: set[tuple], text: str = "text") -> DataFrame:
@@ -323,7 +323,7 @@ def redact(docs: DataFrame, accepted: set[tuple], text: str = "text") -> DataFra
                 out.append("".join([*parts, t[last:]]) if every else t)
             yield b.set_column(at, b.schema.field(at).name, pa.array(out, b.schema.field(at).type))
 
-    return docs.mapInArrow(clean, docs.schema)
+    return docs.mapInArrow(tidied(clean), docs.schema)
 
 
 def op2_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:

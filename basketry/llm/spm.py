@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import blocks, table
+from basketry.llm.common import blocks, table, tidied
 from basketry.llm.lattice import DEFAULT_MODEL, SPACE, Matcher, Vocabulary, code_points
 from basketry.llm.lattice import load_vocabulary
 
@@ -405,7 +405,7 @@ def encode_digest(docs: DataFrame, vocabulary: Vocabulary, keep_ids: bool = Fals
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, columns_out)
 
-    return result.mapInArrow(run, shape.schema)
+    return result.mapInArrow(tidied(run), shape.schema)
 
 
 def op9_sentencepiece(

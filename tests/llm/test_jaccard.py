@@ -138,3 +138,49 @@ def test_shingles_that_agree_in_their_leading_bits(spark):
     sets += [(21, 100, 100, 75), (22, 100, 100, 74), (23, 100, 99, 74), (24, 100, 99, None)]
     kept = spark.createDataFrame(sets, "a long, n long, lead long, shared long").where(J.MAY_LINK)
     assert sorted(r.a for r in kept.collect()) == [11, 12, 21, 23]
+
+
+_WORKER = """
+import re
+import sys
+from pathlib import Path
+
+import numpy as np
+import pyarrow as pa
+
+sys.path.insert(0, sys.argv[1])
+from basketry.llm import exchange, jaccard
+
+
+def held():
+    rollup = Path("/proc/self/smaps_rollup").read_text()
+    return sum(map(int, re.findall(r"Pss_Anon: +([0-9]+)", rollup))) / 1024
+
+
+random = np.random.default_rng(1)
+owners = np.repeat(np.arange(1000), 100)
+for _ in range(2):
+    sent = [
+        exchange.packed(
+            random.integers(0, 1 << 63, 100_000).astype(np.uint64), owners,
+            np.arange(1000).astype(np.uint64) + 1000 * k, 0,
+        )
+        for k in range(20)
+    ]
+    jaccard._stars(pa.Table.from_batches(sent))
+    sent = None
+    jaccard._stars(pa.Table.from_batches([exchange.packed(
+        np.arange(2).astype(np.uint64), owners[:2], np.arange(1).astype(np.uint64), 0)]))
+print(held())
+"""
+
+
+def test_a_worker_gives_back_the_memory_of_a_large_bucket():
+    """2 million values; before, a worker held about 200 MB of them while it was idle."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = str(Path(__file__).resolve().parents[2])
+    out = subprocess.run([sys.executable, "-c", _WORKER, root], capture_output=True, text=True, check=True)
+    assert float(out.stdout) < 120
