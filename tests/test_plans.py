@@ -1,6 +1,6 @@
 """Physical-plan properties that matter at scale."""
 
-from basketry import registry
+from basketry import registry, session
 from tests.fixtures import plan_text
 
 SF = "/root/testdata/sf0.001"
@@ -252,3 +252,28 @@ def test_marts_bound_the_partitions_of_any_session(spark):
         assert spark.conf.get(name) == "8388608b"
     finally:
         spark.conf.set(name, old)
+
+
+def test_marts_deal_large_inputs_to_more_partitions(spark, monkeypatch):
+    """A session with few shuffle partitions does not make the tasks of the marts grow with
+    the tables: shuffles start from a number that follows the size of the scanned files."""
+    few, first = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    old = {k: spark.conf.get(k, None) for k in (few, first)}
+    try:
+        spark.conf.set(few, "2")
+        spark.conf.unset(first)
+        monkeypatch.setattr(session, "PARTITION_INPUT", 1 << 12)
+        df = registry.QUERIES["mart_customer_360"](spark, SF)
+        tables = registry.cleaned(spark, SF).values()
+        assert int(spark.conf.get(first)) == -(-session.scanned_bytes(tables) // (1 << 12)) > 20
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert f", {spark.conf.get(first)})" in plan
+        spark.conf.set(first, "100000")  # a larger number stays
+        registry.QUERIES["mart_customer_360"](spark, SF)
+        assert spark.conf.get(first) == "100000"
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
