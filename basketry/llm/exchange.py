@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from basketry.llm.common import free_name
 
 FILTER_BITS = 1 << 23
+SLOT_BYTES = 16 << 20  # bytes of text whose owners come together in one group
 PACKED = "bucket bigint, low binary, owner binary, owners binary"
 
 
@@ -92,6 +93,21 @@ def unpacked(rows: pa.Table, labelled: bool = False) -> tuple[np.ndarray, ...]:
     return (*found, np.concatenate(labels)[first]) if labelled else found
 
 
+def slot_count(total: int) -> int:
+    """Groups in which what the buckets found comes together per owner, for ``total`` bytes."""
+    return max(1, -(-total // SLOT_BYTES))
+
+
+def dealt(names: np.ndarray, slots: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(slot, places of its names) for every slot that some name falls into: a bucket sends a
+    row per slot, not per owner, so rows do not multiply with owners and buckets."""
+    slot = (names % np.uint64(slots)).astype(np.int64)
+    order = np.argsort(slot, kind="stable")
+    cut = np.flatnonzero(np.diff(slot[order], prepend=-1))
+    for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(order)], strict=False):
+        yield int(slot[order[a]]), order[a:b]
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 

@@ -44,9 +44,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import give_back, materialize, table, text_blocks, text_bytes, tidied
-from basketry.llm.exchange import PACKED, id_filter, only_ids, packed, signed, spot, unpacked
-from basketry.llm.exchange import unpacked_bits, without_ids
+from basketry.llm.common import from_planes, give_back, materialize, planes, table, text_blocks
+from basketry.llm.common import text_bytes, tidied
+from basketry.llm.exchange import PACKED, dealt, id_filter, only_ids, packed, signed, slot_count
+from basketry.llm.exchange import spot, unpacked, unpacked_bits, without_ids
 from basketry.llm.graph import components
 
 WORDS = 5
@@ -149,12 +150,33 @@ def _shared_counts(rows: pa.Table) -> pa.Table:
     twin[1:-1] = value[1:] == value[:-1]
     n = np.bincount(owner[twin[:-1] | twin[1:]], minlength=len(names))
     some = np.flatnonzero(n)
+    return pa.table({"a": signed(names[some]), "n": n[some]})
+
+
+def _by_slot(counts: pa.Table, slots: int) -> pa.Table:
+    """The numbers of a bucket's sets as a row per slot of their names, packed."""
+    names, n = counts["a"].to_numpy().astype("<i8"), counts["n"].to_numpy()
+    parts = list(dealt(names.view("<u8"), slots))
     return pa.table({
-        "a": signed(names[some]), "n": n[some], "lead": np.zeros(len(some), np.int64),
-        "doc_id": pa.nulls(len(some), pa.int64()),
+        "a": pa.array([slot for slot, _ in parts], pa.int64()),
+        "n": pa.array([len(at) for _, at in parts], pa.int64()),
+        "lead": pa.nulls(len(parts), pa.int64()),
+        "doc_id": pa.nulls(len(parts), pa.int64()),
+        "shared": pa.array([names[at].tobytes() + planes(n[at]) for _, at in parts], pa.binary()),
     })
 
 
+def _shared_totals(rows: pa.Table) -> pa.Table:
+    """(a, shared): the numbers of a slot's sets, summed over the buckets."""
+    names, counts = [], []
+    for n, raw in zip(rows.column("n").to_pylist(), rows.column("shared").to_pylist(), strict=True):
+        names.append(np.frombuffer(raw, "<i8", n))
+        counts.append(from_planes(raw[8 * n :]))
+    known, at = np.unique(np.concatenate(names), return_inverse=True)
+    total = np.bincount(at, np.concatenate(counts)).astype(np.int64)
+    return pa.table({"a": known, "shared": total})
+
+
 def _document_rows(rows: pa.Table) -> pa.Table:
     out = []
     for r in rows.to_pylist():
@@ -162,19 +184,20 @@ def _document_rows(rows: pa.Table) -> pa.Table:
         null = np.frombuffer(r["owner"], "?")
         both = np.frombuffer(r["owners"], "<i8").reshape(3, -1)
         out.append(pa.table({
-            "a": both[0], "n": both[1], "lead": both[2], "doc_id": pa.array(ids, pa.int64(), mask=null)
+            "a": both[0], "n": both[1], "lead": both[2],
+            "doc_id": pa.array(ids, pa.int64(), mask=null), "shared": pa.nulls(len(ids), pa.binary()),
         }))
     return pa.concat_tables(out)
 
 
 def survey(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(a, n, lead, doc_id): for every row its set's name, size and number of distinct
-    leading bits; with a null doc_id and a set's name in ``a``: how many of those others
-    have too (to be summed).
-
-    Rows of documents are marked by ``kind`` 1.
+    """(a, n, lead, doc_id) for every row, marked by ``kind`` 1: its set's name, size and
+    number of distinct leading bits. With ``kind`` 0, for every bucket and slot ``a``: how many
+    of those leading bits the slot's sets share with others (packed in ``shared``, for
+    ``_shared_totals``).
     """
     total = max(1, text_bytes(docs, text))
+    slots = slot_count(total)
     bits = max(0, math.ceil(math.log2(max(1, total / 6 / BUCKET_VALUES))))
     rows = docs.select(F.col(doc_id).cast("long").alias("i"), F.col(text).alias("t"))
 
@@ -220,14 +243,14 @@ def survey(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     def receive(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         kind = int(key[0].as_py() < 0)
-        made = _document_rows(rows) if kind else _shared_counts(rows)
+        made = _document_rows(rows) if kind else _by_slot(_shared_counts(rows), slots)
         if not kind:
             give_back()
         return made.append_column("kind", pa.array(np.full(len(made), kind, np.int32)))
 
     sent = rows.mapInArrow(tidied(send), PACKED)
     return sent.groupBy("bucket").applyInArrow(
-        receive, "a bigint, n bigint, lead bigint, doc_id bigint, kind int"
+        receive, "a bigint, n bigint, lead bigint, doc_id bigint, shared binary, kind int"
     )
 
 
@@ -469,7 +492,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     """doc_id, n_shingles, component_id of every row (see the module text)."""
     found = materialize(survey(docs, doc_id, text), "shingles", tidy=True)
     rows = found.where("kind = 1").select("doc_id", "a", "n", "lead")
-    shared = found.where("kind = 0").groupBy("a").agg(F.sum("n").alias("shared"))
+    shared = (
+        found.where("kind = 0").select(F.col("a").alias("slot"), "n", "shared")
+        .groupBy("slot").applyInArrow(_shared_totals, "a bigint, shared bigint")
+    )
     named = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("a").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("lead").alias("lead")
     )

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm.common import blocks, materialize, table, text_blocks, text_bytes
-from basketry.llm.exchange import PACKED, only_ids, packed, signed, unpacked
+from basketry.llm.exchange import PACKED, dealt, only_ids, packed, signed, slot_count, unpacked
 
 WINDOW = 50
 K = 20
@@ -133,13 +133,15 @@ def _text_id(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
-DOCUMENT = "doc_id bigint, a bigint, n_bytes bigint, digest binary, anchors binary"
+DOCUMENT = "doc_id bigint, a bigint, n_bytes bigint, digest binary, n bigint, anchors binary"
 
 
 def survey(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Rows of documents (doc_id, text name a, n_bytes, digest) and, with a null digest,
-    shared anchors of a text (a, anchors)."""
+    """Rows of documents (doc_id, text name a, n_bytes, digest) and, with a null digest, for
+    every bucket (in ``n_bytes``) and slot ``a`` of the texts' names the shared anchors of its
+    ``n`` texts, packed for ``_anchors_of``."""
     total = max(1, text_bytes(docs, text))
+    slots = slot_count(total)
     bits = max(0, math.ceil(math.log2(max(1, total / 16 / BUCKET_VALUES))))
     rows = docs.select(F.col(doc_id).cast("long").alias("i"), F.col(text).alias("t"))
 
@@ -199,6 +201,7 @@ def survey(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                     "a": pa.array([_text_id(d) for d in digests], pa.int64()),
                     "n_bytes": np.frombuffer(r["owners"][32 * n :], "<i8"),
                     "digest": pa.array(digests, pa.binary()),
+                    "n": pa.nulls(n, pa.int64()),
                     "anchors": pa.nulls(n, pa.binary()),
                 }))
             return pa.concat_tables(out)
@@ -208,16 +211,24 @@ def survey(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         shared = np.flatnonzero(twin[:-1] | twin[1:])
         order = shared[np.argsort(owner[shared], kind="stable")]
         cut = np.flatnonzero(np.diff(owner[order], prepend=-1))
-        full = (value[order] | np.uint64(bucket << 32)).astype("<u8")
-        ends = [*cut[1:].tolist(), len(order)][: len(cut)]  # none where nothing is shared
-        lists = [full[i:j].tobytes() for i, j in zip(cut.tolist(), ends, strict=True)]
-        n = len(lists)
+        low = value[order].astype("<u4")
+        names, counts = known[owner[order[cut]]].astype("<u8"), np.diff(np.append(cut, len(order)))
+        parts = list(dealt(names, slots))
+        n = len(parts)
         return pa.table({
             "doc_id": pa.nulls(n, pa.int64()),
-            "a": signed(known[owner[order[cut]]]),
-            "n_bytes": pa.nulls(n, pa.int64()),
+            "a": pa.array([slot for slot, _ in parts], pa.int64()),
+            "n_bytes": pa.array([bucket] * n, pa.int64()),
             "digest": pa.nulls(n, pa.binary()),
-            "anchors": pa.array(lists, pa.binary()),
+            "n": pa.array([len(at) for _, at in parts], pa.int64()),
+            "anchors": pa.array(
+                [
+                    names[at].tobytes() + counts[at].astype("<u4").tobytes()
+                    + low[_spread(cut[at], counts[at])].tobytes()
+                    for _, at in parts
+                ],
+                pa.binary(),
+            ),
         })
 
     sent = rows.mapInArrow(send, PACKED)
@@ -253,6 +264,27 @@ def _spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(int(count.sum())) + np.repeat(start - (np.cumsum(count) - count), count)
 
 
+def _anchors_of(rows: pa.Table) -> pa.Table:
+    """(a, anchors, bits): all shared anchors of each of a slot's texts."""
+    names, counts, values = [], [], []
+    for bucket, n, raw in zip(
+        *(rows.column(c).to_pylist() for c in ("n_bytes", "n", "anchors")), strict=True
+    ):
+        names.append(np.frombuffer(raw, "<u8", n))
+        counts.append(np.frombuffer(raw, "<u4", n, 8 * n).astype(np.int64))
+        low = np.frombuffer(raw, "<u4", offset=12 * n)
+        values.append(low.astype(np.int64) | (bucket << 32))
+    name, count, value = np.concatenate(names), np.concatenate(counts), np.concatenate(values)
+    order = np.argsort(name, kind="stable")
+    at = _spread((np.cumsum(count) - count)[order], count[order])
+    known, first = np.unique(name[order], return_index=True)
+    return pa.table({
+        "a": signed(known),
+        "anchors": _column(value[at], np.add.reduceat(count[order], first)),
+        "bits": np.full(len(known), rows.column("bits")[0].as_py(), np.int32),
+    })
+
+
 # ---- phrases
 
 PHRASE = (
@@ -299,8 +331,7 @@ def phrases(texts: DataFrame) -> DataFrame:
                 ids = b.column("doc_id").slice(i, j - i).to_pylist()
                 wanted = np.unique(np.concatenate([
                     np.frombuffer(x, "<u8")
-                    for xs in b.column("anchors").slice(i, j - i).to_pylist()
-                    for x in xs
+                    for x in b.column("anchors").slice(i, j - i).to_pylist()
                 ]))
                 for raw, first, size, number, offset in _batches(raws):
                     hash_, part, place, at, end = anchors(raw, first, size)
@@ -558,8 +589,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
     shared = (
         found.where("digest IS NULL")
-        .groupBy("a", "bits")
-        .agg(F.collect_list("anchors").alias("anchors"))  # the text's own anchors
+        .select(F.col("a").alias("slot"), "n_bytes", "n", "anchors", "bits")
+        .groupBy("slot")
+        .applyInArrow(_anchors_of, "a bigint, anchors binary, bits int")  # the text's own anchors
         .join(first.select("a", F.col("rep").alias("doc_id")), "a")
         .select("doc_id", "anchors", "bits")
     )

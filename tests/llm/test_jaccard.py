@@ -52,6 +52,23 @@ def test_small_buckets_give_the_same(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_survey_rows_do_not_multiply_with_the_buckets(spark, monkeypatch):
+    """Before, a set was a row in each of its buckets."""
+    from basketry.llm import exchange
+
+    texts = family_texts(7)
+    monkeypatch.setattr(J, "BUCKET_VALUES", 50)
+    total = sum(len((t or "").encode()) for t in texts)
+    monkeypatch.setattr(exchange, "SLOT_BYTES", total // 3)
+    found = J.survey(T.plain(spark, texts), "doc_id", "text").cache()
+    packed = found.where("kind = 0").select("a", "n", "shared").collect()
+    assert found.where("kind = 1").count() == len(texts)
+    assert {r.a for r in packed} == {0, 1, 2, 3}
+    assert sum(r.n for r in packed) > 4 * len(packed)  # sets, by bucket
+    got = J.near_duplicates(T.plain(spark, texts)).collect()
+    assert {r.doc_id: r.component_id for r in got} == T.near_components(list(range(len(texts))), texts)
+
+
 def test_chain_is_one_component(spark):
     # each text links with the next only; the ends have little in common
     words = [f"w{i}" for i in range(400)]

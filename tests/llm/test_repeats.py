@@ -64,6 +64,23 @@ def test_same_as_every_window_looked_up(spark, monkeypatch, many):
     assert sum(r[1] for r in want.values()) > 5000
 
 
+def test_survey_rows_do_not_multiply_with_the_buckets(spark, monkeypatch):
+    """Before, a text was a row in each of the buckets of its anchors."""
+    from basketry.llm import exchange
+
+    ids, texts = passages(11)
+    monkeypatch.setattr(R, "BUCKET_VALUES", 20)
+    total = sum(len((t or "").encode()) for t in texts)
+    monkeypatch.setattr(exchange, "SLOT_BYTES", total // 3)
+    docs = T.plain(spark, texts, ids)
+    found = R.survey(docs, "doc_id", "text").cache()
+    packed = found.where("digest IS NULL").select("a", "n_bytes", "n").collect()
+    assert found.where("digest IS NOT NULL").count() == len(texts)
+    assert {r.a for r in packed} == {0, 1, 2, 3} and len({r.n_bytes for r in packed}) > 8
+    assert sum(r.n for r in packed) > 2 * len(packed)  # texts, by bucket
+    assert result(R.remove_repeats(docs)) == by_hand(ids, texts)
+
+
 def test_long_text_in_parts(spark, monkeypatch):
     monkeypatch.setattr(R, "PART_BYTES", 300)
     monkeypatch.setattr(R, "BLOCK_BYTES", 500)
