@@ -26,20 +26,20 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import blocks, table, tidied
+from basketry.llm.common import blocks, table, text_blocks, tidied
 from basketry.llm.lattice import DEFAULT_MODEL, SPACE, Matcher, Vocabulary, code_points
 from basketry.llm.lattice import load_vocabulary
 
 LONG = 64
 BLOCK_CHARS = 400_000  # characters that are indexed at once
-DOC_CHARS = 2_000_000  # characters of documents that are put together at once
+DOC_CHARS = 500_000  # characters of documents that are put together at once
 REMEMBERED = 600_000  # units
 _NONE = np.int64(1) << 40
 
@@ -374,16 +374,24 @@ def encode_digest(docs: DataFrame, vocabulary: Vocabulary, keep_ids: bool = Fals
         }
     )
     shape = result.drop("text")
-    columns_out = shape.columns
+    run = digest_batches(vocabulary, shape.columns, keep_ids)
+    return result.mapInArrow(tidied(run), shape.schema)
+
+
+def digest_batches(
+    vocabulary: Vocabulary, columns_out: list[str], keep_ids: bool
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What ``encode_digest`` does with a task's rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = TextEncoder(vocabulary), Decoder(vocabulary)
         names = np.array([str(i) for i in range(len(vocabulary.pieces))], dtype=object)
         for b in batches:
-            texts = [t or "" for t in b.column(b.schema.get_field_index("text")).to_pylist()]
-            for i, j in blocks([len(t) for t in texts], DOC_CHARS):
-                ids, counts = encoder.encode(texts[i:j])
-                same = [x == y for x, y in zip(decoder.decode(ids, counts), texts[i:j], strict=True)]
+            # a batch may hold 64 MB of text: strings are made of one block at a time
+            for i, j, some in text_blocks(b.column(b.schema.get_field_index("text")), DOC_CHARS):
+                texts = [t or "" for t in some]
+                ids, counts = encoder.encode(texts)
+                same = [x == y for x, y in zip(decoder.decode(ids, counts), texts, strict=True)]
                 ends = np.concatenate([[0], np.cumsum(counts)])
                 digests = [
                     hashlib.sha256(",".join(names[ids[s:e]]).encode()).hexdigest()
@@ -405,7 +413,7 @@ def encode_digest(docs: DataFrame, vocabulary: Vocabulary, keep_ids: bool = Fals
                 ]
                 yield pa.RecordBatch.from_arrays(arrays, columns_out)
 
-    return result.mapInArrow(tidied(run), shape.schema)
+    return run
 
 
 def op9_sentencepiece(

@@ -106,3 +106,26 @@ def test_operators_and_awkward_rows(spark):
 def test_query_gives_texts_back(spark):
     got = spm.op9_sentencepiece(spark, SF).toPandas()
     assert got.round_trip.all() and (got.n_tokens >= 0).all()
+
+
+def test_a_large_batch_is_encoded_in_small_blocks():
+    """Before, all texts of a batch were strings at once and 2 MB of them were encoded
+    together: 122 MB at the peak here, now 24."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcdeé") for _ in range(rnd.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(rnd.choices(words, k=1500)) for _ in range(40)] * 100
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"]
+    )
+    columns = ["doc_id", "n_tokens", "ids_sha256", "round_trip", "token_ids"]
+    run = spm.digest_batches(lattice.load_vocabulary(), columns, True)
+    tracemalloc.start()
+    first = next(run(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert 1 < first.num_rows < 100 and all(first["round_trip"].to_pylist())
+    assert peak < 60e6
