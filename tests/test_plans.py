@@ -277,3 +277,27 @@ def test_marts_deal_large_inputs_to_more_partitions(spark, monkeypatch):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_customer_scores_bound_their_tasks_on_any_session(spark, monkeypatch):
+    """What is computed from customer 360 has its bounds, too: merged partitions of 16 MB, and
+    shuffles that start from a number of partitions that follows the tables."""
+    first, size = (
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+    )
+    old = {k: spark.conf.get(k, None) for k in (first, size)}
+    monkeypatch.setattr(session, "PARTITION_INPUT", 1 << 10)
+    try:
+        wanted = -(-session.scanned_bytes(registry.cleaned(spark, SF).values()) // (1 << 10))
+        for name in ("prj_sql_expr", "rfm_recency", "rfm_scores", "rfm_segment_counts", "rfm_segments"):
+            spark.conf.unset(first)
+            spark.conf.set(size, "64MB")
+            registry.QUERIES[name](spark, SF)
+            assert spark.conf.get(first) == str(wanted) and spark.conf.get(size) == "16m"
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
