@@ -21,16 +21,10 @@ SLOT_BYTES = 16 << 20  # bytes of text whose owners come together in one group
 PACKED = "bucket bigint, low binary, owner binary, owners binary"
 
 
-def packed(
-    values: np.ndarray,
-    owner: np.ndarray,
-    names: np.ndarray,
-    bits: int,
-    labels: np.ndarray | None = None,
-) -> pa.RecordBatch:
+def packed(values: np.ndarray, owner: np.ndarray, names: np.ndarray, bits: int) -> pa.RecordBatch:
     """Values as one row per bucket: the ``bits`` leading bits name the bucket, the next
     32 are kept (a chance agreement beyond them only adds a candidate). Owners are named
-    by ``names`` and, where given, ``labels``."""
+    by ``names``."""
     order = np.argsort(values)
     values, owner = values[order], owner[order]
     bucket = (values >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(
@@ -44,8 +38,7 @@ def packed(
         rows[0].append(int(bucket[a]))
         rows[1].append(_steps(low[a:b]))
         rows[2].append(place.astype("<u4" if len(used) > 65536 else "<u2").tobytes())
-        called = names[used].astype("<u8").tobytes()
-        rows[3].append(called if labels is None else called + labels[used].astype("<u8").tobytes())
+        rows[3].append(names[used].astype("<u8").tobytes())
     types = [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
     return pa.RecordBatch.from_arrays(
         [pa.array(r, t) for r, t in zip(rows, types, strict=True)],
@@ -72,25 +65,19 @@ def _from_steps(raw: bytes) -> np.ndarray:
     return np.cumsum(np.concatenate([first, body.view("<u4")]).astype(np.uint64)).astype(np.uint32)
 
 
-def unpacked(rows: pa.Table, labelled: bool = False) -> tuple[np.ndarray, ...]:
-    """(low, owner number, owner names) of a bucket, sorted by low and owner; with
-    ``labelled`` also the owners' labels."""
-    low, names, labels = [], [], []
+def unpacked(rows: pa.Table) -> tuple[np.ndarray, ...]:
+    """(low, owner number, owner names) of a bucket, sorted by low and owner."""
+    low, names = [], []
     for r in rows.select(["low", "owner", "owners"]).to_pylist():
         v = _from_steps(r["low"])
         place = np.frombuffer(r["owner"], "<u4" if len(r["owner"]) == 4 * len(v) else "<u2")
-        called = np.frombuffer(r["owners"], "<u8")
-        if labelled:
-            called, label = np.split(called, 2)
-            labels.append(label[place])
         low.append(v)
-        names.append(called[place])
+        names.append(np.frombuffer(r["owners"], "<u8")[place])
     value, every = np.concatenate(low), np.concatenate(names)
-    known, first, owner = np.unique(every, return_index=True, return_inverse=True)
+    known, owner = np.unique(every, return_inverse=True)
     # by value, then owner; an owner counts once under a value
     both = np.unique((value.astype(np.uint64) << np.uint64(32)) | owner.astype(np.uint64))
-    found = (both >> np.uint64(32)), (both & np.uint64(0xFFFFFFFF)).astype(np.int64), known
-    return (*found, np.concatenate(labels)[first]) if labelled else found
+    return (both >> np.uint64(32)), (both & np.uint64(0xFFFFFFFF)).astype(np.int64), known
 
 
 def slot_count(total: int) -> int:

@@ -20,9 +20,12 @@ their Jaccard similarity is at least SIMILARITY (in whole numbers: PERCENT).
    uncovered also signs the shingles of its prefix, so that two such sets still meet.
 3. Verification. Sets under one signature are candidates. Each is compared first with the
    smallest set it shares most signatures with; verified links make components. Only
-   pairs under one signature whose components still differ are compared afterwards, so a
-   group of thousands of near copies costs a comparison per copy, not per pair. All
-   comparisons are exact on the shingle sets, nothing is sampled or capped.
+   pairs under one signature whose components still differ remain, so a group of thousands
+   of near copies costs a comparison per copy, not per pair. Of those, a sketch of each set
+   (the parity of its shingles in cells of the hash space) rules out the pairs that differ
+   in more shingles than linked sets do; only the others leave the task and are compared. All
+   comparisons are exact on the shingle sets, nothing is sampled or capped. A signature with
+   over GROUP_SETS sets is dealt to tasks by pairs of blocks of its sets.
 
 Signatures travel as packed arrays (4 bytes of hash and a set number), rows carry no
 texts; a text is read again only for the sets that passed step 1, found through a
@@ -44,8 +47,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import from_planes, give_back, materialize, planes, table, text_blocks
-from basketry.llm.common import text_bytes, tidied
+from basketry.llm.common import blocks, from_planes, give_back, materialize, planes, table
+from basketry.llm.common import text_blocks, text_bytes, tidied
 from basketry.llm.exchange import PACKED, dealt, id_filter, only_ids, packed, signed, slot_count
 from basketry.llm.exchange import spot, unpacked, unpacked_bits, without_ids
 from basketry.llm.graph import components
@@ -56,6 +59,10 @@ BUCKET_VALUES = 2_000_000  # shingles or signatures of a bucket
 TASK_VALUES = 1_500_000  # values a task holds before it sends them
 BLOCK_BYTES = 1_000_000
 COMPARISON = 60  # cost of a needless comparison, in signatures
+GROUP_SETS = 2048  # sets of a signature whose pairs one bucket looks at
+BLOCK_SETS = 8192  # sets of a block, for a signature with more
+PAIRS_AT_ONCE = 1_000_000  # pairs whose sketches are compared together
+SKETCH_BITS = 512, 8192  # least and most bits of a sketch
 PAIR_ROWS = 256  # pairs of sets in one Arrow batch: a set may be large
 KNOWN_WORDS = 300_000  # word hashes a task remembers
 _UPPER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -343,39 +350,152 @@ def _stars(rows: pa.Table) -> pa.Table:
     return pa.table({"a": real[pair >> 32], "b": real[pair & 0xFFFFFFFF], "n": n})
 
 
-def _sign(sets: DataFrame, bits: int, labelled: bool = False) -> DataFrame:
-    """Packed signatures of (rep, shingles) rows, with their labels where wanted."""
+def sketch(values: np.ndarray) -> np.ndarray:
+    """A bit per cell of the hash space: whether the set has an odd number of its shingles
+    there. Sets differ in at least as many shingles as their sketches differ in bits. There
+    are as many cells as shingles, or up to twice as many; the halves of a sketch, one XOR the other, are the
+    sketch of half as many cells."""
+    least, most = SKETCH_BITS
+    cells = min(most, max(least, 1 << (len(values) - 1).bit_length()))
+    odd = np.bincount((values & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<u8")
+
+
+def _sign(sets: DataFrame, bits: int) -> DataFrame:
+    """Packed signatures of (rep, shingles) rows."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, sizes, names, labels, held = [], [], [], [], 0
+        values, names, held = [], [], 0
 
         def flush() -> pa.RecordBatch:
-            n = np.array(sizes)
+            n = np.array([len(v) for v in values])
             return packed(
                 np.concatenate(values), np.repeat(np.arange(len(n)), n),
                 np.array(names, np.int64).view(np.uint64), bits,
-                np.array(labels, np.int64).view(np.uint64) if labelled else None,
             )
 
         for b in batches:
-            reps = b.column("rep").to_pylist()
-            own = b.column("label").to_pylist() if labelled else reps
-            for rep, label, raw in zip(reps, own, b.column("shingles"), strict=True):
+            for rep, raw in zip(b.column("rep").to_pylist(), b.column("shingles"), strict=True):
                 made = signatures(np.frombuffer(raw.as_py(), "<u8"))
                 if len(made):
                     values.append(made)
-                    sizes.append(len(made))
                     names.append(rep)
-                    labels.append(label)
                     held += len(made)
                 if held >= TASK_VALUES:
                     yield flush()
-                    values, sizes, names, labels, held = [], [], [], [], 0
+                    values, names, held = [], [], 0
         if held:
             yield flush()
 
-    columns = ["rep", "shingles"] + ["label"] * labelled
-    return sets.select(*columns).mapInArrow(tidied(send), PACKED)
+    return sets.select("rep", "shingles").mapInArrow(tidied(send), PACKED)
+
+
+def _sign_described(sets: DataFrame, bits: int) -> DataFrame:
+    """Packed signatures of (a, rep, label, shingles) rows under the sets' names; ``about``
+    has each owner's rep, label, size and length of sketch, then the sketches."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values, about, sketches, held = [], [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            n = np.array([len(v) for v in values])
+            each = np.array(about, "<i8")
+            number = {name: i for i, name in enumerate(each[:, 0].tolist())}
+            rows = packed(
+                np.concatenate(values), np.repeat(np.arange(len(n)), n),
+                each[:, 0].astype(np.int64).view(np.uint64), bits,
+            )
+            told = []
+            for raw in rows.column("owners").to_pylist():
+                at = [number[name] for name in np.frombuffer(raw, "<i8").tolist()]
+                told.append(each[at, 1:].tobytes() + b"".join([sketches[i] for i in at]))
+            return rows.append_column("about", pa.array(told, pa.binary()))
+
+        for b in batches:
+            shingles = (np.frombuffer(x.as_py(), "<u8") for x in b.column("shingles"))
+            ends = (b.column(c).to_pylist() for c in ("a", "rep", "label"))
+            for a, rep, label, value in zip(*ends, shingles, strict=True):
+                made = signatures(value)
+                if len(made):
+                    drawn = sketch(value)
+                    values.append(made)
+                    about.append((a, rep, label, len(value), len(drawn)))
+                    sketches.append(drawn.tobytes())
+                    held += len(made)
+                if held >= TASK_VALUES:
+                    yield flush()
+                    values, about, sketches, held = [], [], [], 0
+        if held:
+            yield flush()
+
+    return sets.select("a", "rep", "label", "shingles").mapInArrow(
+        tidied(send), PACKED + ", about binary"
+    )
+
+
+class _Described:
+    """Sets with their reps, labels, sizes and sketches (one after the other in ``flat``)."""
+
+    def __init__(self, rep, label, n, length, flat):
+        self.rep, self.label, self.n, self.length, self.flat = rep, label, n, length, flat
+        self.start = np.cumsum(length) - length
+        self.drawn: dict[int, np.ndarray] = {}
+
+    @classmethod
+    def of(cls, rows: pa.Table) -> _Described:
+        """The owners of a bucket, ordered by name."""
+        names, about, flat = [], [], []
+        for r in rows.select(["owners", "about"]).to_pylist():
+            names.append(np.frombuffer(r["owners"], "<u8"))
+            k = len(names[-1])
+            about.append(np.frombuffer(r["about"], "<i8", 4 * k).reshape(k, 4))
+            flat.append(np.frombuffer(r["about"], "<u8", offset=32 * k))
+        every = cls(*np.concatenate(about).T, np.concatenate(flat))
+        first = np.unique(np.concatenate(names), return_index=True)[1]
+        kept = cls(every.rep[first], every.label[first], every.n[first], every.length[first], every.flat)
+        kept.start = every.start[first]
+        return kept
+
+    def sketch_of(self, i: int) -> bytes:
+        return self.flat[self.start[i] : self.start[i] + self.length[i]].tobytes()
+
+    def _folded(self, some: np.ndarray, length: int) -> np.ndarray:
+        """Sketches of ``length`` numbers of sets with that length or twice it."""
+        place = self.start[some][:, None] + np.arange(length)
+        out = self.flat[place]
+        twice = self.length[some] > length
+        out[twice] ^= self.flat[place[twice] + length]
+        return out
+
+    def may_link(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which of the pairs (a, b) fit in size and differ in no more shingles, as far as
+        their sketches tell, than linked sets do."""
+        low, high = np.minimum(self.n[a], self.n[b]), np.maximum(self.n[a], self.n[b])
+        keep = 100 * low >= PERCENT * high
+        length = np.minimum(self.length[a], self.length[b])
+        for k in np.unique(length[keep]).tolist():
+            same, most = np.flatnonzero(keep & (length == k)), max(1, 2 * PAIRS_AT_ONCE // k)
+            for i in range(0, len(same), most):
+                at = same[i : i + most]
+                odd = np.bitwise_count(self._folded(a[at], k) ^ self._folded(b[at], k)).sum(1, np.int64)
+                keep[at] = odd * (100 + PERCENT) <= (low[at] + high[at]) * (100 - PERCENT)
+        return keep
+
+    def pairs(self, owner: np.ndarray, begin: np.ndarray, count: np.ndarray) -> pa.Table:
+        """(a, b), as reps, of the pairs that may link and have different labels, among those
+        of every member with the ``count`` members from place ``begin`` on."""
+        found = [np.zeros(0, np.int64)]
+        for i, j in blocks(count.tolist(), PAIRS_AT_ONCE):
+            n = count[i:j]
+            left = np.repeat(owner[i:j], n)
+            right = owner[np.repeat(begin[i:j] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            across = self.label[left] != self.label[right]
+            left, right = left[across], right[across]
+            pair = np.unique(np.minimum(left, right) << 32 | np.maximum(left, right))
+            found.append(pair[self.may_link(pair >> 32, pair & 0xFFFFFFFF)])
+        pair = np.unique(np.concatenate(found))
+        ends = self.rep[pair >> 32], self.rep[pair & 0xFFFFFFFF]
+        return pa.table({"a": np.minimum(*ends), "b": np.maximum(*ends)})
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, few: bool = True) -> DataFrame:
@@ -428,34 +548,80 @@ def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs
 
 
+_WIDE = "a bigint, b bigint, g bigint, block int, blocks int, label bigint, n bigint, sketch binary"
+
+
+def _wide_members(sets: _Described, owner: np.ndarray, start: np.ndarray, size: np.ndarray,
+                  bucket: int) -> pa.Table:
+    """The members of the groups (their sets come from ``start`` on), dealt to blocks."""
+    out = []
+    for i, m in zip(start.tolist(), size.tolist(), strict=True):
+        some, parts = owner[i : i + m], -(-m // BLOCK_SETS)
+        out.append(pa.table({
+            "a": sets.rep[some],
+            "b": pa.nulls(m, pa.int64()),
+            "g": np.full(m, (bucket << 32) + i),
+            "block": (np.arange(m) % parts).astype(np.int32),
+            "blocks": np.full(m, parts, np.int32),
+            "label": sets.label[some],
+            "n": sets.n[some],
+            "sketch": pa.array([sets.sketch_of(x) for x in some.tolist()], pa.binary()),
+        }))
+    return pa.concat_tables(out)
+
+
+def _block_pairs(rows: pa.Table) -> pa.Table:
+    """The pairs that may link within one block, or between two blocks, of a wide group."""
+    rows = rows.sort_by("block")
+    drawn = rows["sketch"].to_pylist()
+    sets = _Described(
+        *(rows[c].to_numpy() for c in ("a", "label", "n")),
+        np.array([len(x) // 8 for x in drawn]), np.frombuffer(b"".join(drawn), "<u8"),
+    )
+    block, every = rows["block"].to_numpy(), np.arange(len(rows))
+    first = int((block == block[0]).sum())
+    if first == len(rows):
+        return sets.pairs(every, every + 1, len(rows) - 1 - every)
+    count = np.where(every < first, len(rows) - first, 0)
+    return sets.pairs(every, np.full(len(rows), first), count)
+
+
 def _across_pairs(sets: DataFrame, bits: int) -> DataFrame:
-    """All pairs (a, b) of (rep, n, shingles, label) rows that are under one signature,
-    have different labels, and fit in size."""
+    """All pairs (a, b) of (a, rep, label, shingles) rows that are under one signature, have
+    different labels, and may link by their sizes and sketches."""
 
     def groups(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        value, owner, names, labels = unpacked(rows, labelled=True)
+        value, owner, _ = unpacked(rows)
+        known = _Described.of(rows)
         start = _group_starts(value)
         size = np.diff(start, append=len(value))
-        label = labels[owner]
+        label = known.label[owner]
         mixed = np.minimum.reduceat(label, start) != np.maximum.reduceat(label, start)
-        some = np.repeat(mixed, size)
-        group = np.repeat(np.arange(len(start)), size)[some]
-        return pa.table({
-            "g": group + (key[0].as_py() << 32),
-            "rep": signed(names)[owner[some]],
-            "label": signed(label[some]),
-        })
-
-    # members of signatures that lead across components, joined on the signature: both
-    # sides are plain shuffles, so a signature with many sets can be split
-    member = _sign(sets, bits, labelled=True).groupBy("bucket").applyInArrow(
-        groups, "g bigint, rep bigint, label bigint"
-    )
-    member = materialize(member, "members", tidy=True)
-    left = member.select("g", F.col("rep").alias("a"), F.col("label").alias("la"))
-    right = member.select("g", F.col("rep").alias("b"), F.col("label").alias("lb"))
-    pairs = left.join(right, "g").where("a < b AND la <> lb").select("a", "b").distinct()
-    return _fitting(pairs, sets)
+        wide = mixed & (size > GROUP_SETS)
+        end = np.repeat(start + size, size)
+        place = np.arange(len(owner))
+        count = np.where(np.repeat(mixed & ~wide, size), end - 1 - place, 0)
+        out = known.pairs(owner, place + 1, count)
+        for name, kind in (x.split() for x in _WIDE.split(", ")[2:]):
+            out = out.append_column(name, pa.nulls(len(out), kinds[kind]))
+        if wide.any():
+            bucket = key[0].as_py()
+            out = pa.concat_tables([out, _wide_members(known, owner, start[wide], size[wide], bucket)])
+        del value, owner, known, label, end, place, count
+        give_back()
+        return out
+
+    kinds = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    found = _sign_described(sets, bits).groupBy("bucket").applyInArrow(groups, _WIDE)
+    found = materialize(found, "across", tidy=True)
+    pairs, wide = found.where("b IS NOT NULL").select("a", "b"), found.where("b IS NULL")
+    if wide.limit(1).count():
+        # each block meets itself and every other block of its group
+        other = wide.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        met = other.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+        more = met.groupBy("g", "i", "j").applyInArrow(_block_pairs, "a bigint, b bigint")
+        pairs = pairs.unionByName(more)
+    return pairs.distinct()
 
 
 def _sets_of(docs: DataFrame, reps: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -533,7 +699,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         own = sets.join(labels, sets["rep"] == labels["node"], "left").withColumn(
             "label", F.coalesce("label", "rep")
         )
-        some = own.join(touched, "label", "left_semi").select("rep", "n", "shingles", "label")
+        some = own.join(touched, "label", "left_semi").select("a", "rep", "n", "shingles", "label")
         some = materialize(some, "open-sets", tidy=True)
         pairs = _across_pairs(some, bits).join(stars.select("a", "b"), ["a", "b"], "left_anti")
         labels = components(links.unionByName(_verify(pairs, some)))

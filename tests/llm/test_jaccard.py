@@ -201,3 +201,56 @@ def test_a_worker_gives_back_the_memory_of_a_large_bucket():
     root = str(Path(__file__).resolve().parents[2])
     out = subprocess.run([sys.executable, "-c", _WORKER, root], capture_output=True, text=True, check=True)
     assert float(out.stdout) < 120
+
+
+def test_sketches_never_rule_out_a_link():
+    """Sketches differ in no more bits than their sets in shingles, also after folding, and tell
+    unlike sets apart."""
+    rnd = np.random.default_rng(9)
+    sets = []
+    for n in (1, 2, 5, 40, 63, 64, 65, 130, 250, 300, 1000, 9000, 12000):
+        one = np.unique(rnd.integers(0, 2**64, n, dtype=np.uint64))
+        own = rnd.integers(0, 2**64, max(1, n // 5), dtype=np.uint64)
+        sets += [one, np.unique(np.append(one, own)), np.unique(np.append(one[: n - n // 7], own[: n // 9]))]
+    drawn = [J.sketch(x) for x in sets]
+    n = np.array([len(x) for x in sets])
+    about = J._Described(
+        np.arange(len(sets)), np.arange(len(sets)), n, np.array([len(x) for x in drawn]), np.concatenate(drawn)
+    )
+    a, b = np.triu_indices(len(sets), 1)
+    may = about.may_link(a, b)
+    both = np.array([len(np.intersect1d(sets[i], sets[j])) for i, j in zip(a, b, strict=True)])
+    linked = 100 * both >= 75 * (n[a] + n[b] - both)
+    assert linked.sum() > 20 and may[linked].all()
+    unlike = (both == 0) & (n[a] > 30) & (n[b] > 30) & (n[a] < 5000)
+    assert unlike.sum() > 100 and not may[unlike].any()
+
+
+def common_line_texts(n=60, seed=4):
+    """Unlike texts with one line in common, a near copy of each eighth one."""
+    rnd = random.Random(seed)
+    line = " ".join(f"c{i}" for i in range(25))
+    own = [[f"w{rnd.randrange(400)}" for _ in range(30)] for _ in range(n)]
+    near = [["x", *words[1:]] for words in own[::8]]
+    return [" ".join(words) + " " + line for words in own + near]
+
+
+def test_pairs_that_share_a_common_line_only_stay_in_their_task(spark, monkeypatch):
+    """Before, all pairs of sets under a signature of the line were rows of a join."""
+    texts = common_line_texts()
+    made = []
+    across = J._across_pairs
+    monkeypatch.setattr(J, "_across_pairs", lambda *x: made.append(across(*x).cache()) or made[-1])
+    got = J.near_duplicates(T.plain(spark, texts)).collect()
+    assert {r.doc_id: r.component_id for r in got} == T.near_components(list(range(len(texts))), texts)
+    assert all(df.count() < len(texts) for df in made)
+
+
+def test_a_signature_with_many_sets_is_dealt_by_blocks(spark, monkeypatch):
+    texts = common_line_texts() + family_texts(11)[200:]
+    want = T.near_components(list(range(len(texts))), texts)
+    monkeypatch.setattr(J, "GROUP_SETS", 3)
+    monkeypatch.setattr(J, "BLOCK_SETS", 4)
+    monkeypatch.setattr(J, "PAIRS_AT_ONCE", 10)
+    got = J.near_duplicates(T.plain(spark, texts)).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
