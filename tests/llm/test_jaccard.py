@@ -227,10 +227,12 @@ def test_sketches_never_rule_out_a_link():
 
 
 def common_line_texts(n=60, seed=4):
-    """Unlike texts with one line in common, a near copy of each eighth one."""
+    """Unlike texts of passages that others hold, too, with one line in common, and a near copy
+    of each eighth one."""
     rnd = random.Random(seed)
     line = " ".join(f"c{i}" for i in range(25))
-    own = [[f"w{rnd.randrange(400)}" for _ in range(30)] for _ in range(n)]
+    pool = [[f"w{rnd.randrange(400)}" for _ in range(25)] for _ in range(30)]
+    own = [[w for passage in rnd.sample(pool, 3) for w in passage] for _ in range(n)]
     near = [["x", *words[1:]] for words in own[::8]]
     return [" ".join(words) + " " + line for words in own + near]
 
