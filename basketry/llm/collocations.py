@@ -14,8 +14,16 @@ counting is exact and no phrase text is shuffled after the words. The relations
 written as tables of chunks (about CHUNK_CHARS characters); a chunk sends a phrase once
 with its count, so the most frequent phrase is a row per chunk, and one shuffle by phrase
 gives both the count and the chunks that hold it (a window per phrase). Frequent names go
-back to the chunks by a co-group on the chunk number, which writes the next relation: one
-table a round.
+back to the chunks by a co-group on the chunk number, packed into a row per task and chunk,
+which writes the next relation: one table a round. A table goes when the next one is written.
+
+Most phrases of two words and more are rare, and their rows would be most of a shuffle. So
+they are ruled out first, as in Park, Chen and Yu's DHP: phrases are hashed into slots, chunks
+send what they count in each of theirs (about a byte and a half a phrase), and a phrase whose
+slot has fewer than ``least`` occurrences in all cannot be frequent. This never drops a
+frequent phrase; one that shares its slot with others is counted as before. The slots follow
+the number of words up to MOST_SLOTS (a bitmap of 16 MB), so in a very large table more rare
+phrases stay.
 
 What follows works on frequent phrases only: prefixes and suffixes, with their counts, come
 by joins on names, the score is exact in DECIMAL(38, 0) and integer division, a candidate
@@ -39,7 +47,9 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import from_planes, materialize, planes, table, text_blocks
+from basketry.llm.common import (
+    discard, from_planes, materialize, planes, setting, squeezed, table, text_blocks, unsqueezed,
+)
 
 CHUNK_CHARS = 4_000_000
 SLICE_CHARS = 1_000_000
@@ -48,6 +58,9 @@ LONGEST = 5
 LEAST = 100
 TOP = 2000
 SALTS = 32  # parts of a language that are ranked on their own first
+SLOT_WORDS = 16  # words of the table for which there is a slot
+LEAST_SLOTS, MOST_SLOTS, RANGE_SLOTS = 1 << 16, 1 << 27, 1 << 18  # a range is a group
+PACK_ROWS = 500_000  # frequent phrases that a task packs at once
 _AT_BITS = 28  # of a phrase's number in its chunk
 _SEQ_BITS = 15  # of a chunk's number in its task
 _MARK = b"\n"  # stands between pieces
@@ -61,9 +74,10 @@ WORDS = RELATION + ", words binary, sizes binary, langs array<string>, " \
     "totals array<bigint>, lang_of binary, n binary"
 KEYS = "lang string, word binary, left bigint, right bigint"  # of a word; of a longer phrase
 FOUND = f"name bigint, a bigint, {KEYS}"
-PHRASES = RELATION + ", left binary, right binary, n binary, found array<struct<{}>>".format(
-    ", ".join(":".join(x.split()) for x in FOUND.split(", "))
-)
+_FOUND = "found array<struct<{}>>".format(", ".join(":".join(x.split()) for x in FOUND.split(", ")))
+PHRASES = RELATION + ", names binary, left binary, right binary, n binary, " + _FOUND
+NAMES = "chunk bigint, at binary, name binary, " + _FOUND
+SKETCH = "part int, slot binary, n binary"
 
 
 def slices(text: str, most: int) -> Iterator[str]:
@@ -112,15 +126,20 @@ class _Words:
         place = np.arange(len(every))[~gap]
         item = every[~gap]
         n = np.bincount(item, minlength=len(self.names))
+        # frequent words get small numbers
+        order = np.argsort(-n, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        names, n, lang_of = [self.names[i] for i in order], n[order], np.array(self.lang_of)[order]
         values = {
             "chunk": [chunk],
             "place": [_steps(place)],
-            "item": [planes(item)],
-            "words": [b"".join(self.names)],
-            "sizes": [np.array([len(w) for w in self.names], "<u4").tobytes()],
+            "item": [squeezed(planes(rank[item]))],
+            "words": [b"".join(names)],
+            "sizes": [np.array([len(w) for w in names], "<u4").tobytes()],
             "langs": [list(self.langs)],
-            "totals": [np.bincount(self.lang_of, n, len(self.langs)).astype(np.int64)],
-            "lang_of": [np.array(self.lang_of, "<u4").tobytes()],
+            "totals": [np.bincount(lang_of, n, len(self.langs)).astype(np.int64)],
+            "lang_of": [lang_of.astype("<u4").tobytes()],
             "n": [n.astype("<i8").tobytes()],
         }
         kinds = {"chunk": pa.int64(), "langs": pa.list_(pa.string()), "totals": pa.list_(pa.int64())}
@@ -130,7 +149,11 @@ class _Words:
 
 
 def _steps(place: np.ndarray) -> bytes:
-    return np.diff(place, prepend=0).astype("<u4").tobytes()
+    return squeezed(planes(np.diff(place, prepend=0)))
+
+
+def _from_steps(raw: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(unsqueezed(raw)))
 
 
 def occurrences(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -183,60 +206,163 @@ def _word_rows(words: DataFrame) -> DataFrame:
     )
 
 
-def _phrase_rows(relation: DataFrame) -> DataFrame:
-    """(chunk, at, left, right, n) of all chunks."""
+def _phrases(r: dict) -> tuple[np.ndarray, ...]:
+    """Names of the parts, and counts, of a chunk's phrases."""
+    name = np.frombuffer(r["names"], "<i8")
+    return name[from_planes(r["left"])], name[from_planes(r["right"])], from_planes(r["n"])
+
+
+def _slot(left: np.ndarray, right: np.ndarray, slots: int) -> np.ndarray:
+    x = left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + right.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ (x >> np.uint64(29))) % np.uint64(slots)).astype(np.int64)
+
+
+def slot_count(words: int) -> int:
+    """Slots for a table of so many words, a power of 2."""
+    return min(MOST_SLOTS, max(LEAST_SLOTS, 1 << (words // SLOT_WORDS).bit_length()))
+
+
+def crowded(relation: DataFrame, least: int, slots: int) -> bytes:
+    """A bitmap of the slots with at least ``least`` occurrences of phrases in all chunks."""
+    size = min(slots, RANGE_SLOTS)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                left, right, n = _phrases(r)
+                slot, of = np.unique(_slot(left, right, slots), return_inverse=True)
+                n = np.minimum(np.bincount(of, n, len(slot)), least)
+                part = slot // size
+                cut = np.flatnonzero(np.diff(part, prepend=-1)).tolist()
+                some = list(zip(cut, [*cut, len(slot)][1:], strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(part[cut].astype(np.int32)),
+                        pa.array([_steps(slot[i:j] - part[i] * size) for i, j in some], pa.binary()),
+                        pa.array([squeezed(planes(n[i:j])) for i, j in some], pa.binary()),
+                    ],
+                    ["part", "slot", "n"],
+                )
+
+    def total(rows: pa.Table) -> pa.Table:
+        every = np.zeros(size, np.int64)
+        for slot, n in zip(rows["slot"], rows["n"], strict=True):
+            every[_from_steps(slot.as_py())] += from_planes(unsqueezed(n.as_py()))  # once a row
+        bits = np.packbits(every >= least, bitorder="little").tobytes()
+        return pa.table({"part": rows["part"].slice(0, 1), "bits": pa.array([bits], pa.binary())})
+
+    rows = relation.select("names", "left", "right", "n").mapInArrow(count, SKETCH)
+    parts = rows.groupBy("part").applyInArrow(total, "part int, bits binary")
+    out = bytearray(slots // 8)
+    with setting(relation.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        for r in parts.collect():  # at most MOST_SLOTS bits
+            out[r["part"] * size // 8 : (r["part"] + 1) * size // 8] = r["bits"]
+    return bytes(out)
+
+
+def _phrase_rows(relation: DataFrame, least: int, slots: int) -> DataFrame:
+    """(chunk, at, left, right, n) of all chunks, without phrases whose slot is not crowded."""
+    shared = relation.sparkSession.sparkContext.broadcast(crowded(relation, least, slots))
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared.value, np.uint8)
         for b in batches:
             for r in b.to_pylist():
-                left, right, n = (np.frombuffer(r[c], "<i8") for c in ("left", "right", "n"))
-                for i in range(0, len(n), 50_000):
-                    j = min(len(n), i + 50_000)
+                left, right, n = _phrases(r)
+                slot = _slot(left, right, slots)
+                at = np.flatnonzero((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
+                for i in range(0, len(at), 50_000):
+                    some = at[i : i + 50_000]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.full(j - i, r["chunk"], np.int64)),
-                            pa.array(np.arange(i, j, dtype=np.int32)),
-                            pa.array(left[i:j]),
-                            pa.array(right[i:j]),
-                            pa.array(n[i:j]),
+                            pa.array(np.full(len(some), r["chunk"], np.int64)),
+                            pa.array(some.astype(np.int32)),
+                            pa.array(left[some]),
+                            pa.array(right[some]),
+                            pa.array(n[some]),
                         ],
                         ["chunk", "at", "left", "right", "n"],
                     )
 
-    return relation.select("chunk", "left", "right", "n").mapInArrow(
+    return relation.select("chunk", "names", "left", "right", "n").mapInArrow(
         unpack, "chunk bigint, at int, left bigint, right bigint, n bigint"
     )
 
 
 def frequent(rows: DataFrame, key: list[str], least: int) -> DataFrame:
-    """The chunks' phrases with at least ``least`` occurrences in all: where they are, their
-    name, count and key; the name is the smallest (chunk, at) that holds the phrase."""
+    """The chunks' phrases with at least ``least`` occurrences in all: where they are and their
+    name, which is the smallest (chunk, at) that holds the phrase; there (``first``) also
+    count and key."""
     same = Window.partitionBy(*key)
     place = F.shiftleft(F.col("chunk"), _AT_BITS).bitwiseOR(F.col("at").cast("long"))
+    first = F.col("name") == place
     keys = [x.split() for x in KEYS.split(", ")]
     return (
         rows.withColumn("a", F.sum("n").over(same))
         .withColumn("name", F.min(place).over(same))
         .where(F.col("a") >= least)
         .select(
-            "chunk", "at", (F.col("name") == place).alias("first"), "name", "a",
-            *[F.col(c) if c in key else F.lit(None).cast(kind).alias(c) for c, kind in keys],
+            "chunk", "at", first.alias("first"), "name", F.when(first, F.col("a")).alias("a"),
+            *[F.when(first, F.col(c)).alias(c) if c in key else F.lit(None).cast(kind).alias(c)
+              for c, kind in keys],
         )
     )
 
 
+def packed_names(found: DataFrame) -> DataFrame:
+    """Frequent phrases packed into a row per task and chunk that holds some of them."""
+    columns = [x.split()[0] for x in FOUND.split(", ")]
+
+    def rows(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(held)
+        t = t.take(np.lexsort((t["at"].to_numpy(), t["chunk"].to_numpy()))).combine_chunks()
+        chunk, at, name = (t[c].to_numpy() for c in ("chunk", "at", "name"))
+        first = np.flatnonzero(t["first"].to_numpy(zero_copy_only=False))
+        named = t.select(columns).take(first).combine_chunks().to_batches()
+        named = named[0].to_struct_array() if named else pa.array([], pa.struct(t.select(columns).schema))
+        cut = np.flatnonzero(np.diff(chunk, prepend=-1))
+        edge = [*cut.tolist(), len(chunk)]
+        some = list(zip(edge, edge[1:], strict=False))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(chunk[cut]),
+                pa.array([_steps(at[i:j]) for i, j in some], pa.binary()),
+                pa.array([squeezed(planes(name[i:j], 8)) for i, j in some], pa.binary()),
+                pa.ListArray.from_arrays(pa.array(np.searchsorted(first, edge), pa.int32()), named),
+            ],
+            ["chunk", "at", "name", "found"],
+        )
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for b in batches:
+            if b.num_rows:
+                held, n = [*held, b], n + b.num_rows
+            if n >= PACK_ROWS:
+                yield rows(held)
+                held, n = [], 0
+        if n:
+            yield rows(held)
+
+    return found.mapInArrow(pack, NAMES)
+
+
 def extend(relation: DataFrame, names: DataFrame) -> DataFrame:
-    """Semi-joins a relation with the frequent names of its chunk and merge-joins it with
-    itself at adjacent places. ``found`` lists the frequent phrases that are named after
+    """Semi-joins a relation with the (packed) frequent phrases of its chunk and merge-joins it
+    with itself at adjacent places. ``found`` lists the frequent phrases that are named after
     this chunk, so that over all chunks each is listed once."""
-    columns = [x.split()[0] for x in FOUND.split(", ")]
 
     def step(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for r in left.to_pylist():  # one row
-            item = from_planes(r["item"])
-            place = np.cumsum(np.frombuffer(r["place"], "<u4").astype(np.int64))
-            at, name = right["at"].to_numpy(), right["name"].to_numpy()
+            item, place = from_planes(unsqueezed(r["item"])), _from_steps(r["place"])
+            none = [np.empty(0, np.int64)]
+            at = np.concatenate(none + [_from_steps(x.as_py()) for x in right["at"]])
+            name = np.concatenate(none + [from_planes(unsqueezed(x.as_py()), 8) for x in right["name"]])
+            order = np.argsort(at)
+            at, name = at[order], name[order]
             rank = np.full(int(item.max(initial=0)) + 1, -1, np.int64)
             rank[at] = np.arange(len(at))
             mine = rank[item]
@@ -247,15 +373,13 @@ def extend(relation: DataFrame, names: DataFrame) -> DataFrame:
             first, last = np.divmod(found, max(1, len(at)))
             values = {
                 "place": _steps(place[start]),
-                "item": planes(item),
-                "left": name[first].astype("<i8").tobytes(),
-                "right": name[last].astype("<i8").tobytes(),
-                "n": n.astype("<i8").tobytes(),
+                "item": squeezed(planes(item)),
+                "names": name.astype("<i8").tobytes(),
+                "left": planes(first),
+                "right": planes(last),
+                "n": planes(n),
             }
-            named = right.filter(right["first"]).select(columns).combine_chunks()
-            named = pa.StructArray.from_arrays(
-                [named[c].combine_chunks() for c in columns], fields=list(named.schema)
-            )
+            named = right["found"].combine_chunks().flatten()
             out.append(pa.table(
                 {"chunk": pa.array([r["chunk"]], pa.int64())}
                 | {k: pa.array([v], pa.binary()) for k, v in values.items()}
@@ -283,21 +407,29 @@ def mine(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text: str
     """
     words = materialize(occurrences(docs, text, lang), "phrases-words", tidy=True)
     rows = _word_rows(words)
-    totals = (
+    totals = materialize(
         words.select(F.inline(F.arrays_zip("langs", "totals"))).groupBy(F.col("langs").alias("lang"))
-        .agg(F.sum("totals").alias("n"))
+        .agg(F.sum("totals").alias("n")), "phrases-totals", tidy=True,
     )
+    slots = slot_count(totals.agg(F.sum("n")).first()[0] or 0)
     found = frequent(rows, ["lang", "word"], least)
     relation, levels = words, []
     for k in range(1, longest + 1):
         if k < longest:
-            relation = materialize(extend(relation, found), "phrases-relation", tidy=True)
+            # a table of their own: the counted rows are off the disk before the relation is shuffled
+            names = materialize(packed_names(found), "phrases-names", tidy=True)
+            longer = materialize(extend(relation, names), "phrases-relation", tidy=True)
+            discard(names)
+            discard(relation)
+            relation = longer
             named = relation.select(F.inline("found"))
-            found = frequent(_phrase_rows(relation), ["left", "right"], least)
+            found = frequent(_phrase_rows(relation, least, slots), ["left", "right"], least)
         else:
             named = found.where("first")
         level = _words(named) if k == 1 else _described(named, levels[-1])
         levels.append(materialize(level.hint("rebalance"), "phrases-level", tidy=True))
+    if longest > 1:
+        discard(relation)
     return levels, totals
 
 

@@ -61,6 +61,14 @@ def materialize(df: DataFrame, name: str, rows: int = ARROW_ROWS, tidy: bool = F
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes a table that ``materialize`` wrote and no later job reads."""
+    spark = df.sparkSession
+    relation = df._jdf.queryExecution().analyzed().collectLeaves().apply(0).relation()
+    path = relation.location().rootPaths().apply(0)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def id_remainder(column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a null id counts as the empty text."""
     text = F.coalesce(F.col(column).cast("string"), F.lit(""))
@@ -138,11 +146,22 @@ def tidied(run: Callable[..., Iterator[pa.RecordBatch]]) -> Callable[..., Iterat
     return to_the_end
 
 
-def planes(x: np.ndarray) -> bytes:
-    """32-bit numbers byte plane by byte plane: the high planes of small numbers are nearly
-    all zero and compress away."""
-    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+def planes(x: np.ndarray, width: int = 4) -> bytes:
+    """Numbers of ``width`` bytes byte plane by byte plane: the high planes of small numbers are
+    nearly all zero and compress away."""
+    return x.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T.tobytes()
+
+
+def from_planes(raw: bytes, width: int = 4) -> np.ndarray:
+    every = np.frombuffer(raw, np.uint8).reshape(width, -1).T.copy()
+    return every.view(f"<u{width}").ravel().astype(np.int64)
+
+
+def squeezed(raw: bytes) -> bytes:
+    """zstd with the length in front: a shuffle compresses by lz4 only, which does not make use
+    of values that are frequent without being in a row."""
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def from_planes(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+def unsqueezed(raw: bytes) -> bytes:
+    return pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True)

@@ -1,4 +1,5 @@
 import collections
+import pathlib
 import re
 
 import duckdb
@@ -115,3 +116,42 @@ def test_query_against_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
     assert got == sorted(con.execute(co.ORACLE_SQL).fetchall()) and len(got) > 50
+
+
+def rare_and_frequent(spark):
+    texts = [f"the big cat {' '.join(f'w{i * j % 40}' for j in range(200))}" for i in range(60)]
+    return spark.createDataFrame([(t, "en") for t in texts], "text string, lang string").repartition(3)
+
+
+def test_rare_phrases_are_not_shuffled(spark):
+    docs = rare_and_frequent(spark)
+    words = co.materialize(co.occurrences(docs), "words")
+    names = co.packed_names(co.frequent(co._word_rows(words), ["lang", "word"], 50))
+    assert names.count() <= 9 and sum(len(r.found) for r in names.collect()) == 43
+    relation = co.materialize(co.extend(words, names), "relation")
+    every = sum(len(r.n) // 4 for r in relation.select("n").collect())
+    rows = co._phrase_rows(relation, 50, co.slot_count(60 * 203))
+    assert rows.count() < every // 3
+    pairs = collections.Counter(
+        p for r in docs.collect() for p in zip(r.text.split(), r.text.split()[1:], strict=False)
+    )
+    kept = co.frequent(rows, ["left", "right"], 50).where("first").select("a").collect()
+    assert sorted(r.a for r in kept) == sorted(n for n in pairs.values() if n >= 50)
+
+
+def test_crowded_slots_change_nothing(spark, monkeypatch):
+    for most in (16, 64, 1 << 20):
+        monkeypatch.setattr(co, "LEAST_SLOTS", 16)
+        monkeypatch.setattr(co, "MOST_SLOTS", most)
+        monkeypatch.setattr(co, "RANGE_SLOTS", 16)
+        monkeypatch.setattr(co, "PACK_ROWS", 10)
+        compare(spark.createDataFrame(TEXTS * 2, "text string, lang string").repartition(3), 3)
+
+
+def test_used_tables_are_deleted(spark):
+    root = co.materialize(spark.range(1), "phrases-root").inputFiles()[0].split("/phrases-root")[0]
+    before = {p.name for p in pathlib.Path(root.removeprefix("file:")).iterdir()}
+    levels, totals = co.mine(rare_and_frequent(spark), 50)
+    kept = {p.name for p in pathlib.Path(root.removeprefix("file:")).iterdir()} - before
+    assert {x.rsplit("-", 1)[0] for x in kept} == {"phrases-level", "phrases-totals"}
+    assert all(df.count() for df in [*levels[:2], totals])
